@@ -19,11 +19,11 @@ from propyield.schemas import MONEY, SALE_DATE_FORMAT
 # --- fixed values: repairs of French place names mis-decoded as Latin-1, in the
 # order they are applied. The fifth pattern is "Ã" followed by a no-break space.
 MOJIBAKE_RULES: tuple[tuple[str, str], ...] = (
-    ("�", "é"),
+    ("\ufffd", "é"),
     ("Ã©", "é"),
     ("Ã¨", "è"),
     ("Ãª", "ê"),
-    ("Ã ", "à"),
+    ("Ã\u00a0", "à"),
     ("Ã´", "ô"),
     ("Ã®", "î"),
 )

@@ -48,11 +48,16 @@ def pivot_years(long: DataFrame, row_keys: Sequence[str],
                 value: str = "rental_yield") -> DataFrame:
     """One row per ``row_keys``, one column per year (ascending), cell = the value.
 
-    Pass ``years`` when known: Spark then skips the job that collects them and the
-    output schema is fixed. Each cell holds at most one row upstream.
+    Pass ``years`` when known: the output schema is then fixed and the pivot is one
+    conditional aggregation (one shuffle, partial aggregation per task). Without
+    them, Spark's ``pivot`` first collects the distinct years (a small job).
+    Each cell holds at most one row upstream, so ``first`` is well defined.
     """
-    years = sorted(years) if years is not None else None
-    return long.groupBy(*row_keys).pivot("year", years).agg(F.first(value))
+    if years is None:
+        return long.groupBy(*row_keys).pivot("year").agg(F.first(value))
+    cells = [F.first(F.when(F.col("year") == F.lit(y), F.col(value)), ignorenulls=True)
+             .alias(str(y)) for y in sorted(years)]
+    return long.groupBy(*row_keys).agg(*cells)
 
 
 def yield_by_dept_long(address: DataFrame, rent_dept: DataFrame) -> DataFrame:

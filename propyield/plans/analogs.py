@@ -14,12 +14,19 @@ stay in step. Columns are the renamed (snake_case) ones of :mod:`propyield.schem
 
 from __future__ import annotations
 
+import hashlib
+import os
+import threading
+import uuid
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propyield.schemas import GEO_COLUMNS, MONEY, RENT_COLUMNS, SALE_COLUMNS, RegionSpec
+from propyield.session import shared_dir
+from propyield.sources import fs
 
 # Analog of "one region as both inputs name it": rent rows of region code 3, sales
 # matched through the lookup rows labelled with two regions.
@@ -41,7 +48,7 @@ def _postal(nationkey: Column) -> Column:
     return F.lpad(nationkey.cast("string"), 5, "0")
 
 
-def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -56,7 +63,7 @@ def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(*GEO_COLUMNS))
 
 
-def sale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item; an order is one sale at one address and date.
 
     Dirt: 10%-discount lines have value ``NC``; returned lines have no surface
@@ -97,7 +104,7 @@ def sale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                     date_txt.alias("date_txt")).select(*SALE_COLUMNS)
 
 
-def rent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_rent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rent estimate per order: rent per m2 = total price / 10,000 (6 decimals),
     interval bounds at 90% and 110%; ``year`` is text, as taken from a file name."""
     o = load(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
@@ -115,3 +122,71 @@ def rent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _comma_text(price * F.lit(Decimal("0.00011"))).alias("high_txt"),
                     F.year("o_orderdate").cast("string").alias("year"))
             .select(*RENT_COLUMNS, "year"))
+
+
+def build_damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` with every accent damaged as a Latin-1 misreading does."""
+    from propyield.functions import repair_text  # the same literal fold
+    from propyield.plans.damage import CORRUPTIONS
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", repair_text("text", CORRUPTIONS).alias("text"))
+
+
+# ------------------------------------------------------------------ materialised
+# The analogs stand in for the engine's input files, so like input files they are
+# written once per data directory (parquet below the shared folder, several files
+# so later scans run in parallel) and read back by every query.
+
+BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "geo": build_geo, "sale": build_sale, "rent": build_rent,
+    "damaged_documents": build_damaged_documents,
+}
+_LOCK = threading.Lock()
+_MEMO: dict[tuple[str, str, str], str] = {}
+
+
+def _input_key(sf_dir: str) -> str:
+    parts = [os.path.abspath(sf_dir)]
+    try:
+        for name in sorted(os.listdir(sf_dir)):
+            st = os.stat(os.path.join(sf_dir, name))
+            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+    except OSError:  # not a local folder: key by path only
+        pass
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The analog table ``name`` for ``sf_dir``, materialised on first use."""
+    root = shared_dir(spark)
+    key = (root, sf_dir, name)
+    with _LOCK:
+        path = _MEMO.get(key)
+        if path is None:
+            path = f"{root}/propyield/analogs/{_input_key(sf_dir)}/{name}"
+            if not fs.exists(spark, f"{path}/_SUCCESS"):
+                df = BUILDERS[name](spark, sf_dir)
+                tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+                parts = spark.sparkContext.defaultParallelism
+                df.repartition(parts).write.mode("overwrite").parquet(tmp)
+                if not fs.exists(spark, f"{path}/_SUCCESS"):
+                    fs.delete(spark, path)
+                    fs.rename(spark, tmp, path)
+            _MEMO[key] = path
+    return spark.read.parquet(path)
+
+
+def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "geo")
+
+
+def sale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "sale")
+
+
+def rent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "rent")
+
+
+def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "damaged_documents")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from propyield.functions import MOJIBAKE_RULES, repair_text, year_of
+from propyield.functions import MOJIBAKE_RULES, year_of
 from propyield.operators import (
     address_sales,
     clean_sales,
@@ -28,6 +28,7 @@ from propyield.operators import (
     pivot_years,
     preview_rows,
     remap_column,
+    repair_column,
     rent_by_city,
     rent_by_dept,
     sales_totals,
@@ -35,7 +36,15 @@ from propyield.operators import (
     yield_by_dept_long,
 )
 from propyield.plans import oracle as O
-from propyield.plans.analogs import REGION, YEARS, geo_table, load, rent_table, sale_table
+from propyield.plans.analogs import (
+    REGION,
+    YEARS,
+    damaged_documents,
+    geo_table,
+    rent_table,
+    sale_table,
+)
+from propyield.plans.damage import CORRUPTIONS
 from propyield.schemas import GEO_HEADER, GEO_RENAMES
 from propyield.sources.delimited import rename_columns
 
@@ -227,13 +236,6 @@ def q_yield_by_city(spark, d):
 
 # ----------------------------------------------------------- text and preview
 
-# --- fixed values: the damage a Latin-1 misreading of UTF-8 does to each accent
-# (the inverse of the repair rules), plus a lost letter shown as U+FFFD.
-CORRUPTIONS = (
-    ("é", "Ã©"), ("è", "Ã¨"), ("ê", "Ãª"), ("à", "Ã "), ("ô", "Ã´"), ("î", "Ã®"),
-    ("ë", "�"),
-)
-# --- end of fixed values ---
 
 
 def _sql_replace_chain(expr: str, rules) -> str:
@@ -246,9 +248,7 @@ def _sql_replace_chain(expr: str, rules) -> str:
           + _sql_replace_chain(_sql_replace_chain("text", CORRUPTIONS), MOJIBAKE_RULES)
           + " AS text FROM documents")
 def q_repair_text(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", "text")
-    damaged = repair_text("text", CORRUPTIONS)  # the same fold applies the damage
-    return docs.select("doc_id", repair_text(damaged).alias("text"))
+    return repair_column(damaged_documents(spark, d), "text")
 
 
 @register("preview_rows", O.with_(O.GEO_T) + "SELECT * FROM geo_t ORDER BY insee LIMIT 5")

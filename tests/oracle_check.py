@@ -41,7 +41,7 @@ def _norm(v):
 def rows_of(columns: list[str], records) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(_norm(r[i]) for i in order) for r in records]
-    return sorted(out, key=lambda t: tuple("" if x is None else x for x in t))
+    return sorted(out, key=lambda t: tuple((x is not None, x or "") for x in t))
 
 
 def compare(spark, con, name: str, run, sql: str, sf_dir: str) -> tuple[bool, str]:
