@@ -142,7 +142,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "damaged_documents": build_damaged_documents,
 }
 _LOCK = threading.Lock()
-_MEMO: dict[tuple[str, str, str], str] = {}
+_MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _input_key(sf_dir: str) -> str:
@@ -161,8 +161,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     root = shared_dir(spark)
     key = (root, sf_dir, name)
     with _LOCK:
-        path = _MEMO.get(key)
-        if path is None:
+        df = _MEMO.get(key)
+        if df is None or df.sparkSession is not spark:
             path = f"{root}/propyield/analogs/{_input_key(sf_dir)}/{name}"
             if not fs.exists(spark, f"{path}/_SUCCESS"):
                 df = BUILDERS[name](spark, sf_dir)
@@ -172,8 +172,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                 if not fs.exists(spark, f"{path}/_SUCCESS"):
                     fs.delete(spark, path)
                     fs.rename(spark, tmp, path)
-            _MEMO[key] = path
-    return spark.read.parquet(path)
+            # written once and never changed: one file listing serves every query
+            df = _MEMO[key] = spark.read.parquet(path)
+    return df
 
 
 def geo_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,8 +45,17 @@ from propyield.plans.analogs import (
     sale_table,
 )
 from propyield.plans.damage import CORRUPTIONS
-from propyield.schemas import GEO_HEADER, GEO_RENAMES
-from propyield.sources.delimited import rename_columns
+from propyield.plans import fixtures as F_
+from propyield.schemas import GEO_HEADER, GEO_RENAMES, RENT_RENAMES, SALE_RENAMES
+from propyield.session import scratch_path
+from propyield.sinks import export_csv, export_named_csv, materialize_once
+from propyield.sources import (
+    ingest_pipe_folder,
+    ingest_yearly_folder,
+    read_delimited,
+    read_tolerant,
+    rename_columns,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -254,3 +263,97 @@ def q_repair_text(spark, d):
 @register("preview_rows", O.with_(O.GEO_T) + "SELECT * FROM geo_t ORDER BY insee LIMIT 5")
 def q_preview_rows(spark, d):
     return preview_rows(geo_table(spark, d), 5, ["insee"])
+
+
+# ------------------------------------------------------------ sources (files)
+
+@register("scan_semicolon", O.with_(O.GEO_T) + "SELECT * FROM geo_t")
+def q_scan_semicolon(spark, d):
+    return read_delimited(spark, F_.geo_delimited(spark, d, ";"), ";", rename=GEO_RENAMES)
+
+
+@register("scan_tab", O.with_(O.GEO_T) + "SELECT * FROM geo_t")
+def q_scan_tab(spark, d):
+    return read_delimited(spark, F_.geo_delimited(spark, d, "\t"), "\t", rename=GEO_RENAMES)
+
+
+@register("scan_tolerant", O.with_(O.GEO_T) + "SELECT insee AS code, commune FROM geo_t")
+def q_scan_tolerant(spark, d):
+    return read_tolerant(spark, F_.geo_tolerant(spark, d), "\t").select("code", "commune")
+
+
+@register("scan_inferred", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_scan_inferred(spark, d):
+    return read_delimited(spark, F_.nation_text(spark, d), ";", infer=True)
+
+
+def yearly_rents(spark: SparkSession, d: str) -> DataFrame:
+    return ingest_yearly_folder(spark, F_.rent_folder(spark, d), rename=RENT_RENAMES)
+
+
+@register("ingest_yearly_folder", O.with_(O.RENT_T) + "SELECT * FROM rent_t")
+def q_ingest_yearly_folder(spark, d):
+    return yearly_rents(spark, d)
+
+
+_SALE_FROM_TEXT = ("SELECT kind, postal, commune, NULLIF(surface_txt, '') AS surface_txt, "
+                   "value_txt, street_no, street, date_txt FROM sale_t")
+
+
+@register("ingest_pipe_folder", O.with_(O.SALE_T) + _SALE_FROM_TEXT)
+def q_ingest_pipe_folder(spark, d):
+    return ingest_pipe_folder(spark, F_.sale_folder(spark, d), rename=SALE_RENAMES)
+
+
+@register("file_year", O.with_(O.RENT_T)
+          + "SELECT year, count(*) AS n_rows FROM rent_t GROUP BY year")
+def q_file_year(spark, d):
+    return yearly_rents(spark, d).groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("union_by_name", O.with_(O.RENT_T) + "SELECT * FROM rent_t")
+def q_union_by_name(spark, d):
+    r = rent_table(spark, d)
+    early = r.where(F.col("year").cast("int") <= F_.REORDER_AFTER_YEAR)
+    late = r.where(F.col("year").cast("int") > F_.REORDER_AFTER_YEAR).select(*reversed(r.columns))
+    return early.unionByName(late)
+
+
+# --------------------------------------------------------------- sinks (files)
+
+RENT_MEANS_SCHEMA = ("dep string, year int, avg_rent_m2 double, avg_rent_low_m2 double, "
+                     "avg_rent_high_m2 double")
+
+
+@register("export_named_csv", O.with_(O.RENT_T, O.RENT_PARSED, O.rent_means_cte(
+    "m", ["dep"], f"reg = '{REGION.code}'")) + "SELECT * FROM m")
+def q_export_named_csv(spark, d):
+    folder = scratch_path(spark, "named-csv")
+    target = export_named_csv(rent_by_dept(region_rents(spark, d)), folder, "rent_by_dept.csv")
+    return spark.read.schema(RENT_MEANS_SCHEMA).options(header=True, sep=";").csv(target)
+
+
+@register("export_region_csv", O.with_(O.RENT_T)
+          + f"SELECT * FROM rent_t WHERE reg = '{REGION.code}'")
+def q_export_region_csv(spark, d):
+    folder = scratch_path(spark, "region-csv")
+    export_csv(rename_columns(region_rents(spark, d), {v: k for k, v in RENT_RENAMES.items()}),
+               folder, sep=";")
+    return read_delimited(spark, folder, ";", rename=RENT_RENAMES)
+
+
+@register("export_tab", O.with_(O.GEO_T) + """SELECT postal, commune, insee, dep,
+       region_label, CASE WHEN region_code = '3' THEN '30' ELSE region_code END AS region_code
+FROM geo_t""")
+def q_export_tab(spark, d):
+    folder = scratch_path(spark, "remapped-tsv")
+    remapped = remap_column(geo_table(spark, d), "region_code", {"3": "30"})
+    export_csv(rename_columns(remapped, {v: k for k, v in GEO_RENAMES.items()}), folder, sep="\t")
+    return read_delimited(spark, folder, "\t", rename=GEO_RENAMES)
+
+
+@register("materialize_once", O.with_(*O.yield_chain("dept")) + "SELECT * FROM yield_dept")
+def q_materialize_once(spark, d):
+    path = scratch_path(spark, "materialized")
+    materialize_once(q_yield_dept_long(spark, d), path)
+    return materialize_once(q_yield_dept_long(spark, d), path)  # present: not recomputed
