@@ -46,6 +46,7 @@ from propyield.plans.analogs import (
 )
 from propyield.plans.damage import CORRUPTIONS
 from propyield.plans import fixtures as F_
+from propyield.plans.pipeline import Inputs, run_pipeline
 from propyield.schemas import GEO_HEADER, GEO_RENAMES, RENT_RENAMES, SALE_RENAMES
 from propyield.session import scratch_path
 from propyield.sinks import export_csv, export_named_csv, materialize_once
@@ -357,3 +358,18 @@ def q_materialize_once(spark, d):
     path = scratch_path(spark, "materialized")
     materialize_once(q_yield_dept_long(spark, d), path)
     return materialize_once(q_yield_dept_long(spark, d), path)  # present: not recomputed
+
+
+# ------------------------------------------------------------- whole pipeline
+
+@register("full_pipeline", O.with_(*O.yield_chain("city"))
+          + O.pivot_sql("yield_city", ["city", "insee"]))
+def q_full_pipeline(spark, d):
+    """C-7 end to end on the input folders; the city yield file is read back."""
+    out = scratch_path(spark, "pipeline")
+    inputs = Inputs(F_.rent_folder(spark, d), F_.sale_folder(spark, d),
+                    F_.geo_delimited(spark, d, "\t"))
+    run_pipeline(spark, inputs, out, REGION, years=YEARS, code_remap={"3": "30"})
+    schema = "city string, insee string, " + ", ".join(f"`{y}` double" for y in YEARS)
+    return spark.read.schema(schema).options(header=True, sep=";").csv(
+        f"{out}/yield_by_city.csv")
