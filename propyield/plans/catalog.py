@@ -57,6 +57,8 @@ from propyield.sources import (
     read_tolerant,
     rename_columns,
 )
+from propyield.sources.workbooks import read_workbooks
+from propyield.streaming import ingest_available, stream_folder
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -320,6 +322,16 @@ def q_union_by_name(spark, d):
     return early.unionByName(late)
 
 
+@register("scan_workbooks", """SELECT lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0') AS code,
+       n.n_name AS dep,
+       CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c.c_mktsegment END AS level,
+       c.c_acctbal AS pct
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def q_scan_workbooks(spark, d):
+    """S6: every workbook of the folder, header names and types inferred."""
+    return read_workbooks(spark, F_.workbook_folder(spark, d))
+
+
 # --------------------------------------------------------------- sinks (files)
 
 RENT_MEANS_SCHEMA = ("dep string, year int, avg_rent_m2 double, avg_rent_low_m2 double, "
@@ -373,3 +385,17 @@ def q_full_pipeline(spark, d):
     schema = "city string, insee string, " + ", ".join(f"`{y}` double" for y in YEARS)
     return spark.read.schema(schema).options(header=True, sep=";").csv(
         f"{out}/yield_by_city.csv")
+
+
+# ------------------------------------------------------------------ streaming
+
+@register("ingest_stream", O.with_(O.SALE_T) + _SALE_FROM_TEXT)
+def q_ingest_stream(spark, d):
+    """The sale folder ingested incrementally (file stream, available-now trigger),
+    then read back from the parquet sink; a second run finds nothing new."""
+    out = scratch_path(spark, "stream")
+    folder = F_.sale_folder(spark, d)
+    for _ in range(2):
+        ingest_available(stream_folder(spark, folder, ".txt", "|", rename=SALE_RENAMES),
+                         f"{out}/table", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/table")

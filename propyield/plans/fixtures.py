@@ -7,14 +7,18 @@ analog tables (once per data directory, below the shared folder):
 * ``sale_folder``  ``|`` separated ``.txt`` files, one group per sale kind;
 * ``geo_semicolon`` / ``geo_tab``  the lookup as ``;`` / TAB folders;
 * ``geo_tolerant`` the lookup as TSV lines mixed with short and long (malformed) rows;
-* ``nation_text``  the nation table as ``;`` text, for type inference.
+* ``nation_text``  the nation table as ``;`` text, for type inference;
+* ``workbooks``    ``.xlsx`` workbooks (sheet ``Feuille1``) of customers per nation.
 """
 
 from __future__ import annotations
 
+import io
 import threading
 import uuid
+import zipfile
 from collections.abc import Callable
+from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,3 +137,108 @@ def geo_tolerant(spark: SparkSession, sf_dir: str) -> str:
 def nation_text(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "nation_text",
                  lambda tmp: export_csv(load(spark, sf_dir, "nation"), tmp, sep=";"))
+
+
+# ------------------------------------------------------------------ workbooks
+
+_CONTENT_TYPES = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+    '<Default Extension="xml" ContentType="application/xml"/>'
+    '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+    '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+    '<Override PartName="/xl/sharedStrings.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sharedStrings+xml"/>'
+    '</Types>')
+_ROOT_RELS = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
+    '</Relationships>')
+_WORKBOOK = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
+    'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
+    '<sheets><sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>')
+_WORKBOOK_RELS = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
+    '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/sharedStrings" Target="sharedStrings.xml"/>'
+    '</Relationships>')
+
+
+def xlsx_bytes(header: list[str], rows: list[list], sheet: str = "Feuille1") -> bytes:
+    """A minimal one-sheet workbook: text as shared strings, numbers as values,
+    None as a blank (absent) cell."""
+    strings: dict[str, int] = {}
+
+    def cell(ref: str, v) -> str:
+        if v is None:
+            return ""
+        if isinstance(v, str):
+            i = strings.setdefault(v, len(strings))
+            return f'<c r="{ref}" t="s"><v>{i}</v></c>'
+        return f'<c r="{ref}"><v>{float(v)!r}</v></c>'
+
+    lines = []
+    for n, values in enumerate([header, *rows], start=1):
+        cells = "".join(cell(f"{chr(ord('A') + j)}{n}", v) for j, v in enumerate(values))
+        lines.append(f'<row r="{n}">{cells}</row>')
+    sheet_xml = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+                 '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+                 f'<sheetData>{"".join(lines)}</sheetData></worksheet>')
+    sst = ''.join(f'<si><t>{escape(s)}</t></si>' for s in strings)
+    shared_xml = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+                  '<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
+                  f'count="{len(strings)}" uniqueCount="{len(strings)}">{sst}</sst>')
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", _CONTENT_TYPES)
+        z.writestr("_rels/.rels", _ROOT_RELS)
+        z.writestr("xl/workbook.xml", _WORKBOOK.format(sheet=escape(sheet)))
+        z.writestr("xl/_rels/workbook.xml.rels", _WORKBOOK_RELS)
+        z.writestr("xl/worksheets/sheet1.xml", sheet_xml)
+        z.writestr("xl/sharedStrings.xml", shared_xml)
+    return buf.getvalue()
+
+
+WORKBOOK_HEADER = ["code", "dep", "level", "pct"]
+# customers per workbook group: bounds the rows one task turns into one file
+WORKBOOK_CHUNK = 50_000
+
+
+def _open_output(uri: str):
+    import pyarrow.fs as pafs
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    return filesystem.open_output_stream(path)
+
+
+def workbook_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One workbook per (nation, customer-key range): code (text that looks numeric),
+    dep, level (blank for one segment), pct (number)."""
+    def write(tmp: str) -> None:
+        c = load(spark, sf_dir, "customer")
+        n = load(spark, sf_dir, "nation")
+        data = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("code"),
+            F.col("n_name").alias("dep"),
+            F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("level"),
+            F.col("c_acctbal").alias("pct"),
+            F.floor(F.col("c_custkey") / WORKBOOK_CHUNK).alias("chunk"))
+
+        def write_group(pdf):
+            import pandas as pd
+            name = f"niveau_{pdf['dep'].iloc[0]}_{_letters(int(pdf['chunk'].iloc[0]))}.xlsx"
+            rows = [[r.code, r.dep, None if pd.isna(r.level) else r.level,
+                     None if pd.isna(r.pct) else float(r.pct)]
+                    for r in pdf.itertuples(index=False)]
+            with _open_output(f"{tmp}/{name}") as out:
+                out.write(xlsx_bytes(WORKBOOK_HEADER, rows))
+            return pd.DataFrame({"file": [name], "rows": [len(rows)]})
+
+        data.groupBy("dep", "chunk").applyInPandas(write_group, "file string, rows long").count()
+    return _once(spark, sf_dir, "workbooks", write)

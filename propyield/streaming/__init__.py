@@ -1,0 +1,3 @@
+from propyield.streaming.ingest import ingest_available, stream_folder
+
+__all__ = ["ingest_available", "stream_folder"]
