@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from propyield.sources import fs
@@ -37,10 +38,14 @@ def export_named_csv(df: DataFrame, folder: str, file_name: str, sep: str = ";",
     through one task.
     """
     spark = df.sparkSession
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use export_csv for a part folder")
-    tmp = f"{folder.rstrip('/')}/_tmp-{uuid.uuid4().hex}"
-    export_csv(df, tmp, sep=sep, single_part=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # the check and the write share one run
+    try:
+        if df.limit(max_rows + 1).count() > max_rows:
+            raise ValueError(f"more than {max_rows} rows: use export_csv for a part folder")
+        tmp = f"{folder.rstrip('/')}/_tmp-{uuid.uuid4().hex}"
+        export_csv(df, tmp, sep=sep, single_part=True)
+    finally:
+        df.unpersist()
     parts = fs.glob(spark, f"{tmp}/part-*")
     if len(parts) != 1:
         raise OSError(f"expected one part file in {tmp}, found {len(parts)}")

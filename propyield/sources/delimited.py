@@ -8,6 +8,7 @@ type inference can disagree between files. Numbers are parsed later with
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from propyield.functions import digits_only
 from propyield.schemas import string_schema
-from propyield.sources.fs import list_files
+from propyield.sources.fs import first_line, list_files
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -33,10 +34,20 @@ def _reader(spark: SparkSession, sep: str, encoding: str) -> DataFrameReader:
 
 
 def read_header(spark: SparkSession, path: str, sep: str, encoding: str = "UTF-8") -> list[str]:
-    """Column names of one file's header line (Spark reads only that line)."""
+    """Column names of the header line of a file or of a folder's first file
+    (Spark reads only that line)."""
     return _reader(spark, sep, encoding).option("inferSchema", False).csv(path).columns
 
 
+def file_header(spark: SparkSession, path: str, sep: str,
+                encoding: str = "UTF-8") -> list[str]:
+    """Header names of one file, read as its first line through the filesystem
+    (quotes handled like the CSV reader; a blank name becomes ``_c<i>``)."""
+    line = first_line(spark, path, encoding) or ""
+    names = next(csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar='"'), [])
+    return [n if n else f"_c{i}" for i, n in enumerate(names)]
+
+
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str,
                    columns: Sequence[str] | None = None,
                    rename: Mapping[str, str] | None = None,
@@ -89,8 +100,10 @@ def ingest_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
     files = list_files(spark, folder, suffix)
     if not files:
         raise ValueError(f"no {suffix} file in folder {folder}")
-    with ThreadPoolExecutor(max_workers=min(8, len(files))) as pool:
-        headers = list(pool.map(lambda p: tuple(read_header(spark, p, sep, encoding)), files))
+    # one first-line read per file on the driver (metadata only, no Spark job);
+    # threads hide the filesystem latency when a folder holds many files
+    with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
+        headers = list(pool.map(lambda p: tuple(file_header(spark, p, sep, encoding)), files))
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, header in zip(files, headers):
         groups.setdefault(header, []).append(path)

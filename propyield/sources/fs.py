@@ -54,3 +54,14 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     fs, jpath = _fs(spark, pattern)
     found = fs.globStatus(jpath)
     return sorted(st.getPath().toString() for st in (found or []))
+
+
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str | None:
+    """The first line of a text file (no Spark job: one small read on the driver)."""
+    fs, jpath = _fs(spark, path)
+    jio = spark.sparkContext._jvm.java.io
+    stream = fs.open(jpath)
+    try:
+        return jio.BufferedReader(jio.InputStreamReader(stream, encoding)).readLine()
+    finally:
+        stream.close()
