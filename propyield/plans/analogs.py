@@ -145,7 +145,7 @@ _LOCK = threading.Lock()
 _MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _input_key(sf_dir: str) -> str:
+def input_key(sf_dir: str) -> str:
     parts = [os.path.abspath(sf_dir)]
     try:
         for name in sorted(os.listdir(sf_dir)):
@@ -163,7 +163,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     with _LOCK:
         df = _MEMO.get(key)
         if df is None or df.sparkSession is not spark:
-            path = f"{root}/propyield/analogs/{_input_key(sf_dir)}/{name}"
+            path = f"{root}/propyield/analogs/{input_key(sf_dir)}/{name}"
             if not fs.exists(spark, f"{path}/_SUCCESS"):
                 df = BUILDERS[name](spark, sf_dir)
                 tmp = f"{path}.tmp-{uuid.uuid4().hex}"

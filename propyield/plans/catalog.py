@@ -111,7 +111,7 @@ def q_filter_sale_kind(spark, d):
 
 
 @register("filter_region_labels",
-          O.with_(O.GEO_T) + f"SELECT * FROM geo_t WHERE region_label IN ({O._labels()})")
+          O.with_(O.GEO_T) + f"SELECT * FROM geo_t WHERE region_label IN ({O.labels_sql()})")
 def q_filter_region_labels(spark, d):
     return filter_labels(geo_table(spark, d), REGION.labels)
 
@@ -129,8 +129,8 @@ def q_rename_keys(spark, d):
 
 
 @register("parse_numbers", O.with_(O.SALE_T) + f"""SELECT street_no, street, postal, commune,
-       date_txt, CAST({O._num('value_txt')} AS DOUBLE) AS value,
-       CAST({O._num('surface_txt')} AS DOUBLE) AS surface
+       date_txt, CAST({O.num_sql('value_txt')} AS DOUBLE) AS value,
+       CAST({O.num_sql('surface_txt')} AS DOUBLE) AS surface
 FROM sale_t""")
 def q_parse_numbers(spark, d):
     return as_doubles(parse_amounts(sale_table(spark, d)).select(
@@ -155,7 +155,7 @@ def q_sale_year(spark, d):
 
 @register("join_sales_geo", O.with_(O.GEO_T, O.SALE_T) + f"""SELECT s.*, g.insee, g.dep
 FROM sale_t s
-JOIN (SELECT * FROM geo_t WHERE region_label IN ({O._labels()})) g
+JOIN (SELECT * FROM geo_t WHERE region_label IN ({O.labels_sql()})) g
   ON s.postal = g.postal AND s.commune = g.commune""")
 def q_join_sales_geo(spark, d):
     return join_geo(sale_table(spark, d), filter_labels(geo_table(spark, d), REGION.labels))
@@ -176,11 +176,11 @@ def q_address_sales(spark, d):
 
 @register("having_positive_surface", O.with_(O.GEO_T, O.SALE_T, f"""all_address AS (
   SELECT {O.ADDRESS_KEYS_SQL},
-         sum({O._num('s.value_txt')}) AS value_sum,
-         sum({O._num('s.surface_txt')}) AS surface_sum
+         sum({O.num_sql('s.value_txt')}) AS value_sum,
+         sum({O.num_sql('s.surface_txt')}) AS surface_sum
   FROM sale_t s JOIN geo_t g ON s.postal = g.postal AND s.commune = g.commune
   GROUP BY {O.ADDRESS_KEYS_SQL}
-  HAVING sum({O._num('s.surface_txt')}) > 0)""") + _ADDRESS_OUT.format(src="all_address"))
+  HAVING sum({O.num_sql('s.surface_txt')}) > 0)""") + _ADDRESS_OUT.format(src="all_address"))
 def q_having_positive_surface(spark, d):
     every = address_sales(join_geo(sale_table(spark, d), geo_table(spark, d)))
     return as_doubles(having_positive(every, "surface_sum"))

@@ -23,7 +23,7 @@ from xml.sax.saxutils import escape
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propyield.plans.analogs import _input_key, geo_table, load, rent_table, sale_table
+from propyield.plans.analogs import input_key, geo_table, load, rent_table, sale_table
 from propyield.schemas import (
     GEO_RENAMES,
     RENT_HEADER,
@@ -60,7 +60,7 @@ def _letters(i: int) -> str:
 def _once(spark: SparkSession, sf_dir: str, name: str,
           write: Callable[[str], None]) -> str:
     """Run ``write(tmp_folder)`` once per data directory; return the final folder."""
-    root = f"{shared_dir(spark)}/propyield/fixtures/{_input_key(sf_dir)}"
+    root = f"{shared_dir(spark)}/propyield/fixtures/{input_key(sf_dir)}"
     final = f"{root}/{name}"
     with _LOCK:
         if not fs.exists(spark, f"{final}/_DONE"):

@@ -56,11 +56,11 @@ RENT_T = """rent_t AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
 
-def _labels() -> str:
+def labels_sql() -> str:
     return ", ".join("'" + lab.replace("'", "''") + "'" for lab in REGION.labels)
 
 
-def _num(col: str, dtype: str = "DECIMAL(18,2)") -> str:
+def num_sql(col: str, dtype: str = "DECIMAL(18,2)") -> str:
     return f"TRY_CAST(replace({col}, ',', '.') AS {dtype})"
 
 
@@ -76,10 +76,10 @@ ADDRESS_KEYS_SQL = "s.street_no, s.street, s.postal, s.commune, s.date_txt, g.in
 # C-1 without the HAVING: kind, surface-present, region lookup join, address sums.
 ADDRESS_NO_HAVING = f"""address_raw AS (
   SELECT {ADDRESS_KEYS_SQL},
-         sum({_num('s.value_txt')}) AS value_sum,
-         sum({_num('s.surface_txt')}) AS surface_sum
+         sum({num_sql('s.value_txt')}) AS value_sum,
+         sum({num_sql('s.surface_txt')}) AS surface_sum
   FROM sale_t s
-  JOIN (SELECT * FROM geo_t WHERE region_label IN ({_labels()})) g
+  JOIN (SELECT * FROM geo_t WHERE region_label IN ({labels_sql()})) g
     ON s.postal = g.postal AND s.commune = g.commune
   WHERE s.kind = 'Vente' AND s.surface_txt IS NOT NULL AND s.surface_txt <> ''
   GROUP BY {ADDRESS_KEYS_SQL})"""
@@ -88,9 +88,9 @@ ADDRESS = """address AS (
   SELECT * FROM address_raw WHERE surface_sum > 0)"""
 
 RENT_PARSED = f"""rent_p AS (
-  SELECT *, {_num('rent_txt', 'DECIMAL(18,8)')} AS rent_m2,
-         {_num('low_txt', 'DECIMAL(18,8)')} AS rent_low_m2,
-         {_num('high_txt', 'DECIMAL(18,8)')} AS rent_high_m2,
+  SELECT *, {num_sql('rent_txt', 'DECIMAL(18,8)')} AS rent_m2,
+         {num_sql('low_txt', 'DECIMAL(18,8)')} AS rent_low_m2,
+         {num_sql('high_txt', 'DECIMAL(18,8)')} AS rent_high_m2,
          TRY_CAST(year AS INTEGER) AS year_i
   FROM rent_t)"""
 
