@@ -45,7 +45,7 @@ from propyield.plans.analogs import (
     sale_table,
 )
 from propyield.plans.damage import CORRUPTIONS
-from propyield.plans import fixtures as F_
+from propyield.plans import fixtures
 from propyield.plans.pipeline import Inputs, run_pipeline
 from propyield.schemas import GEO_HEADER, GEO_RENAMES, RENT_RENAMES, SALE_RENAMES
 from propyield.session import scratch_path
@@ -272,26 +272,26 @@ def q_preview_rows(spark, d):
 
 @register("scan_semicolon", O.with_(O.GEO_T) + "SELECT * FROM geo_t")
 def q_scan_semicolon(spark, d):
-    return read_delimited(spark, F_.geo_delimited(spark, d, ";"), ";", rename=GEO_RENAMES)
+    return read_delimited(spark, fixtures.geo_delimited(spark, d, ";"), ";", rename=GEO_RENAMES)
 
 
 @register("scan_tab", O.with_(O.GEO_T) + "SELECT * FROM geo_t")
 def q_scan_tab(spark, d):
-    return read_delimited(spark, F_.geo_delimited(spark, d, "\t"), "\t", rename=GEO_RENAMES)
+    return read_delimited(spark, fixtures.geo_delimited(spark, d, "\t"), "\t", rename=GEO_RENAMES)
 
 
 @register("scan_tolerant", O.with_(O.GEO_T) + "SELECT insee AS code, commune FROM geo_t")
 def q_scan_tolerant(spark, d):
-    return read_tolerant(spark, F_.geo_tolerant(spark, d), "\t").select("code", "commune")
+    return read_tolerant(spark, fixtures.geo_tolerant(spark, d), "\t").select("code", "commune")
 
 
 @register("scan_inferred", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def q_scan_inferred(spark, d):
-    return read_delimited(spark, F_.nation_text(spark, d), ";", infer=True)
+    return read_delimited(spark, fixtures.nation_text(spark, d), ";", infer=True)
 
 
 def yearly_rents(spark: SparkSession, d: str) -> DataFrame:
-    return ingest_yearly_folder(spark, F_.rent_folder(spark, d), rename=RENT_RENAMES)
+    return ingest_yearly_folder(spark, fixtures.rent_folder(spark, d), rename=RENT_RENAMES)
 
 
 @register("ingest_yearly_folder", O.with_(O.RENT_T) + "SELECT * FROM rent_t")
@@ -305,7 +305,7 @@ _SALE_FROM_TEXT = ("SELECT kind, postal, commune, NULLIF(surface_txt, '') AS sur
 
 @register("ingest_pipe_folder", O.with_(O.SALE_T) + _SALE_FROM_TEXT)
 def q_ingest_pipe_folder(spark, d):
-    return ingest_pipe_folder(spark, F_.sale_folder(spark, d), rename=SALE_RENAMES)
+    return ingest_pipe_folder(spark, fixtures.sale_folder(spark, d), rename=SALE_RENAMES)
 
 
 @register("file_year", O.with_(O.RENT_T)
@@ -317,8 +317,8 @@ def q_file_year(spark, d):
 @register("union_by_name", O.with_(O.RENT_T) + "SELECT * FROM rent_t")
 def q_union_by_name(spark, d):
     r = rent_table(spark, d)
-    early = r.where(F.col("year").cast("int") <= F_.REORDER_AFTER_YEAR)
-    late = r.where(F.col("year").cast("int") > F_.REORDER_AFTER_YEAR).select(*reversed(r.columns))
+    early = r.where(F.col("year").cast("int") <= fixtures.REORDER_AFTER_YEAR)
+    late = r.where(F.col("year").cast("int") > fixtures.REORDER_AFTER_YEAR).select(*reversed(r.columns))
     return early.unionByName(late)
 
 
@@ -329,7 +329,7 @@ def q_union_by_name(spark, d):
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def q_scan_workbooks(spark, d):
     """S6: every workbook of the folder, header names and types inferred."""
-    return read_workbooks(spark, F_.workbook_folder(spark, d))
+    return read_workbooks(spark, fixtures.workbook_folder(spark, d))
 
 
 # --------------------------------------------------------------- sinks (files)
@@ -379,8 +379,8 @@ def q_materialize_once(spark, d):
 def q_full_pipeline(spark, d):
     """C-7 end to end on the input folders; the city yield file is read back."""
     out = scratch_path(spark, "pipeline")
-    inputs = Inputs(F_.rent_folder(spark, d), F_.sale_folder(spark, d),
-                    F_.geo_delimited(spark, d, "\t"))
+    inputs = Inputs(fixtures.rent_folder(spark, d), fixtures.sale_folder(spark, d),
+                    fixtures.geo_delimited(spark, d, "\t"))
     run_pipeline(spark, inputs, out, REGION, years=YEARS, code_remap={"3": "30"})
     schema = "city string, insee string, " + ", ".join(f"`{y}` double" for y in YEARS)
     return spark.read.schema(schema).options(header=True, sep=";").csv(
@@ -394,7 +394,7 @@ def q_ingest_stream(spark, d):
     """The sale folder ingested incrementally (file stream, available-now trigger),
     then read back from the parquet sink; a second run finds nothing new."""
     out = scratch_path(spark, "stream")
-    folder = F_.sale_folder(spark, d)
+    folder = fixtures.sale_folder(spark, d)
     for _ in range(2):
         ingest_available(stream_folder(spark, folder, ".txt", "|", rename=SALE_RENAMES),
                          f"{out}/table", f"{out}/checkpoint")

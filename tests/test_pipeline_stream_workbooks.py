@@ -4,6 +4,7 @@ import zipfile
 
 import pytest
 
+from propyield.plans import fixtures
 from propyield.plans.analogs import REGION, YEARS
 from propyield.plans.fixtures import xlsx_bytes
 from propyield.plans.pipeline import Inputs, run_pipeline
@@ -62,9 +63,8 @@ def test_stream_ingests_only_new_files(spark, scratch):
 
 
 def test_pipeline_outputs_and_rerun(spark, scratch):
-    from propyield.plans import fixtures as F_
-    inputs = Inputs(F_.rent_folder(spark, SF001), F_.sale_folder(spark, SF001),
-                    F_.geo_delimited(spark, SF001, "\t"))
+    inputs = Inputs(fixtures.rent_folder(spark, SF001), fixtures.sale_folder(spark, SF001),
+                    fixtures.geo_delimited(spark, SF001, "\t"))
     out = run_pipeline(spark, inputs, scratch, REGION, years=YEARS, code_remap={"3": "30"})
     for name in ("rent_by_dept.csv", "rent_by_city.csv", "yield_by_dept.csv",
                  "yield_by_city.csv"):
