@@ -4,11 +4,12 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from propyield.plans.catalog import REGISTRY
 from tests.oracle_check import compare, duck
 
 SF_DIR = os.environ.get("PROPYIELD_ORACLE_SF", "/root/testdata/sf0.01")
-SQL = oracle_sql()
+SQL = {n: q.sql for n, q in REGISTRY.items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +18,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(SQL) == set(queries())
+    assert set(SQL) == set(REGISTRY)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    ok, msg = compare(spark, con, name, queries()[name], SQL[name], SF_DIR)
+    ok, msg = compare(spark, con, name, REGISTRY[name].run, SQL[name], SF_DIR)
     assert ok, msg
 
 
