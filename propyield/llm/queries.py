@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from propyield.llm.ann import neighbours_report
+from propyield.llm.hmm import hmm_scores
+from propyield.llm.langid import identify
 from propyield.llm.mixing import mix_report
 from propyield.llm.pii import pii_report
 from propyield.llm.quality import quality_report
 from propyield.llm.secret_scan import secret_report
+from propyield.llm.toxicity import fit, score_toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -22,11 +26,20 @@ def over_documents(report: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return lambda spark, sf_dir: report(table(spark, sf_dir, "documents"))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, QueryFn] = {
+    "op2_hmm": over_documents(hmm_scores),
+    "op3_neighbours": lambda spark, sf_dir: neighbours_report(table(spark, sf_dir, "embeddings")),
     "op5_pii": over_documents(pii_report),
+    "op6_language": lambda spark, sf_dir: identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")),
     "op7_quality": over_documents(quality_report),
     "op8_secrets": over_documents(secret_report),
     "op9_mixing": over_documents(mix_report),
+    "op10_toxicity": toxicity,
 }
 
 SQL: dict[str, str] = {}
