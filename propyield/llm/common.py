@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -83,3 +84,55 @@ def span_digest(spans: DataFrame, base_kinds: tuple[str, ...]) -> DataFrame:
     return spans.select("doc_id", *[count(k) for k in base_kinds],
                         F.sha2(text(base).cast("binary"), 256).alias("base_sha256"),
                         text(F.col("spans")).alias("spans"))
+
+
+#: Distinct pieces a task counts before it hands them on.
+FLUSH = 200_000
+
+
+def count_pieces(texts: DataFrame, pieces_of: Callable[[bytes | None], list[bytes]]) -> DataFrame:
+    """word (binary), n: how often each piece occurs in the one column of ``texts``.
+
+    Pieces are summed within tasks first, in tables of bounded size.
+    """
+    small_batches(texts.sparkSession)
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+
+    def counted(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(pieces_of(text))
+            if len(counts) > FLUSH:
+                yield counted(counts)
+                counts = Counter()
+        yield counted(counts)
+
+    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def frequent_grade(counts: DataFrame, limit: int, max_bytes: int) -> DataFrame:
+    """The rows of ``counts`` with the highest counts: ``limit`` at most, by whole grades.
+
+    A grade is a sixteenth of a doubling; no sort of the table is needed. Longer
+    pieces than ``max_bytes`` are left out, so the result's bytes are bounded too.
+    """
+    rows = counts.where(F.length("word") <= max_bytes).withColumn("grade", F.floor(F.log2("n") * 16).cast("int"))
+    taken, floor = 0, None
+    for r in rows.groupBy("grade").agg(F.count(F.lit(1)).alias("w")).orderBy(F.desc("grade")).collect():
+        taken += r["w"]
+        if taken > limit:
+            break
+        floor = r["grade"]
+    return rows.where(F.lit(False) if floor is None else F.col("grade") >= floor).select("word", "n")
+
+
+def frequent_pieces(counts: DataFrame, limit: int, max_bytes: int) -> list[tuple[bytes, int]]:
+    """``frequent_grade`` on the driver, by falling count, then bytes."""
+    got = frequent_grade(counts, limit, max_bytes).toArrow()
+    pairs = zip(got["word"].to_pylist(), got["n"].to_pylist(), strict=True)
+    return sorted(pairs, key=lambda x: (-x[1], x[0]))

@@ -32,13 +32,14 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propyield.llm.common import map_batches, small_batches, words_of
+from propyield.llm.common import count_pieces, frequent_pieces, map_batches, small_batches, words_of
 from propyield.session import scratch_path
 
 STATES = 8
@@ -52,14 +53,17 @@ DICTIONARY, WORD_BYTES = 1 << 18, 64
 SEGMENT = 256
 #: Pseudo-tokens by which a state's emissions lean on the class frequencies.
 LEAN = 50.0
-#: Words a task counts before it hands them on, and tokens it scores at a time.
-FLUSH, CHUNK = 200_000, 4_000_000
+#: Tokens a task scores at a time.
+CHUNK = 4_000_000
 
 
 def shared_class(word: bytes) -> int:
     return OWN + zlib.crc32(word[-3:]) % SHARED
 
 
+# Broadcasts carry the fields of these classes: workers need no copy of this package.
+
+
 @dataclass
 class Dictionary:
     """Frequent words: their class and count; a shared class's place count."""
@@ -179,40 +183,6 @@ def log10_likelihood(model: Hmm, codes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _word_counts(texts: DataFrame) -> DataFrame:
-    """word (binary), n: how often each occurs in ``texts``, summed within tasks first."""
-    small_batches(texts.sparkSession)
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(words_of(text))
-            if len(counts) > FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], schema=schema)
-                counts = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], schema=schema)
-
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def frequent_words(counts: DataFrame, limit: int = DICTIONARY, max_bytes: int = WORD_BYTES) -> list[tuple[bytes, int]]:
-    """The words of the highest counts, by whole classes of counts: ``limit`` at most."""
-    rows = counts.where(F.length("word") <= max_bytes).withColumn("grade", F.floor(F.log2("n") * 16).cast("int"))
-    taken, floor = 0, None
-    for r in rows.groupBy("grade").agg(F.count(F.lit(1)).alias("w")).orderBy(F.desc("grade")).collect():
-        taken += r["w"]
-        if taken > limit:
-            break
-        floor = r["grade"]
-    if floor is None:
-        return []
-    got = rows.where(F.col("grade") >= floor).select("word", "n").toArrow()
-    pairs = zip(got["word"].to_pylist(), got["n"].to_pylist(), strict=True)
-    return sorted(pairs, key=lambda x: (-x[1], x[0]))
-
-
 def _class_rooms(counts: DataFrame, own: set[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and distinct words of each shared class."""
     def fn(words, ns):
@@ -234,7 +204,7 @@ def _class_rooms(counts: DataFrame, own: set[bytes]) -> tuple[np.ndarray, np.nda
 def _encode(docs: DataFrame, spread) -> DataFrame:
     """One row per text: its classes, what the dictionary settles, and its other words."""
     def fn(ids, held, texts):
-        d: Dictionary = spread.value
+        d = SimpleNamespace(**spread.value)
         get, log_count = d.words.get, np.log10(d.count + 1.0)
         out: dict[str, list] = {c: [] for c in ("doc_id", "held_out", "n_tokens", "codes", "log_all", "log_shared", "log_room", "known", "rare")}
         for i, h, text in zip(ids, held, texts, strict=True):
@@ -272,7 +242,7 @@ def _encode(docs: DataFrame, spread) -> DataFrame:
 
 def _round(codes: DataFrame, model: Hmm, class_counts: np.ndarray) -> Hmm:
     """One Baum-Welch round: expected counts in tasks, summed across partitions."""
-    spread = codes.sparkSession.sparkContext.broadcast(model)
+    spread = codes.sparkSession.sparkContext.broadcast(vars(model))
     k = len(model.start)
     width = k + k * k + CLASSES * k
     schema = pa.schema([("at", pa.int32()), ("n", pa.float64())])
@@ -280,7 +250,7 @@ def _round(codes: DataFrame, model: Hmm, class_counts: np.ndarray) -> Hmm:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width)
         for texts in _gathered(batches, 0):
-            total += np.concatenate([x.ravel() for x in expected_counts(spread.value, texts[1])])
+            total += np.concatenate([x.ravel() for x in expected_counts(SimpleNamespace(**spread.value), texts[1])])
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(total[hit], pa.float64())], schema=schema)
 
@@ -318,23 +288,23 @@ def hmm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> D
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2, F.lit(False))
     train = docs.where(~held)
     path = scratch_path(spark, "hmm-counts")
-    _word_counts(train.select(F.col("text").cast("binary"))).write.parquet(path)
+    count_pieces(train.select(F.col("text").cast("binary")), words_of).write.parquet(path)
     counts = spark.read.parquet(path)
     ends = train.count()
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train, vocabulary = sums["n"] + ends, sums["v"] + (ends > 0)
 
-    frequent = frequent_words(counts)
+    frequent = frequent_pieces(counts, DICTIONARY, WORD_BYTES)
     own = {w: i for i, (w, _) in enumerate(frequent[:OWN])}
     tokens, kinds = _class_rooms(counts, set(own))
     class_counts = np.zeros(CLASSES)
     class_counts[:len(own)] = [n for _, n in frequent[:OWN]]
     class_counts[OWN:END] = tokens + kinds
     class_counts[END] = ends
-    spread = sc.broadcast(Dictionary(
+    spread = sc.broadcast(vars(Dictionary(
         {w: i for i, (w, _) in enumerate(frequent)},
         np.array([own.get(w, -1) if w in own else shared_class(w) for w, _ in frequent], dtype=np.int64),
-        np.array([n for _, n in frequent], dtype=np.float64), tokens + kinds + 1.0, ends))
+        np.array([n for _, n in frequent], dtype=np.float64), tokens + kinds + 1.0, ends)))
     path = scratch_path(spark, "hmm-texts")
     # the row number is fixed once it is written
     _encode(docs, spread).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
@@ -346,14 +316,14 @@ def hmm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> D
             model = _round(texts.where(~F.col("held_out")).select("codes"), model, class_counts)
 
     small_batches(spark)
-    final = sc.broadcast(model)
+    final = sc.broadcast(vars(model))
     kind = docs.schema["doc_id"].dataType.simpleString()
     narrow = ["row", "doc_id", "held_out", "n_tokens", "known", "log_all", "log_shared", "log_room"]
     schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, log_all double, log_shared double, log_room double, forward double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, codes in _gathered(batches, len(narrow)):
-            scores = log10_likelihood(final.value, codes)
+            scores = log10_likelihood(SimpleNamespace(**final.value), codes)
             at = 0
             for b in part:
                 cols = [b.column(i) for i in range(len(narrow))]

@@ -21,7 +21,6 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Iterable
-from functools import lru_cache
 from itertools import product
 
 from pyspark.sql import DataFrame
@@ -47,8 +46,12 @@ _ACCOUNT = re.compile(r"[\x20]?(?:no|nr|number)?[.:#\x20]{0,3}((?:[A-Z]{2}[0-9]{
 ACCOUNT_CUES = ("account", "acct", "iban", "konto", "compte", "cuenta")
 
 
-@lru_cache(maxsize=1)
+_BUILT: list = []  # the automaton, made once in each Python worker
+
+
 def _automaton():
+    if _BUILT:
+        return _BUILT[0]
     import ahocorasick
 
     a = ahocorasick.Automaton()
@@ -65,6 +68,7 @@ def _automaton():
         for form in {cue, cue.upper(), cue.title()}:
             a.add_word(form, ("account", len(form)))
     a.make_automaton()
+    _BUILT.append(a)
     return a
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from propyield.llm.ann import neighbours_report
+from propyield.llm.bpe import bpe_report, read_ranks
 from propyield.llm.hmm import hmm_scores
+from propyield.llm.jaccard import ngram_components
 from propyield.llm.langid import identify
 from propyield.llm.mixing import mix_report
 from propyield.llm.pii import pii_report
@@ -26,14 +28,23 @@ def over_documents(report: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return lambda spark, sf_dir: report(table(spark, sf_dir, "documents"))
 
 
+def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe_report(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_bpe": bpe,
     "op2_hmm": over_documents(hmm_scores),
     "op3_neighbours": lambda spark, sf_dir: neighbours_report(table(spark, sf_dir, "embeddings")),
+    "op4_jaccard": over_documents(ngram_components),
     "op5_pii": over_documents(pii_report),
     "op6_language": lambda spark, sf_dir: identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")),
     "op7_quality": over_documents(quality_report),
