@@ -23,8 +23,10 @@ import string
 from collections.abc import Iterable
 from itertools import product
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from propyield.llm.common import fresh, map_batches, span_digest
 
@@ -175,8 +177,6 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text_col`` masked; all other columns unchanged."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:

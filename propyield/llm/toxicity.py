@@ -26,8 +26,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from propyield.llm.common import map_batches, words_of
 
@@ -198,8 +200,6 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
 
 def without_toxic(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text is toxic; all columns unchanged."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
     index, thetas = model.index(), model.thetas
 
