@@ -13,6 +13,7 @@ analog tables (once per data directory, below the shared folder):
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import threading
 import uuid
@@ -60,7 +61,7 @@ def _letters(i: int) -> str:
 def _once(spark: SparkSession, sf_dir: str, name: str,
           write: Callable[[str], None]) -> str:
     """Run ``write(tmp_folder)`` once per data directory; return the final folder."""
-    root = f"{shared_dir(spark)}/propyield/fixtures/{input_key(sf_dir)}"
+    root = f"{shared_dir(spark)}/propyield/fixtures/{input_key(spark, sf_dir)}"
     final = f"{root}/{name}"
     with _LOCK:
         if not fs.exists(spark, f"{final}/_DONE"):
@@ -141,6 +142,7 @@ def nation_text(spark: SparkSession, sf_dir: str) -> str:
 
 # ------------------------------------------------------------------ workbooks
 
+# --- fixed values: the parts that the workbook format asks for in any file
 _CONTENT_TYPES = (
     '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
     '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
@@ -168,9 +170,16 @@ _WORKBOOK_RELS = (
     '</Relationships>')
 
 
-def xlsx_bytes(header: list[str], rows: list[list], sheet: str = "Feuille1") -> bytes:
-    """A minimal one-sheet workbook: text as shared strings, numbers as values,
-    None as a blank (absent) cell."""
+_STYLES = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+    '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+# --- end of fixed values ---
+
+
+def xlsx_bytes(header: list[str | None], rows: list[list], sheet: str = "Feuille1") -> bytes:
+    """A minimal one-sheet workbook: text as shared strings, numbers as values, dates
+    as serial numbers of a date style, None as a blank (absent) cell."""
     strings: dict[str, int] = {}
 
     def cell(ref: str, v) -> str:
@@ -179,6 +188,10 @@ def xlsx_bytes(header: list[str], rows: list[list], sheet: str = "Feuille1") ->
         if isinstance(v, str):
             i = strings.setdefault(v, len(strings))
             return f'<c r="{ref}" t="s"><v>{i}</v></c>'
+        if isinstance(v, bool):
+            return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
+        if isinstance(v, dt.date):
+            return f'<c r="{ref}" s="1"><v>{(v - dt.date(1899, 12, 30)).days}</v></c>'
         return f'<c r="{ref}"><v>{float(v)!r}</v></c>'
 
     lines = []
@@ -200,10 +213,11 @@ def xlsx_bytes(header: list[str], rows: list[list], sheet: str = "Feuille1") ->
         z.writestr("xl/_rels/workbook.xml.rels", _WORKBOOK_RELS)
         z.writestr("xl/worksheets/sheet1.xml", sheet_xml)
         z.writestr("xl/sharedStrings.xml", shared_xml)
+        z.writestr("xl/styles.xml", _STYLES)
     return buf.getvalue()
 
 
-WORKBOOK_HEADER = ["code", "dep", "level", "pct"]
+WORKBOOK_HEADER = ["code", "dep", "level", "pct", "pct", None, "day"]
 # customers per workbook group: bounds the rows one task turns into one file
 WORKBOOK_CHUNK = 50_000
 
@@ -219,7 +233,8 @@ def _open_output(uri: str):
 
 def workbook_folder(spark: SparkSession, sf_dir: str) -> str:
     """One workbook per (nation, customer-key range): code (text that looks numeric),
-    dep, level (blank for one segment), pct (number)."""
+    dep, level (blank for one segment), pct (number), a second column of that name
+    (the key), a column without a name (a boolean) and a date."""
     def write(tmp: str) -> None:
         c = load(spark, sf_dir, "customer")
         n = load(spark, sf_dir, "nation")
@@ -227,14 +242,15 @@ def workbook_folder(spark: SparkSession, sf_dir: str) -> str:
             F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("code"),
             F.col("n_name").alias("dep"),
             F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("level"),
-            F.col("c_acctbal").alias("pct"),
+            F.col("c_acctbal").alias("pct"), "c_custkey",
             F.floor(F.col("c_custkey") / WORKBOOK_CHUNK).alias("chunk"))
 
         def write_group(pdf):
             import pandas as pd
             name = f"niveau_{pdf['dep'].iloc[0]}_{_letters(int(pdf['chunk'].iloc[0]))}.xlsx"
             rows = [[r.code, r.dep, None if pd.isna(r.level) else r.level,
-                     None if pd.isna(r.pct) else float(r.pct)]
+                     None if pd.isna(r.pct) else float(r.pct), float(r.c_custkey),
+                     r.c_custkey % 2 == 0, dt.date(2020, 1, 1) + dt.timedelta(days=int(r.c_custkey % 1000))]
                     for r in pdf.itertuples(index=False)]
             with _open_output(f"{tmp}/{name}") as out:
                 out.write(xlsx_bytes(WORKBOOK_HEADER, rows))

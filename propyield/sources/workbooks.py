@@ -3,12 +3,15 @@
 Spark lists the workbooks with the ``binaryFile`` source (one row per file, so many
 workbooks are decoded in parallel tasks) and ``mapInArrow`` decodes each one with
 the standard library: a workbook is a zip of XML parts. The first row of the sheet
-is the header. Types are declared by the caller or inferred by a first distributed
-pass that returns only one (names, kinds) row per workbook.
+is the header; blank and repeated names are numbered (``_c3``, ``taux1``). Types are
+declared by the caller or inferred by a first distributed pass whose kinds are merged
+by column name in Spark, so one row a column reaches the driver. Numbers in cells of a
+date format become timestamps.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -17,14 +20,26 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DoubleType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 # --- fixed values: sheet read by default, and the Office Open XML namespaces
 DEFAULT_SHEET = "Feuille1"
 MAIN_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 DOC_REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 PKG_REL_NS = "{http://schemas.openxmlformats.org/package/2006/relationships}"
+# number formats of the standard that show dates or times, by their id
+DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), 45, 46, 47, *range(50, 59)])
+# day 0 of the serial dates (of the 1900 system, from March 1900 on; and of the 1904 one)
+EPOCHS = {False: dt.datetime(1899, 12, 30), True: dt.datetime(1904, 1, 1)}
 # --- end of fixed values
 
 _REF = re.compile(r"([A-Z]+)(\d+)")
@@ -40,7 +55,29 @@ def _column_index(ref: str | None, fallback: int) -> int:
     return idx - 1
 
 
-def _cell_value(c: ET.Element, shared: list[str]):
+def _date_styles(styles: ET.Element) -> set[int]:
+    """The cell styles whose number format shows a date or a time."""
+    custom = {int(f.get("numFmtId", -1)): f.get("formatCode", "") for f in styles.iter(f"{MAIN_NS}numFmt")}
+    plain = {i: re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", code).lower() for i, code in custom.items()}
+    dates = DATE_FORMATS | {i for i, code in plain.items() if re.search("[ymdhs]", code) and "general" not in code}
+    cells = styles.find(f"{MAIN_NS}cellXfs")
+    return {i for i, x in enumerate(cells if cells is not None else []) if int(x.get("numFmtId", 0)) in dates}
+
+
+def header_names(row: list) -> list[str]:
+    """One name for each column: blanks by their place, repeats numbered from 1."""
+    names: list[str] = []
+    for i, value in enumerate(row):
+        name = base = str(value).strip() if value not in (None, "") else f"_c{i}"
+        n = 0
+        while name in names:
+            n += 1
+            name = f"{base}{n}"
+        names.append(name)
+    return names
+
+
+def _cell_value(c: ET.Element, shared: list[str], dates: set[int] = frozenset(), epoch=EPOCHS[False]):
     t = c.get("t", "n")
     if t == "inlineStr":
         return "".join(x.text or "" for x in c.iter(f"{MAIN_NS}t"))
@@ -55,7 +92,10 @@ def _cell_value(c: ET.Element, shared: list[str]):
         return v.text
     if t == "e":
         return None
-    return float(v.text)
+    number = float(v.text)
+    if int(c.get("s", 0)) in dates:
+        return epoch + dt.timedelta(milliseconds=round(number * 86_400_000))
+    return number
 
 
 def sheet_rows(data: bytes, sheet: str = DEFAULT_SHEET) -> list[list]:
@@ -76,14 +116,20 @@ def sheet_rows(data: bytes, sheet: str = DEFAULT_SHEET) -> list[list]:
         target = next(r.get("Target") for r in rels.iter(f"{PKG_REL_NS}Relationship")
                       if r.get("Id") == rid)
         part = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
-        ws = ET.fromstring(z.read(part))
-    rows = []
-    for row in ws.iter(f"{MAIN_NS}row"):
-        cells: dict[int, object] = {}
-        for pos, c in enumerate(row.iter(f"{MAIN_NS}c")):
-            cells[_column_index(c.get("r"), pos)] = _cell_value(c, shared)
-        width = max(cells) + 1 if cells else 0
-        rows.append([cells.get(i) for i in range(width)])
+        dates = _date_styles(ET.fromstring(z.read("xl/styles.xml"))) if "xl/styles.xml" in names else set()
+        properties = wb.find(f"{MAIN_NS}workbookPr")
+        epoch = EPOCHS[properties is not None and properties.get("date1904") in ("1", "true")]
+        rows = []
+        with z.open(part) as sheet_xml:
+            for _, row in ET.iterparse(sheet_xml):  # a row at a time, not the whole document
+                if row.tag != f"{MAIN_NS}row":
+                    continue
+                cells: dict[int, object] = {}
+                for pos, c in enumerate(row.iter(f"{MAIN_NS}c")):
+                    cells[_column_index(c.get("r"), pos)] = _cell_value(c, shared, dates, epoch)
+                width = max(cells) + 1 if cells else 0
+                rows.append([cells.get(i) for i in range(width)])
+                row.clear()
     return rows
 
 
@@ -94,6 +140,8 @@ def _kind(v) -> str:
         return "boolean"
     if isinstance(v, float):
         return "double"
+    if isinstance(v, dt.datetime):
+        return "timestamp"
     return "string"
 
 
@@ -105,14 +153,19 @@ def _merge(a: str, b: str) -> str:
     return "string"
 
 
-_KIND_TYPE = {"double": DoubleType(), "boolean": BooleanType(), "string": StringType(),
+_KIND_TYPE = {"double": DoubleType(), "boolean": BooleanType(), "string": StringType(), "timestamp": TimestampNTZType(),
               "empty": StringType()}
 
 
+_TRUTH = {"true": True, "vrai": True, "1": True, "false": False, "faux": False, "0": False}
+
+
 def _as(v, dtype):
     if v is None or v == "":
         return None
     if isinstance(dtype, DoubleType):
+        if isinstance(v, dt.datetime):
+            return None
         if isinstance(v, str):
             try:
                 return float(v.replace(",", "."))
@@ -120,7 +173,10 @@ def _as(v, dtype):
                 return None
         return float(v)
     if isinstance(dtype, BooleanType):
-        return bool(v)
+        # text as spreadsheets write it; anything else is no boolean
+        return _TRUTH.get(v.strip().lower()) if isinstance(v, str) else bool(v)
+    if isinstance(dtype, TimestampNTZType):
+        return v if isinstance(v, dt.datetime) else None
     if isinstance(v, float):
         return str(int(v)) if v.is_integer() else repr(v)
     return str(v)
@@ -133,36 +189,42 @@ def _list(spark: SparkSession, folder: str, glob: str) -> DataFrame:
 
 
 def infer_workbook_schema(files: DataFrame, sheet: str = DEFAULT_SHEET) -> StructType:
-    """Header names and value kinds per workbook (one small row each), merged."""
-    out = StructType([StructField("names", StringType()), StructField("kinds", StringType())])
+    """Header names and value kinds of all workbooks, merged by name in Spark."""
+    out = StructType([StructField("name", StringType()), StructField("place", StringType()),
+                      StructField("kind", StringType())])
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, kinds = [], []
-            for content in batch.column("content").to_pylist():
+            found: list[tuple[str, str, str]] = []
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 rows = sheet_rows(content, sheet)
-                header = [str(h) for h in rows[0]] if rows else []
-                k = ["empty"] * len(header)
+                header = header_names(rows[0]) if rows else []
+                kinds = ["empty"] * len(header)
                 for r in rows[1:]:
                     for i, v in enumerate(r[:len(header)]):
-                        k[i] = _merge(k[i], _kind(v))
-                names.append("\x1f".join(header))
-                kinds.append("\x1f".join(k))
-            yield pa.RecordBatch.from_pydict({"names": names, "kinds": kinds})
+                        kinds[i] = _merge(kinds[i], _kind(v))
+                found += [(h, f"{path}\x1f{i:06d}", k) for i, (h, k) in enumerate(zip(header, kinds))]
+            yield pa.RecordBatch.from_pydict({"name": [f[0] for f in found], "place": [f[1] for f in found],
+                                              "kind": [f[2] for f in found]})
 
-    merged: dict[str, str] = {}
-    for row in files.mapInArrow(summarise, out).collect():  # one row per workbook
-        for n, k in zip(row.names.split("\x1f"), row.kinds.split("\x1f")):
-            merged[n] = _merge(merged.get(n, "empty"), k)
-    return StructType([StructField(n, _KIND_TYPE[k]) for n, k in merged.items()])
+    known = F.array_remove(F.collect_set("kind"), "empty")
+    merged = (files.mapInArrow(summarise, out).groupBy("name")
+              .agg(F.min("place").alias("place"),
+                   F.when(F.size(known) == 1, known[0]).when(F.size(known) == 0, "empty").otherwise("string").alias("kind")))
+    # one row a column, in the order of the first workbook that has it
+    columns = sorted(merged.collect(), key=lambda r: r["place"])
+    return StructType([StructField(r["name"], _KIND_TYPE[r["kind"]]) for r in columns])
 
 
 def read_workbooks(spark: SparkSession, folder: str, sheet: str = DEFAULT_SHEET,
-                   schema: StructType | None = None, glob: str = "*.xlsx",
+                   schema: StructType | None = None, glob: str = "*.[xX][lL][sS][xX]",
                    file_column: str | None = None) -> DataFrame:
     """Rows of ``sheet`` from every workbook in ``folder``, matched to ``schema`` by
-    header name (a column a workbook lacks is null). ``file_column`` adds the path."""
+    header name (a column a workbook lacks is null). ``file_column`` adds the path. A
+    folder without workbooks (extension in any case) is an error."""
     files = _list(spark, folder, glob)
+    if files.select("path").isEmpty():
+        raise ValueError(f"no workbook in folder {folder}")
     if schema is None:
         schema = infer_workbook_schema(files, sheet)
     fields = list(schema.fields)
@@ -177,7 +239,7 @@ def read_workbooks(spark: SparkSession, folder: str, sheet: str = DEFAULT_SHEET,
                 rows = sheet_rows(content, sheet)
                 if not rows:
                     continue
-                pos = {str(h): i for i, h in enumerate(rows[0])}
+                pos = {h: i for i, h in enumerate(header_names(rows[0]))}
                 cols = {}
                 for f in fields:
                     i = pos.get(f.name)
