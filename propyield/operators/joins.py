@@ -1,34 +1,16 @@
-"""Equi-join of a large table with a lookup whose size is checked, not assumed."""
+"""Equi-join of a large table with a lookup."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A lookup of this many rows or fewer is broadcast. The French postal-code /
-# commune lookup has ~40k rows; 500k narrow rows stay well under 100 MB per
-# executor. Anything larger takes the shuffle join below.
-MAX_BROADCAST_ROWS = 500_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops reading once the bound is exceeded, so the
-    check is cheap even on a lookup that turns out to be large.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_lookup(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def join_lookup(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join ``big`` with ``lookup`` on equal keys.
 
-    A lookup proven small is broadcast, so the large side is never shuffled.
-    Otherwise the plan is a plain shuffle join; AQE's skew-join handling splits
-    oversized partitions of a hot key, and AQE may still switch to a broadcast
-    once it has measured the real shuffle size.
+    The planner broadcasts the lookup when its estimated bytes stay below
+    ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are shuffled, AQE
+    splits a hot key's partition, and it may still switch to a broadcast once it has
+    measured the real shuffle size. Building the plan runs no job.
     """
-    if fits_broadcast(lookup, max_broadcast_rows):
-        return big.join(F.broadcast(lookup), on, how)
     return big.join(lookup, on, how)

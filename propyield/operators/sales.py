@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from propyield.functions import decimal_comma
 from propyield.operators.filters import (
@@ -12,32 +13,43 @@ from propyield.operators.filters import (
     filter_present,
     having_positive,
 )
-from propyield.operators.joins import MAX_BROADCAST_ROWS, join_lookup
-from propyield.schemas import ADDRESS_KEYS, SALE_KIND, RegionSpec
+from propyield.operators.joins import join_lookup
+from propyield.schemas import ADDRESS_KEYS, MONEY, SALE_KIND, RegionSpec
 
 GEO_JOIN_KEYS = ["postal", "commune"]
 
 
-def parse_amounts(df: DataFrame) -> DataFrame:
-    """Decimal-comma value and surface texts to exact decimals (null if unparsable)."""
+def parse_amounts(df: DataFrame, dtype: DataType = MONEY) -> DataFrame:
+    """Decimal-comma value and surface texts to exact decimals (null if unparsable).
+
+    ``dtype`` sets the scale: more decimals than it holds are rounded on parse.
+    """
     return df.withColumns({
-        "value": decimal_comma("value_txt"),
-        "surface": decimal_comma("surface_txt"),
+        "value": decimal_comma("value_txt", dtype),
+        "surface": decimal_comma("surface_txt", dtype),
     })
 
 
-def join_geo(sales: DataFrame, geo: DataFrame,
-             max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def repair_postal(df: DataFrame, col: str = "postal", width: int = 5) -> DataFrame:
+    """Put back leading zeros that a numeric reading has cut off (``9000`` -> ``09000``).
+
+    Only values of digits alone, shorter than ``width``, change.
+    """
+    c = F.col(f"`{col}`")
+    return df.withColumn(col, F.when(c.rlike(r"^[0-9]+$") & (F.length(c) < width), F.lpad(c, width, "0")).otherwise(c))
+
+
+def join_geo(sales: DataFrame, geo: DataFrame) -> DataFrame:
     """Attach INSEE code and department to each sale by (postal code, commune).
 
     Inner equi-join: case-, accent- and leading-zero-sensitive, null keys never
     match, a repeated (postal, commune) pair in the lookup fans out.
     """
     lookup = geo.select(*GEO_JOIN_KEYS, "insee", "dep")
-    return join_lookup(sales, lookup, GEO_JOIN_KEYS, "inner", max_broadcast_rows)
+    return join_lookup(sales, lookup, GEO_JOIN_KEYS, "inner")
 
 
-def address_sales(df: DataFrame, keys: list[str] = ADDRESS_KEYS) -> DataFrame:
+def address_sales(df: DataFrame, keys: list[str] = ADDRESS_KEYS, dtype: DataType = MONEY) -> DataFrame:
     """Sum sale value and built surface per address and sale date.
 
     Lines of one sale share the address, so they are added up (a value listed on
@@ -45,24 +57,22 @@ def address_sales(df: DataFrame, keys: list[str] = ADDRESS_KEYS) -> DataFrame:
     their own groups; an all-null sum is null. Sums are exact decimals, so the
     map-side partial aggregation and the final merge give one answer.
     """
-    return (parse_amounts(df)
+    return (parse_amounts(df, dtype)
             .groupBy(*keys)
             .agg(F.sum("value").alias("value_sum"),
                  F.sum("surface").alias("surface_sum")))
 
 
 def clean_sales(sales: DataFrame, geo: DataFrame, region: RegionSpec,
-                kind: str = SALE_KIND,
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                kind: str = SALE_KIND, dtype: DataType = MONEY) -> DataFrame:
     """Sales of one kind in one region, summed per address, with built surface > 0.
 
     ``sales`` has the renamed sale columns, ``geo`` the renamed lookup columns.
     The kind and surface filters reach the sales scan; the region filter reaches
-    the lookup scan before the lookup is size-checked and broadcast.
+    the lookup scan before the join. ``dtype`` is the exact type amounts are summed in.
     """
     s = filter_present(filter_kind(sales, kind), "surface_txt").select(
         "street_no", "street", "postal", "commune", "date_txt",
         "value_txt", "surface_txt")
     g = filter_labels(geo, region.labels)
-    joined = join_geo(s, g, max_broadcast_rows)
-    return having_positive(address_sales(joined), "surface_sum")
+    return having_positive(address_sales(join_geo(s, g), dtype=dtype), "surface_sum")

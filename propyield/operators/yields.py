@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propyield.functions import gross_yield, year_of
+from propyield.operators.text import repair_column
 
 
 def with_sale_year(address: DataFrame) -> DataFrame:
@@ -44,20 +45,15 @@ def yield_long(totals: DataFrame, rents: DataFrame, join_keys: Sequence[str],
 
 
 def pivot_years(long: DataFrame, row_keys: Sequence[str],
-                years: Sequence[int] | None = None,
                 value: str = "rental_yield") -> DataFrame:
     """One row per ``row_keys``, one column per year (ascending), cell = the value.
 
-    Pass ``years`` when known: the output schema is then fixed and the pivot is one
-    conditional aggregation (one shuffle, partial aggregation per task). Without
-    them, Spark's ``pivot`` first collects the distinct years (a small job).
+    The years are those of the data: Spark's ``pivot`` first collects the distinct
+    ones with a small job. Pass a table that is written (``materialize_once``) rather
+    than a long plan, or that job computes the plan once more.
     Each cell holds at most one row upstream, so ``first`` is well defined.
     """
-    if years is None:
-        return long.groupBy(*row_keys).pivot("year").agg(F.first(value))
-    cells = [F.first(F.when(F.col("year") == F.lit(y), F.col(value)), ignorenulls=True)
-             .alias(str(y)) for y in sorted(years)]
-    return long.groupBy(*row_keys).agg(*cells)
+    return long.groupBy(*row_keys).pivot("year").agg(F.first(value))
 
 
 def yield_by_dept_long(address: DataFrame, rent_dept: DataFrame) -> DataFrame:
@@ -69,13 +65,13 @@ def yield_by_city_long(address: DataFrame, rent_city: DataFrame) -> DataFrame:
                       rent_keys=["city"])
 
 
-def yield_by_dept(address: DataFrame, rent_dept: DataFrame,
-                  years: Sequence[int] | None = None) -> DataFrame:
+def yield_by_dept(address: DataFrame, rent_dept: DataFrame) -> DataFrame:
     """Wide yield table: department x year."""
-    return pivot_years(yield_by_dept_long(address, rent_dept), ["dep"], years)
+    return pivot_years(yield_by_dept_long(address, rent_dept), ["dep"])
 
 
-def yield_by_city(address: DataFrame, rent_city: DataFrame,
-                  years: Sequence[int] | None = None) -> DataFrame:
-    """Wide yield table: (city name, INSEE code) x year."""
-    return pivot_years(yield_by_city_long(address, rent_city), ["city", "insee"], years)
+def yield_by_city(address: DataFrame, rent_city: DataFrame, repair: bool = False) -> DataFrame:
+    """Wide yield table: (city name, INSEE code) x year; ``repair`` mends damaged
+    accents of the city name first, so spellings of one city share a row."""
+    long = yield_by_city_long(address, rent_city)
+    return pivot_years(repair_column(long, "city") if repair else long, ["city", "insee"])

@@ -2,13 +2,15 @@
 
 Inputs are folders of files in the layout of the public open-data sources; every
 stage boundary that several outputs share is written once as parquet below
-``out_dir`` and read back, so a lost executor restarts from those files rather
-than from the raw text, and re-runs skip finished stages unless ``force``.
+``out_dir`` and read back, so a lost executor restarts from those files rather than
+from the raw text. A stage is reused on a re-run only when it was made from the same
+input files (path, bytes, time) with the same parameters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,21 +18,24 @@ from pyspark.sql import DataFrame, SparkSession
 from propyield.operators import (
     clean_sales,
     filter_region,
+    pivot_years,
     remap_column,
     rent_by_city,
     rent_by_dept,
     with_sale_year,
-    yield_by_city,
-    yield_by_dept,
+    yield_by_city_long,
+    yield_by_dept_long,
 )
 from propyield.schemas import GEO_RENAMES, RENT_RENAMES, SALE_RENAMES, RegionSpec
-from propyield.sinks import export_csv, export_named_csv, materialize_once
+from propyield.sinks import export_csv, export_named_csv, materialize_for, write_jdbc
 from propyield.sources import (
+    fs,
     ingest_pipe_folder,
     ingest_yearly_folder,
     read_delimited,
     rename_columns,
 )
+from propyield.sources.workbooks import DEFAULT_SHEET, read_workbooks
 
 
 @dataclass(frozen=True)
@@ -40,6 +45,17 @@ class Inputs:
     geo_path: str      # TAB separated postal-code / commune lookup
 
 
+@dataclass(frozen=True)
+class JdbcTarget:
+    """A database; its tables are replaced. Credentials stay with the caller."""
+
+    url: str
+    properties: Mapping[str, str]
+
+    def write(self, df: DataFrame, table: str) -> None:
+        write_jdbc(df, self.url, table, self.properties)
+
+
 def remap_lookup(spark: SparkSession, geo_path: str, out_path: str,
                  mapping: Mapping[str, str]) -> DataFrame:
     """C-6: rewrite the lookup with region codes remapped (TSV folder)."""
@@ -50,43 +66,66 @@ def remap_lookup(spark: SparkSession, geo_path: str, out_path: str,
     return remapped
 
 
+def workbook_to_jdbc(spark: SparkSession, folder: str, target: JdbcTarget, table: str,
+                     sheet: str = DEFAULT_SHEET) -> DataFrame:
+    """C-8: a sheet of every workbook of ``folder`` as one database table."""
+    rows = read_workbooks(spark, folder, sheet)
+    target.write(rows, table)
+    return rows
+
+
+def made_from(spark: SparkSession, *parts: object) -> str:
+    """A digest of parameters and, for paths (text), of the files found there."""
+    said = [repr(p) if not isinstance(p, str) else "\n".join([p, *fs.listing(spark, p)]) for p in parts]
+    return hashlib.sha1("\n\n".join(said).encode()).hexdigest()[:20]
+
+
 def run_pipeline(spark: SparkSession, inputs: Inputs, out_dir: str, region: RegionSpec,
-                 years: Sequence[int] | None = None,
-                 code_remap: Mapping[str, str] | None = None,
-                 force: bool = False) -> dict[str, DataFrame]:
+                 code_remap: Mapping[str, str] | None = None, force: bool = False,
+                 database: JdbcTarget | None = None) -> dict[str, DataFrame]:
     """Run every stage; returns the final tables (each read back from its files).
 
-    Outputs below ``out_dir``: ``rents/``, ``sales/``, ``address_sales/`` (parquet,
-    partitioned by year), ``rents_region/`` (CSV folder), and the named files
-    ``rent_by_dept.csv``, ``rent_by_city.csv``, ``yield_by_dept.csv``,
-    ``yield_by_city.csv``.
+    Outputs below ``out_dir``: ``rents/``, ``sales/``, ``rent_by_dept/``,
+    ``rent_by_city/``, ``address_sales/``, ``yield_dept_long/``, ``yield_city_long/``
+    (parquet), ``rents_region/``, ``address_sales_csv/`` and, with ``code_remap``,
+    ``geo_remapped/`` (delimited folders), and the named files ``rent_by_dept.csv``,
+    ``rent_by_city.csv``, ``yield_by_dept.csv``, ``yield_by_city.csv``. With
+    ``database`` the two yield tables are written there too.
     """
     out = out_dir.rstrip("/")
     if code_remap:
         remap_lookup(spark, inputs.geo_path, f"{out}/geo_remapped", code_remap)
 
-    rents = materialize_once(
-        ingest_yearly_folder(spark, inputs.rent_folder, rename=RENT_RENAMES),
-        f"{out}/rents", force)
-    sales = materialize_once(
-        ingest_pipe_folder(spark, inputs.sale_folder, rename=SALE_RENAMES),
-        f"{out}/sales", force)
+    def stage(name: str, build, *made_of: object) -> DataFrame:
+        return materialize_for(spark, build, f"{out}/{name}", made_from(spark, *made_of), force)
+
+    rents = stage("rents", lambda: ingest_yearly_folder(spark, inputs.rent_folder, rename=RENT_RENAMES),
+                  inputs.rent_folder)
+    sales = stage("sales", lambda: ingest_pipe_folder(spark, inputs.sale_folder, rename=SALE_RENAMES),
+                  inputs.sale_folder)
     geo = read_delimited(spark, inputs.geo_path, "\t", rename=GEO_RENAMES)
 
     region_rents = filter_region(rents, region.code)
     export_csv(rename_columns(region_rents, {v: k for k, v in RENT_RENAMES.items()}),
                f"{out}/rents_region", sep=";")
-    rent_dept = materialize_once(rent_by_dept(region_rents), f"{out}/rent_by_dept", force)
-    rent_city = materialize_once(rent_by_city(region_rents), f"{out}/rent_by_city", force)
-
-    address = materialize_once(with_sale_year(clean_sales(sales, geo, region)),
-                               f"{out}/address_sales", force, partition_by=["year"])
-
-    ydept = yield_by_dept(address, rent_dept, years)
-    ycity = yield_by_city(address, rent_city, years)
+    from_rents = (inputs.rent_folder, region)
+    from_sales = (inputs.sale_folder, inputs.geo_path, region)
+    rent_dept = stage("rent_by_dept", lambda: rent_by_dept(region_rents), *from_rents)
+    rent_city = stage("rent_by_city", lambda: rent_by_city(region_rents), *from_rents)
+    address = stage("address_sales", lambda: with_sale_year(clean_sales(sales, geo, region)), *from_sales)
+    export_csv(address, f"{out}/address_sales_csv", sep=";")
+
+    # the long tables are written before the pivots, which read them twice (years, cells)
+    dept = stage("yield_dept_long", lambda: yield_by_dept_long(address, rent_dept), *from_rents, *from_sales)
+    city = stage("yield_city_long", lambda: yield_by_city_long(address, rent_city), *from_rents, *from_sales)
+    ydept = pivot_years(dept, ["dep"])
+    ycity = pivot_years(city, ["city", "insee"])
     for name, df in (("rent_by_dept", rent_dept), ("rent_by_city", rent_city),
                      ("yield_by_dept", ydept), ("yield_by_city", ycity)):
         export_named_csv(df, out, f"{name}.csv")
+    if database:
+        database.write(ydept, "yield_by_dept")
+        database.write(ycity, "yield_by_city")
     return {"rents": rents, "sales": sales, "address_sales": address,
             "rent_by_dept": rent_dept, "rent_by_city": rent_city,
             "yield_by_dept": ydept, "yield_by_city": ycity}

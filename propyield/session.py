@@ -49,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         configured = tempfile.mkdtemp(prefix="propyield-shared-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

@@ -1,4 +1,4 @@
-from propyield.sinks.files import export_csv, export_named_csv, materialize_once
+from propyield.sinks.files import export_csv, export_named_csv, materialize_for, materialize_once
 from propyield.sinks.jdbc import write_jdbc
 
-__all__ = ["export_csv", "export_named_csv", "materialize_once", "write_jdbc"]
+__all__ = ["export_csv", "export_named_csv", "materialize_for", "materialize_once", "write_jdbc"]

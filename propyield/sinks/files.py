@@ -1,18 +1,14 @@
-"""File sinks: delimited folders, one named delimited file, materialise-once tables."""
+"""File sinks: delimited folders, one named delimited file, materialised tables."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from propyield.sources import fs
 
-# A single named file is written by one task; only results up to this many rows
-# are accepted (the yield and rent tables have one row per place).
-MAX_SINGLE_FILE_ROWS = 5_000_000
-
 
 def export_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
                mode: str = "overwrite", single_part: bool = False) -> None:
@@ -28,32 +24,33 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
      .csv(path))
 
 
-def export_named_csv(df: DataFrame, folder: str, file_name: str, sep: str = ";",
-                     max_rows: int = MAX_SINGLE_FILE_ROWS) -> str:
+def export_named_csv(df: DataFrame, folder: str, file_name: str, sep: str = ";") -> str:
     """Write ``df`` as exactly one delimited file ``folder/file_name`` (replaced).
 
-    The part is written to a unique temp folder next to the target and moved with
-    a Hadoop rename (any filesystem); a failed rename raises. Meant for small final
-    tables: more than ``max_rows`` rows raises instead of funnelling a large table
-    through one task.
+    One task writes it: meant for final tables with a row per place; anything that
+    grows with the input belongs in ``export_csv``'s part folder. The part is written
+    to a unique temp folder next to the target and moved with a Hadoop rename (any
+    filesystem); an older file is put aside first and comes back if that fails.
     """
     spark = df.sparkSession
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # the check and the write share one run
+    tmp = f"{folder.rstrip('/')}/_tmp-{uuid.uuid4().hex}"
+    target = f"{folder.rstrip('/')}/{file_name}"
     try:
-        if df.limit(max_rows + 1).count() > max_rows:
-            raise ValueError(f"more than {max_rows} rows: use export_csv for a part folder")
-        tmp = f"{folder.rstrip('/')}/_tmp-{uuid.uuid4().hex}"
-        export_csv(df, tmp, sep=sep, single_part=True)
+        export_csv(df, f"{tmp}/new", sep=sep, single_part=True)
+        parts = fs.glob(spark, f"{tmp}/new/part-*")
+        if len(parts) != 1:
+            raise OSError(f"expected one part file in {tmp}, found {len(parts)}")
+        old = fs.exists(spark, target)
+        if old:
+            fs.rename(spark, target, f"{tmp}/old")
+        try:
+            fs.rename(spark, parts[0], target)
+        except Exception:
+            if old:
+                fs.rename(spark, f"{tmp}/old", target)
+            raise
     finally:
-        df.unpersist()
-    parts = fs.glob(spark, f"{tmp}/part-*")
-    if len(parts) != 1:
-        raise OSError(f"expected one part file in {tmp}, found {len(parts)}")
-    target = f"{folder.rstrip('/')}/{file_name}"
-    if fs.exists(spark, target):
-        fs.delete(spark, target)
-    fs.rename(spark, parts[0], target)
-    fs.delete(spark, tmp)
+        fs.delete(spark, tmp)
     return target
 
 
@@ -71,3 +68,18 @@ def materialize_once(df: DataFrame, path: str, force: bool = False,
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_for(spark: SparkSession, build: Callable[[], DataFrame], path: str, key: str,
+                    force: bool = False) -> DataFrame:
+    """The parquet table at ``path`` made for ``key`` (a digest of inputs and parameters).
+
+    A table made for another key is rebuilt; a marker file that names the key is
+    written last, so a half-written table is never taken for a complete one.
+    """
+    marker = f"{path}/_made-for-{key}"
+    if force or not fs.exists(spark, marker):
+        fs.delete(spark, marker)
+        build().write.mode("overwrite").parquet(path)
+        fs.touch(spark, marker)
+    return spark.read.parquet(path)
