@@ -3,6 +3,7 @@ from propyield.functions.columns import (
     decimal_comma,
     digits_only,
     exact_mean,
+    file_year_digits,
     gross_yield,
     parse_date,
     remap,
@@ -11,6 +12,6 @@ from propyield.functions.columns import (
 )
 
 __all__ = [
-    "MOJIBAKE_RULES", "decimal_comma", "digits_only", "exact_mean", "gross_yield",
+    "MOJIBAKE_RULES", "decimal_comma", "digits_only", "exact_mean", "file_year_digits", "gross_yield",
     "parse_date", "remap", "repair_text", "year_of",
 ]

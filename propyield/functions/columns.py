@@ -57,6 +57,14 @@ def digits_only(c: str | Column) -> Column:
     return F.regexp_replace(_col(c), r"\D+", "")
 
 
+def file_year_digits(file_name: str | Column) -> Column:
+    """Digits of a file name as the file source reports it (percent-encoded).
+
+    ``rent%202023.csv`` is decoded to ``rent 2023.csv`` first; a plus sign stays one.
+    """
+    return digits_only(F.url_decode(F.replace(_col(file_name), F.lit("+"), F.lit("%2B"))))
+
+
 def remap(c: str | Column, mapping: Mapping[str, str]) -> Column:
     """Replace listed values, keep every other value (null stays null)."""
     c = _col(c)

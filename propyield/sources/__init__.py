@@ -1,4 +1,5 @@
 from propyield.sources.delimited import (
+    ingest_files,
     ingest_folder,
     ingest_pipe_folder,
     ingest_yearly_folder,
@@ -9,6 +10,6 @@ from propyield.sources.delimited import (
 )
 
 __all__ = [
-    "ingest_folder", "ingest_pipe_folder", "ingest_yearly_folder", "read_delimited",
+    "ingest_files", "ingest_folder", "ingest_pipe_folder", "ingest_yearly_folder", "read_delimited",
     "read_header", "read_tolerant", "rename_columns",
 ]

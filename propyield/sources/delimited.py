@@ -15,9 +15,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from propyield.functions import digits_only
+from propyield.functions import file_year_digits
 from propyield.schemas import string_schema
-from propyield.sources.fs import first_line, list_files
+from propyield.sources.fs import escaped, first_line, list_files
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -69,7 +69,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str,
         cols = list(columns) if columns is not None else read_header(spark, paths[0], sep, encoding)
         df = reader.schema(string_schema(cols)).csv(paths)
     if file_year:
-        df = df.withColumn(file_year, digits_only(F.col("_metadata.file_name")))
+        df = df.withColumn(file_year, file_year_digits("_metadata.file_name"))
     return rename_columns(df, rename) if rename else df
 
 
@@ -100,6 +100,14 @@ def ingest_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
     files = list_files(spark, folder, suffix)
     if not files:
         raise ValueError(f"no {suffix} file in folder {folder}")
+    return ingest_files(spark, files, sep, rename, file_year, allow_missing, infer, encoding)
+
+
+def ingest_files(spark: SparkSession, files: Sequence[str], sep: str,
+                 rename: Mapping[str, str] | None = None,
+                 file_year: str | None = None, allow_missing: bool = False,
+                 infer: bool = False, encoding: str = "UTF-8") -> DataFrame:
+    """The given files, grouped by header, one scan a group, unioned by name."""
     # one first-line read per file on the driver (metadata only, no Spark job);
     # threads hide the filesystem latency when a folder holds many files
     with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
@@ -107,7 +115,7 @@ def ingest_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, header in zip(files, headers):
         groups.setdefault(header, []).append(path)
-    frames = [read_delimited(spark, paths, sep, columns=list(header), rename=rename,
+    frames = [read_delimited(spark, [escaped(p) for p in paths], sep, columns=list(header), rename=rename,
                              encoding=encoding, infer=infer, file_year=file_year)
               for header, paths in groups.items()]
     out = frames[0]

@@ -33,6 +33,32 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     return sorted(out)
 
 
+def listing(spark: SparkSession, path: str) -> list[str]:
+    """``name:bytes:time`` of a file, or of everything below a folder, sorted.
+
+    Any filesystem that Spark reads; used to notice changed inputs.
+    """
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    out, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        st = files.next()
+        out.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+    return sorted(out)
+
+
+def escaped(path: str) -> str:
+    """``path`` with the characters that readers take as patterns escaped."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, jpath = _fs(spark, path)
+    fs.create(jpath, True).close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return bool(fs.exists(jpath))

@@ -1,3 +1,3 @@
-from propyield.streaming.ingest import ingest_available, stream_folder
+from propyield.streaming.ingest import ingest_any_layout, ingest_available, stream_folder
 
-__all__ = ["ingest_available", "stream_folder"]
+__all__ = ["ingest_any_layout", "ingest_available", "stream_folder"]

@@ -6,8 +6,10 @@ lives in the shared folder, so a restarted job (or a lost executor) resumes with
 exactly-once output. Run it with ``trigger(availableNow=True)`` from a scheduler:
 it processes what is there and stops.
 
-One stream reads one header layout (the file source has one schema); files with
+``stream_folder`` reads one header layout (the file source has one schema); files with
 re-ordered columns fail the header check instead of being read scrambled.
+``ingest_any_layout`` streams the names of new files and ingests each batch of them by
+name, as the batch ingest does.
 """
 
 from __future__ import annotations
@@ -18,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from propyield.functions import digits_only
+from propyield.functions import file_year_digits
 from propyield.schemas import string_schema
-from propyield.sources.delimited import read_header, rename_columns
-from propyield.sources.fs import list_files
+from propyield.sources.delimited import ingest_files, read_header, rename_columns
+from propyield.sources.fs import escaped, list_files
 
 
 def _any_case_glob(suffix: str) -> str:
@@ -38,7 +40,7 @@ def stream_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
         files = list_files(spark, folder, suffix)
         if not files:
             raise ValueError(f"no {suffix} file in folder {folder}")
-        header = read_header(spark, files[0], sep)
+        header = read_header(spark, escaped(files[0]), sep)
     reader = (spark.readStream.schema(string_schema(header))
               .options(header=True, sep=sep, enforceSchema=False,
                        pathGlobFilter=_any_case_glob(suffix)))
@@ -46,7 +48,7 @@ def stream_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(folder)
     if file_year:
-        df = df.withColumn(file_year, digits_only(F.col("_metadata.file_name")))
+        df = df.withColumn(file_year, file_year_digits("_metadata.file_name"))
     return rename_columns(df, rename) if rename else df
 
 
@@ -61,3 +63,28 @@ def ingest_available(stream: DataFrame, target: str, checkpoint: str,
     query = writer.start(target)
     query.awaitTermination()
     return query
+
+
+def ingest_any_layout(spark: SparkSession, folder: str, suffix: str, sep: str, target: str,
+                      checkpoint: str, rename: Mapping[str, str] | None = None,
+                      file_year: str | None = None, allow_missing: bool = False) -> StreamingQuery:
+    """Append every not-yet-ingested file, whatever the order of its columns, and stop.
+
+    The stream carries file names only. Each batch of files goes to a folder of its
+    own below ``target`` (``batch=<n>``), which a repeated batch replaces, so a
+    restart after a failure leaves every file's rows exactly once.
+    """
+    names = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length long, content binary")
+             .option("pathGlobFilter", _any_case_glob(suffix)).load(folder).select("path"))
+
+    def append(batch: DataFrame, number: int) -> None:
+        files = sorted({r["path"] for r in batch.collect()})  # the names of one batch's new files
+        if files:
+            (ingest_files(batch.sparkSession, files, sep, rename, file_year, allow_missing)
+             .write.mode("overwrite").parquet(f"{target}/batch={number}"))
+
+    query = (names.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
