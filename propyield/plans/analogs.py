@@ -15,7 +15,6 @@ stay in step. Columns are the renamed (snake_case) ones of :mod:`propyield.schem
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 import uuid
 from collections.abc import Callable
@@ -31,8 +30,6 @@ from propyield.sources import fs
 # Analog of "one region as both inputs name it": rent rows of region code 3, sales
 # matched through the lookup rows labelled with two regions.
 REGION = RegionSpec(code="3", labels=("['EUROPE']", "['ASIA']"))
-# Years present in the order dates (1995-01-01 .. 2001-08-01).
-YEARS = list(range(1995, 2002))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -145,25 +142,21 @@ _LOCK = threading.Lock()
 _MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def input_key(sf_dir: str) -> str:
-    parts = [os.path.abspath(sf_dir)]
-    try:
-        for name in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, name))
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-    except OSError:  # not a local folder: key by path only
-        pass
+def input_key(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of the folder's files (path, bytes, time) on whatever filesystem."""
+    parts = [sf_dir, *fs.listing(spark, sf_dir)]
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The analog table ``name`` for ``sf_dir``, materialised on first use."""
     root = shared_dir(spark)
-    key = (root, sf_dir, name)
+    inputs = input_key(spark, sf_dir)
+    key = (root, inputs, name)
     with _LOCK:
         df = _MEMO.get(key)
         if df is None or df.sparkSession is not spark:
-            path = f"{root}/propyield/analogs/{input_key(sf_dir)}/{name}"
+            path = f"{root}/propyield/analogs/{inputs}/{name}"
             if not fs.exists(spark, f"{path}/_SUCCESS"):
                 df = BUILDERS[name](spark, sf_dir)
                 tmp = f"{path}.tmp-{uuid.uuid4().hex}"

@@ -1,9 +1,10 @@
-"""Test damage for the text-repair operator."""
+"""Test damage for the text-repair operator: the repair rules backwards.
 
-# --- fixed values: the damage a Latin-1 misreading of UTF-8 does to each accent
-# (the inverse of the repair rules), plus a lost letter shown as U+FFFD.
-CORRUPTIONS = (
-    ("é", "Ã©"), ("è", "Ã¨"), ("ê", "Ãª"), ("à", "Ã\u00a0"), ("ô", "Ã´"), ("î", "Ã®"),
-    ("ë", "\ufffd"),
-)
-# --- end of fixed values ---
+The rule for a lost letter (U+FFFD) is not the inverse of anything: the damage turns
+another letter into it, so that the repair visibly puts an ``e`` with an acute there.
+"""
+
+from propyield.functions import MOJIBAKE_RULES
+
+LOST = "\ufffd"
+CORRUPTIONS = (*((good, bad) for bad, good in MOJIBAKE_RULES if bad != LOST), ("\u00eb", LOST))
