@@ -1,6 +1,8 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from propyield.operators import (
     address_sales,
@@ -8,12 +10,13 @@ from propyield.operators import (
     filter_labels,
     filter_present,
     filter_region,
-    fits_broadcast,
     join_lookup,
+    parse_amounts,
     pivot_years,
     preview_rows,
     rent_by_city,
     rent_by_dept,
+    repair_postal,
     sales_totals,
     yield_by_city,
     yield_by_dept,
@@ -83,16 +86,23 @@ def test_filters(spark, sales, geo):
     assert filter_present(sales, "surface_txt").count() == len(SALES) - 2
 
 
-def test_join_lookup_both_paths(spark, sales, geo):
-    assert fits_broadcast(geo, 4) and not fits_broadcast(geo, 3)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint broadcasts
+def stored(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def test_join_lookup_by_size(spark, sales, geo, scratch):
+    """A small lookup is broadcast, a large one is not, and the rows are the same."""
+    sales = stored(sales, f"{scratch}/sales")
+    lookup = stored(geo, f"{scratch}/geo").select("postal", "commune", "insee")
+    small = join_lookup(sales, lookup, ["postal", "commune"])
+    assert "BroadcastHashJoin" in explain_text(small)
+    rows = sorted(map(repr, small.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
     try:
-        lookup = geo.select("postal", "commune", "insee")
-        small = join_lookup(sales, lookup, ["postal", "commune"])
-        big = join_lookup(sales, lookup, ["postal", "commune"], max_broadcast_rows=1)
-        assert "BroadcastHashJoin" in explain_text(small)
-        assert "BroadcastHashJoin" not in explain_text(big)
-        assert sorted(map(repr, small.collect())) == sorted(map(repr, big.collect()))
+        big = join_lookup(sales, lookup, ["postal", "commune"])
+        assert "SortMergeJoin" in explain_text(big)
+        assert sorted(map(repr, big.collect())) == rows
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -125,7 +135,7 @@ def test_yield_long_and_pivot(sales, geo, rents):
     long = {(r.dep, r.year): r.rental_yield for r in yield_by_dept_long(address, rent_dept).collect()}
     # 11 * 100 * 12 / 240000 * 100 = 5.5 ; Toulouse: value all null -> null yield
     assert long == {("09", 2023): 5.5, ("31", 2022): None}
-    wide = yield_by_dept(address, rent_dept, [2022, 2023])
+    wide = yield_by_dept(address, rent_dept)
     assert wide.columns == ["dep", "2022", "2023"]
     assert {tuple(r) for r in wide.collect()} == {("09", None, 5.5), ("31", None, None)}
     discovered = yield_by_dept(address, rent_dept)  # years collected by Spark's pivot
@@ -134,16 +144,17 @@ def test_yield_long_and_pivot(sales, geo, rents):
 
 def test_yield_by_city(sales, geo, rents):
     address = clean_sales(sales, geo, REGION)
-    wide = yield_by_city(address, rent_by_city(filter_region(rents, "76")), [2023])
-    # a group with no row in the listed years stays, with null cells (as pivot does)
-    assert {tuple(r) for r in wide.collect()} == {("Foix", "09122", 5.5),
+    wide = yield_by_city(address, rent_by_city(filter_region(rents, "76")))
+    assert wide.columns == ["city", "insee", "2022", "2023"]
+    # a group with no row in a year stays, with a null cell (as pivot does)
+    assert {tuple(r) for r in wide.drop("2022").collect()} == {("Foix", "09122", 5.5),
                                                   ("Toulouse", "31555", None)}
 
 
 def test_pivot_unpivot_roundtrip(spark):
     long = spark.createDataFrame([("a", 2020, 1.5), ("a", 2021, 2.5), ("b", 2021, 3.5)],
                                  "k string, year int, rental_yield double")
-    wide = pivot_years(long, ["k"], [2020, 2021])
+    wide = pivot_years(long, ["k"])
     back = wide.unpivot(["k"], ["2020", "2021"], "year", "rental_yield") \
         .where("rental_yield is not null").selectExpr("k", "cast(year as int) year", "rental_yield")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, long.collect()))
@@ -160,8 +171,31 @@ def test_preview_rows_ordered(geo):
     assert [r.insee for r in preview_rows(geo, 2, ["insee"]).collect()] == ["09122", "31555"]
 
 
-def test_clean_sales_plan(spark, sales, geo):
-    plan = explain_text(clean_sales(sales, geo, REGION))
-    assert "BroadcastHashJoin" in plan
+def test_clean_sales_plan(spark, sales, geo, scratch):
+    plan = explain_text(clean_sales(stored(sales, f"{scratch}/s"), stored(geo, f"{scratch}/g"), REGION))
+    assert "BroadcastHashJoin" in plan and "PushedFilters: [IsNotNull(kind)" in plan
     assert "EvalPython" not in plan
     assert plan.count("Exchange hashpartitioning") <= 1  # one shuffle: the address sums
+
+
+def test_pivot_has_every_year_of_the_data(spark):
+    long = spark.createDataFrame([("a", 1994, 1.0), ("a", 1995, 2.0), ("b", 2031, 3.0)],
+                                 "k string, year int, rental_yield double")
+    wide = pivot_years(long, ["k"])
+    assert wide.columns == ["k", "1994", "1995", "2031"]
+    assert sorted(map(tuple, wide.collect())) == [("a", 1.0, 2.0, None), ("b", None, None, 3.0)]
+
+
+def test_repair_postal_and_scale(spark):
+    df = spark.createDataFrame([("9000", "1,239"), ("31000", "2"), ("2A004", "x"), (None, None)], "postal string, value_txt string")
+    assert [r.postal for r in repair_postal(df).collect()] == ["09000", "31000", "2A004", None]
+    amounts = parse_amounts(df.withColumn("surface_txt", F.lit("1")), DecimalType(18, 3)).collect()
+    assert [r.value for r in amounts] == [Decimal("1.239"), Decimal("2.000"), None, None]
+
+
+def test_city_names_are_repaired_before_the_pivot(spark):
+    address = spark.createDataFrame([("31555", "01/01/2023", Decimal("100.00"), Decimal("10.00"))],
+                                    "insee string, date_txt string, value_sum decimal(18,2), surface_sum decimal(18,2)")
+    rents = spark.createDataFrame([("Orl\u00c3\u00a9ans", "31555", 2023, 2.0)], "city string, insee string, year int, avg_rent_m2 double")
+    assert [r.city for r in yield_by_city(address, rents, repair=True).collect()] == ["Orl\u00e9ans"]
+    assert [r.city for r in yield_by_city(address, rents).collect()] == ["Orl\u00c3\u00a9ans"]

@@ -1,17 +1,20 @@
+import datetime as dt
 import io
 import os
 import zipfile
 
 import pytest
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from propyield.plans import fixtures
-from propyield.plans.analogs import REGION, YEARS
+from propyield.plans.analogs import REGION
 from propyield.plans.fixtures import xlsx_bytes
-from propyield.plans.pipeline import Inputs, run_pipeline
-from propyield.schemas import SALE_RENAMES
+from propyield.plans import pipeline
+from propyield.plans.pipeline import Inputs, JdbcTarget, run_pipeline, workbook_to_jdbc
+from propyield.schemas import SALE_RENAMES, RegionSpec
 from propyield.sources import fs
 from propyield.sources.workbooks import read_workbooks, sheet_rows
-from propyield.streaming import ingest_available, stream_folder
+from propyield.streaming import ingest_any_layout, ingest_available, stream_folder
 from tests.test_sources_sinks import local, write
 
 SF001 = "/root/testdata/sf0.001"
@@ -65,13 +68,87 @@ def test_stream_ingests_only_new_files(spark, scratch):
 def test_pipeline_outputs_and_rerun(spark, scratch):
     inputs = Inputs(fixtures.rent_folder(spark, SF001), fixtures.sale_folder(spark, SF001),
                     fixtures.geo_delimited(spark, SF001, "\t"))
-    out = run_pipeline(spark, inputs, scratch, REGION, years=YEARS, code_remap={"3": "30"})
+    out = run_pipeline(spark, inputs, scratch, REGION, code_remap={"3": "30"})
     for name in ("rent_by_dept.csv", "rent_by_city.csv", "yield_by_dept.csv",
                  "yield_by_city.csv"):
         assert fs.exists(spark, f"{scratch}/{name}")
     assert fs.exists(spark, f"{scratch}/address_sales/_SUCCESS")
     assert fs.exists(spark, f"{scratch}/geo_remapped/_SUCCESS")
     n = out["address_sales"].count()
-    again = run_pipeline(spark, inputs, scratch, REGION, years=YEARS)  # stages reused
+    again = run_pipeline(spark, inputs, scratch, REGION)  # stages reused
     assert again["address_sales"].count() == n
-    assert again["yield_by_dept"].columns == ["dep", *[str(y) for y in YEARS]]
+    assert again["yield_by_dept"].columns == ["dep", *[str(y) for y in range(1995, 2002)]]
+
+
+def test_pipeline_rerun_for_another_region_or_input(spark, scratch, monkeypatch):
+    inputs = Inputs(f"{scratch}/rents", f"{scratch}/sales", f"{scratch}/geo")
+    write(inputs.rent_folder, "r_2023.csv", "INSEE_C;LIBGEO;REG;DEP;loypredm2;lwr.IPm2;upr.IPm2\n"
+          "09122;Foix;76;09;10;9;11\n75056;Paris;11;75;30;29;31\n")
+    write(inputs.sale_folder, "s.txt", "Nature mutation|Code postal|Commune|Surface reelle bati|Valeur fonciere|No voie|Voie|Date mutation\n"
+          "Vente|09000|FOIX|50|100000|1|RUE|04/01/2023\nVente|75001|PARIS|20|300000|2|RUE|04/01/2023\n")
+    write(inputs.geo_path, "g.tsv", "Code Postal\tCommune\tCode INSEE\tCode D\u00e9partement\tR\u00e9gion\tCode R\u00e9gion\n"
+          "09000\tFOIX\t09122\t09\t['OCC']\t76\n75001\tPARIS\t75056\t75\t['IDF']\t11\n")
+    south, capital = RegionSpec("76", ("['OCC']",)), RegionSpec("11", ("['IDF']",))
+    rows = lambda out: {k: sorted(map(tuple, v.collect())) for k, v in out.items()}
+    first = rows(run_pipeline(spark, inputs, f"{scratch}/out", south))
+    second = rows(run_pipeline(spark, inputs, f"{scratch}/out", capital))
+    assert second == rows(run_pipeline(spark, inputs, f"{scratch}/fresh", capital))
+    assert first["yield_by_dept"] == [("09", 6.0)] and second["yield_by_dept"] == [("75", 2.4)]
+    write(inputs.rent_folder, "r_2023.csv", "INSEE_C;LIBGEO;REG;DEP;loypredm2;lwr.IPm2;upr.IPm2\n75056;Paris;11;75;60,0;59;61\n")
+    sent = []
+    monkeypatch.setattr(pipeline, "write_jdbc", lambda df, url, table, properties: sent.append((url, table, df.count())))
+    third = rows(run_pipeline(spark, inputs, f"{scratch}/out", capital, database=JdbcTarget("jdbc:x", {})))
+    assert third["yield_by_dept"] == [("75", 4.8)]
+    assert sent == [("jdbc:x", "yield_by_dept", 1), ("jdbc:x", "yield_by_city", 1)]
+
+
+def test_building_a_plan_runs_no_job(spark):
+    from propyield.operators import clean_sales, rent_by_dept, yield_by_dept_long
+    from propyield.plans.analogs import geo_table, rent_table, sale_table
+
+    tables = [t(spark, SF001) for t in (sale_table, geo_table, rent_table)]
+    spark.sparkContext.setJobGroup("plans-only", "no job is expected")
+    try:
+        yield_by_dept_long(clean_sales(*tables[:2], REGION), rent_by_dept(tables[2])).explain()
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plans-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def save(folder, name, data):
+    os.makedirs(local(folder), exist_ok=True)
+    with open(os.path.join(local(folder), name), "wb") as f:
+        f.write(data)
+
+
+def test_workbook_headers_dates_booleans_and_extension(spark, scratch, monkeypatch):
+    day = dt.date(2023, 5, 17)
+    save(scratch, "A.XLSX", xlsx_bytes(["dep", "taux", "taux", None, "jour", "ok"], [["09", 1.0, 2.0, "x", day, True]]))
+    save(scratch, "b.xlsx", xlsx_bytes(["dep", "taux", "ok"], [["31", 3.0, False]]))
+    df = read_workbooks(spark, scratch)
+    assert df.columns == ["dep", "taux", "taux1", "_c3", "jour", "ok"]
+    assert dict(df.dtypes)["jour"] == "timestamp_ntz" and dict(df.dtypes)["ok"] == "boolean"
+    assert sorted(map(tuple, df.collect())) == [
+        ("09", 1.0, 2.0, "x", dt.datetime(2023, 5, 17), True), ("31", 3.0, None, None, None, False)]
+    sent = []
+    monkeypatch.setattr(pipeline, "write_jdbc", lambda df, url, table, properties: sent.append((table, df.columns, df.count())))
+    workbook_to_jdbc(spark, scratch, JdbcTarget("jdbc:x", {}), "levels")
+    assert sent == [("levels", df.columns, 2)]
+    declared = StructType([StructField("dep", StringType()), StructField("flag", BooleanType())])
+    save(f"{scratch}/text", "t.xlsx", xlsx_bytes(["dep", "flag"], [["1", "false"], ["2", "VRAI"], ["3", "maybe"]]))
+    assert [r.flag for r in read_workbooks(spark, f"{scratch}/text", schema=declared).collect()] == [False, True, None]
+    write(f"{scratch}/none", "readme.txt", "nothing")
+    with pytest.raises(ValueError):
+        read_workbooks(spark, f"{scratch}/none")
+
+
+def test_stream_of_several_layouts(spark, scratch):
+    src, out = f"{scratch}/in", f"{scratch}/out"
+    run = lambda: ingest_any_layout(spark, src, ".txt", "|", f"{out}/t", f"{out}/ck")
+    write(src, "a.txt", "p|c\n1|x\n")
+    write(src, "b [2].txt", "c|p\ny|2\n")
+    run()
+    write(src, "c.TXT", "p|c\n3|z\n")
+    run()
+    run()
+    assert sorted((r.p, r.c) for r in spark.read.parquet(f"{out}/t").collect()) == [("1", "x"), ("2", "y"), ("3", "z")]

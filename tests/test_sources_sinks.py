@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from propyield.sinks import export_csv, export_named_csv, materialize_once
+from propyield.sinks import export_csv, export_named_csv, materialize_for, materialize_once
 from propyield.sources import (
     ingest_folder,
     ingest_pipe_folder,
@@ -85,8 +85,10 @@ def test_export_named_csv(spark, scratch):
     assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
     export_named_csv(df.limit(1), scratch, "out.csv")  # replaces
     assert spark.read.options(header=True, sep=";").csv(target).count() == 1
-    with pytest.raises(ValueError):
-        export_named_csv(df, scratch, "big.csv", max_rows=1)
+    cached = df.cache()
+    export_named_csv(cached, scratch, "out.csv")
+    assert cached.storageLevel.useMemory  # the caller's cache is left alone
+    cached.unpersist()
 
 
 def test_export_csv_and_read_back(spark, scratch):
@@ -105,3 +107,20 @@ def test_materialize_once_skips_existing(spark, scratch):
     forced = materialize_once(spark.range(10), path, force=True)
     assert forced.count() == 10
     assert fs.exists(spark, f"{path}/_SUCCESS")
+
+
+def test_file_names_with_spaces_brackets_and_plus(spark, scratch):
+    write(scratch, "rent 2023.csv", "INSEE_C\n1\n")
+    write(scratch, "rent_[v2] 2024.csv", "INSEE_C\n2\n")
+    write(scratch, "rent+2025 \u00e9.csv", "INSEE_C\n3\n")
+    write(scratch, "rent{a}*2026?.csv", "INSEE_C\n4\n")
+    rows = sorted((r.INSEE_C, r.year) for r in ingest_yearly_folder(spark, scratch).collect())
+    assert rows == [("1", "2023"), ("2", "22024"), ("3", "2025"), ("4", "2026")]
+
+
+def test_materialize_for_rebuilds_for_another_key(spark, scratch):
+    path = f"{scratch}/m"
+    assert materialize_for(spark, lambda: spark.range(3), path, "a").count() == 3
+    assert materialize_for(spark, lambda: spark.range(9), path, "a").count() == 3
+    assert materialize_for(spark, lambda: spark.range(9), path, "b").count() == 9
+    assert materialize_for(spark, lambda: spark.range(4), path, "a").count() == 4
