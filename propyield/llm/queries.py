@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from propyield.llm import sql
 from propyield.llm.ann import neighbours_report
 from propyield.llm.bpe import bpe_report, read_ranks
 from propyield.llm.hmm import hmm_scores
@@ -53,4 +54,4 @@ QUERIES: dict[str, QueryFn] = {
     "op10_toxicity": toxicity,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_jaccard": sql.JACCARD, "op7_quality": sql.QUALITY}
