@@ -8,9 +8,10 @@ Features: the distinct words of the whole text (A-Z lowered, punctuation around
 stripped) and their beginnings of 4 to 6 bytes, those that the labelled sample ties
 to toxicity (chi-square), present or not, so a long text is judged like a short one.
 
-Grades: labels hold one bit. Rows not toxic have grade 0. Among toxic rows the words
-that nearly only toxic rows use are counted per word; at or above the median share
-the grade is 2 (severe), below it 1.
+Grades: labels hold one bit. Rows not toxic have grade 0. Among toxic rows the distinct
+words that nearly only toxic rows use are counted: above the median number the grade
+is 2 (severe), else 1. (A share of the words would contradict the model: long texts
+have more features and a smaller share.)
 
 The fit uses at most ``SAMPLE_ROWS`` labelled rows (a documented bound, chosen by the
 hash of the id); scoring reads every row and its whole text.
@@ -72,9 +73,40 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = 3, l2: float = 2e-3,
-                steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and increasing thresholds by full-batch Adam on the ordinal likelihood.
+def _minimise(f, x: np.ndarray, steps: int, memory: int = 10) -> np.ndarray:
+    """L-BFGS with backtracking on ``f(x) -> (value, gradient)``."""
+    value, grad = f(x)
+    pairs: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        d, alphas = -grad, []
+        for s, y, r in reversed(pairs):
+            alphas.append(r * (s @ d))
+            d = d - alphas[-1] * y
+        if pairs:
+            s, y, _ = pairs[-1]
+            d = d * ((s @ y) / (y @ y))
+        for (s, y, r), a in zip(pairs, reversed(alphas), strict=True):
+            d = d + (a - r * (y @ d)) * s
+        slope, size = grad @ d, 1.0 if pairs else 1.0 / max(1.0, float(np.abs(grad).sum()))
+        if slope >= 0 or np.abs(grad).max() < 1e-7:
+            break
+        while True:
+            new_value, new_grad = f(x + size * d)
+            if new_value <= value + 1e-4 * size * slope or size < 1e-10:
+                break
+            size /= 2
+        if size < 1e-10:
+            break
+        s, y = size * d, new_grad - grad
+        if s @ y > 1e-12:
+            pairs = [*pairs[1 - memory:], (s, y, 1.0 / (s @ y))]
+        x, value, grad = x + s, new_value, new_grad
+    return x
+
+
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = 3, l2: float = 1e-5,
+                steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and increasing thresholds that maximise the ordinal likelihood.
 
     theta_0 is free and each later gap is exp(.), which keeps the order.
     """
@@ -82,40 +114,38 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = 3, l2: float = 2
     above = (grade[:, None] > np.arange(grades - 1)[None, :])
     share = np.clip(above.mean(axis=0), 1e-4, 1 - 1e-4)
     start = -np.log(share / (1 - share))
-    params = np.concatenate([np.zeros(d), start[:1], np.log(np.maximum(np.diff(start), 0.1))])
-    m, v = np.zeros_like(params), np.zeros_like(params)
-    for t in range(1, steps + 1):
+    rows, none = np.arange(n), np.zeros((n, 1))
+
+    def loss(params: np.ndarray) -> tuple[float, np.ndarray]:
         w, gaps = params[:d], np.exp(params[d + 1:])
         theta = params[d] + np.concatenate([[0.0], np.cumsum(gaps)])
         s = _sigmoid((x @ w.astype(x.dtype)).astype(np.float64)[:, None] - theta[None, :])  # P(grade > k)
-        edge = np.concatenate([np.ones((n, 1)), s, np.zeros((n, 1))], axis=1)
-        p = np.maximum(edge[np.arange(n), grade] - edge[np.arange(n), grade + 1], 1e-9)
+        edge = np.concatenate([none + 1, s, none], axis=1)
+        p = np.maximum(edge[rows, grade] - edge[rows, grade + 1], 1e-12)
         ds = s * (1 - s)
-        slope = np.concatenate([np.zeros((n, 1)), ds, np.zeros((n, 1))], axis=1)
-        up, down = slope[np.arange(n), grade], slope[np.arange(n), grade + 1]
-        dz = (up - down) / p  # d log p / d score
-        g_theta = np.zeros(grades - 1)
-        for k in range(grades - 1):
-            g_theta[k] = -(np.where(grade == k + 1, ds[:, k], 0) / p).sum() + (np.where(grade == k, ds[:, k], 0) / p).sum()
+        slope = np.concatenate([none, ds, none], axis=1)
+        dz = (slope[rows, grade] - slope[rows, grade + 1]) / p  # d log p / d score
+        # d log p / d theta_k: down for the grade above theta_k, up for the one below
+        g = np.array([(np.where(grade == k, ds[:, k], 0) / p - np.where(grade == k + 1, ds[:, k], 0) / p).sum()
+                      for k in range(grades - 1)])
         grad = np.concatenate([
-            -(x.T @ dz.astype(x.dtype)).astype(np.float64) / n + l2 * w,
-            [-g_theta.sum() / n],
-            [-g_theta[k + 1:].sum() / n * gaps[k] for k in range(grades - 2)]])
-        m = 0.9 * m + 0.1 * grad
-        v = 0.999 * v + 0.001 * grad * grad
-        params = params - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    gaps = np.exp(params[d + 1:])
-    return params[:d], params[d] + np.concatenate([[0.0], np.cumsum(gaps)])
+            -(x.T @ dz.astype(x.dtype)).astype(np.float64) / n + l2 * w, [-g.sum() / n],
+            [-g[k + 1:].sum() / n * gaps[k] for k in range(grades - 2)]])
+        return -np.log(p).mean() + l2 / 2 * (w @ w), grad
+
+    best = _minimise(loss, np.concatenate([np.zeros(d), start[:1], np.log(np.maximum(np.diff(start), 0.1))]), steps)
+    return best[:d], best[d] + np.concatenate([[0.0], np.cumsum(np.exp(best[d + 1:]))])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """text, toxic of at most ``rows`` labelled documents (whole texts)."""
+    """text, toxic of at most ``rows`` labelled documents; equal texts count once."""
     one = (labels.where("doc_id is not null and toxic is not null")
            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     # at most `rows` pairs of numbers: a proven bound for the broadcast
     return (docs.select(F.col("doc_id").alias("__id"), "text")
-            .join(F.broadcast(one), F.col("__id") == F.col("doc_id")).select("doc_id", "text", "toxic"))
+            .join(F.broadcast(one), F.col("__id") == F.col("doc_id"))
+            .groupBy("text").agg(F.max("toxic").alias("toxic")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> OrdinalModel:
@@ -153,26 +183,24 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> OrdinalM
              if f[:1] == b"^" and r["bad"] >= 0.98 * (r["bad"] + r["clean"])}
 
     def encode(texts, toxic):
-        active, density = [], []
+        active, cue_words = [], []
         for text in texts:
-            words = words_of(text)
-            found = {w: word_features(w) for w in set(words)}
+            found = {w: word_features(w) for w in set(words_of(text))}
             active.append(sorted({index[f] for fs in found.values() for f in fs if f in index}))
             hits = {w for w, fs in found.items() if fs & cues}
-            density.append(sum(w in hits for w in words) / max(len(words), 1))
-        return {"toxic": toxic, "active": active, "density": density}
+            cue_words.append(len(hits))
+        return {"toxic": toxic, "active": active, "cues": cue_words}
 
-    got = map_batches(sample, encode, "toxic int, active array<int>, density double").toArrow()
+    got = map_batches(sample, encode, "toxic int, active array<int>, cues int").toArrow()
     toxic = np.asarray(got["toxic"].to_numpy()) > 0
-    density = np.asarray(got["density"].to_numpy())
-    order = np.argsort(density, kind="stable")  # a fixed order of rows: reruns agree
+    cue_count = np.asarray(got["cues"].to_numpy())
     x = np.zeros((len(toxic), len(features)), dtype=np.float32)
     for i, cols in enumerate(got["active"].to_pylist()):
         x[i, cols] = 1
-    order = np.lexsort((*x.T[:8], density))
-    x, toxic, density = x[order], toxic[order], density[order]
-    middle = np.median(density[toxic])
-    grade = np.where(toxic, np.where(density >= middle, 2, 1), 0)
+    order = np.lexsort((*x.T[:8], toxic, cue_count))  # reruns agree whatever the order of rows
+    x, toxic, cue_count = x[order], toxic[order], cue_count[order]
+    middle = np.median(cue_count[toxic])
+    grade = np.where(toxic, np.where(cue_count > middle, 2, 1), 0)
     w, theta = fit_ordinal(x, grade)
     return OrdinalModel(features, w, theta)
 

@@ -182,7 +182,7 @@ def test_ordinal_gradient_is_that_of_the_likelihood():
     true = np.array([2.0, -1.0, 1.5, 0.0, 0.5, -2.0])
     u = rng.logistic(size=300)
     grade = (x @ true + u > 0.5).astype(int) + (x @ true + u > 2.0).astype(int)
-    w, theta = toxicity.fit_ordinal(x, grade, l2=1e-6, steps=1500)
+    w, theta = toxicity.fit_ordinal(x, grade, l2=1e-6, steps=500)
 
     def likelihood(w, theta):
         s = 1 / (1 + np.exp(-(x @ w)[:, None] + theta))
