@@ -44,7 +44,7 @@ def rules() -> list[Rule]:
         Rule("too_short", c("n_words") < 20, 1.0, 0.5),
         Rule("repeated_words", 100 * c("n_repeat_words") > 30 * c("n_words"), 1.0, 20.0),
         Rule("symbols", 10 * c("n_symbols") > c("n_words"), 1.5, 0.5),
-        Rule("repeated_lines", 100 * c("n_dup_lines") > 30 * F.greatest(c("n_lines"), F.lit(1)), 1.2, 0.2),
+        Rule("repeated_lines", 2 * c("n_dup_lines") > c("n_lines"), 1.2, 0.2),
         Rule("word_length", (c("word_chars") < 2 * c("n_words")) | (c("word_chars") > 25 * c("n_words")), 1.0, 0.5),
         Rule("shouting", 2 * c("n_upper") > c("word_chars"), 1.5, 0.0),
     ]

@@ -29,7 +29,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > n_words
-            OR 100 * n_dup_lines > 30 * greatest(n_lines, 1)
+            OR 2 * n_dup_lines > n_lines
             OR word_chars < 2 * n_words OR word_chars > 25 * n_words OR 2 * n_upper > word_chars) AS kept
 FROM q"""
 
