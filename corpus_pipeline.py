@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propyield.llm.bpe import decode, encode, read_ranks
+from propyield.llm.bpe import encode, read_ranks
 from propyield.llm.jaccard import one_of_each
 from propyield.llm.mixing import mixed_documents
 from propyield.llm.pii import mask_pii
@@ -58,7 +58,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     import public_tokenizers
 
     ranks = read_ranks(public_tokenizers.path(VOCABULARY))
-    coded = decode(encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                         F.sha2("decoded", 256).alias("decoded_sha256"),
                         (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))

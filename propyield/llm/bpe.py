@@ -34,6 +34,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ from propyield.llm.common import count_pieces, frequent_grade, map_batches, smal
 from propyield.session import scratch_path
 
 #: Chunks and words of the broadcast dictionary, at most, of at most so many bytes each.
-CHUNKS, WORDS, WORD_BYTES = 1 << 18, 1 << 19, 64
+CHUNKS, WORDS, WORD_BYTES = 1 << 17, 1 << 19, 64
 #: Longest word that is folded in Spark.
 FOLD_BYTES = 128
 #: Maps of the rank literal.
@@ -167,9 +168,13 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 @dataclass
 class Dictionary:
-    """Chunks and words with their ids: the place of each, and the ids one after another."""
+    """Words and chunks with their ids: all keys and all ids, one after another.
 
-    place: dict[str, int]
+    Packed, so that neither the driver nor the broadcast holds an object for each.
+    """
+
+    keys: bytes
+    bounds: np.ndarray
     starts: np.ndarray
     sizes: np.ndarray
     ids: np.ndarray
@@ -200,34 +205,49 @@ def build_dictionary(docs: DataFrame, pattern: str, literal: Column,
     path = scratch_path(spark, "bpe-chunks")
     count_pieces(docs.select(F.col("text").cast("binary")), pieces).write.parquet(path)
     counts = spark.read.parquet(path)
-    chunks = [c.decode() for c in frequent_grade(counts, chunk_limit, WORD_BYTES).toArrow()["word"].to_pylist()]
     path = scratch_path(spark, "bpe-words")
     map_batches(counts, words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).write.parquet(path)
-    frequent = frequent_grade(spark.read.parquet(path), word_limit, WORD_BYTES).toArrow()["word"].to_pylist()
-    wanted = dict.fromkeys(w.decode() for w in frequent)
-    split = {c: parts for c in chunks if len(parts := matches.findall(c)) > 1}
-    wanted |= dict.fromkeys(w for parts in split.values() for w in parts)
-    wanted |= dict.fromkeys(c for c in chunks if c not in split)
-    if not wanted:
-        return Dictionary({}, *(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.uint32)))
-    frame = spark.createDataFrame(pa.table({"w": pa.array([w.encode() for w in wanted], pa.binary())}))
-    folded = (frame.repartition(spark.sparkContext.defaultParallelism)
-              .select("w", fold(F.col("w"), literal).alias("ids")).toArrow().combine_chunks())
+    # chunks of one word are words; of the others, the words that they fall into
+    chunks, parts, ends = [], [], [0]
+    for chunk in frequent_grade(counts, chunk_limit, WORD_BYTES).toArrow()["word"].to_pylist():
+        found = [w.encode() for w in matches.findall(chunk.decode())]
+        if len(found) > 1:
+            chunks.append(chunk)
+            ends.append(ends[-1] + len(found))
+        parts += found if len(found) > 1 else []
+    chunks, parts = pa.array(chunks, pa.binary()), pa.array(parts, pa.binary())
+    more = spark.createDataFrame(pa.table({"word": parts.unique()}))
+    wanted = frequent_grade(spark.read.parquet(path), word_limit, WORD_BYTES).select("word").union(more).distinct()
+    folded = (wanted.repartition(2 * spark.sparkContext.defaultParallelism)
+              .select(F.col("word").alias("w"), fold(F.col("word"), literal).alias("ids")).toArrow().combine_chunks())
+    if not folded.num_rows:
+        return Dictionary(b"", *(np.zeros(n, dtype=t) for n, t in ((1, np.int64), (0, np.int64), (0, np.int64), (0, np.uint32))))
     starts, sizes, ids = _packed(folded["ids"].chunk(0))
-    place = {w.decode(): i for i, w in enumerate(folded["w"].to_pylist())}
+    known = folded["w"].chunk(0).cast(pa.binary())
     # a chunk's ids are those of its words, one after another
-    at = np.array([place[w] for parts in split.values() for w in parts], dtype=np.int64)
+    at = pc.index_in(parts, value_set=known).to_numpy(zero_copy_only=False).astype(np.int64)
     chunk_ids = ids[_spans(starts[at], sizes[at])]
-    ends = np.cumsum([len(parts) for parts in split.values()], dtype=np.int64)
-    words_end = np.concatenate([[0], np.cumsum(sizes[at])])[np.concatenate([[0], ends])]
-    place |= {c: len(starts) + i for i, c in enumerate(split)}
-    return Dictionary(place, np.concatenate([starts, len(ids) + words_end[:-1]]),
-                      np.concatenate([sizes, np.diff(words_end)]), np.concatenate([ids, chunk_ids]))
+    bounds = np.concatenate([[0], np.cumsum(sizes[at])])[np.array(ends)].astype(np.int64)
+    keys = pa.concat_arrays([known, chunks])
+    return Dictionary(b"".join(keys.to_pylist()), np.concatenate([[0], np.cumsum(pc.binary_length(keys).to_numpy())]).astype(np.int64),
+                      np.concatenate([starts, len(ids) + bounds[:-1]]),
+                      np.concatenate([sizes, np.diff(bounds)]), np.concatenate([ids, chunk_ids]))
+
+
+def place_of(dictionary: dict) -> dict[str, int]:
+    """The place of each key; built once in each Python worker, kept with the broadcast."""
+    if "place" not in dictionary:
+        data, at = dictionary["keys"], dictionary["bounds"].tolist()
+        dictionary["place"] = {data[a:b].decode(): i for i, (a, b) in enumerate(zip(at, at[1:], strict=False))}
+    return dictionary["place"]
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """doc_id, ids (packed little-endian uint32), text_sha256 for every input row."""
+           text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """doc_id, ids (packed little-endian uint32), text_sha256 for every input row.
+
+    ``decoded`` adds what the ids decode to (binary), in the task that packs them.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -238,7 +258,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Places in the dictionary; the text's other words are numbered from -1 down."""
-        get = spread.value["place"].get
+        get = place_of(spread.value).get
         for batch in batches:
             places, others, longs = [], [], []
             for text in batch.column(1).to_pylist():
@@ -263,7 +283,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Gather the ids of each place: a batch's own words stand behind the dictionary's."""
-        d = SimpleNamespace(**spread.value)
+        d = SimpleNamespace(**{k: v for k, v in spread.value.items() if k not in ("place", "keys", "bounds")})
+        pieces = pieces_by_id(vocabulary.value) if decoded else []
         for batch in batches:
             texts = [np.frombuffer(x, dtype="<i4").astype(np.int64) for x in batch.column(2).to_pylist()]
             lists = batch.column(3)
@@ -275,15 +296,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             for at, b in zip(texts, base, strict=False):
                 at = np.where(at < 0, b - 1 - at, at)
                 out.append(ids[_spans(starts[at], sizes[at])].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "text_sha256", "ids"])
+            columns = {"doc_id": batch.column(0), "text_sha256": batch.column(1), "ids": pa.array(out, pa.binary())}
+            if decoded:
+                columns["decoded"] = pa.array([joined_pieces(x, pieces) for x in out], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
     found = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")).mapInArrow(
         look_up, f"doc_id {kind}, text_sha256 string, places binary, others array<binary>, longs array<array<int>>")
     folded = F.transform("others", lambda w, i: F.when(
         F.get("longs", i).isNotNull(), F.get("longs", i)).otherwise(fold(w, literal)))
     return found.select("doc_id", "text_sha256", "places", folded.alias("folded")).mapInArrow(
-        assemble, f"doc_id {kind}, text_sha256 string, ids binary")
+        assemble, f"doc_id {kind}, text_sha256 string, ids binary" + ", decoded binary" * decoded)
 
 
 def _spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -293,6 +316,18 @@ def _spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return shift + np.arange(total)
 
 
+def pieces_by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+    for piece, i in ranks.items():
+        pieces[i] = piece
+    return pieces
+
+
+def joined_pieces(ids: bytes, pieces: list[bytes]) -> bytes:
+    """The binary pieces of packed ids, concatenated."""
+    return b"".join([pieces[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+
+
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``encoded`` with ``decoded`` (binary): the pieces of the packed ids, concatenated."""
     spread = encoded.sparkSession.sparkContext.broadcast(ranks)
@@ -300,12 +335,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     at = names.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = [b""] * (max(spread.value.values(), default=-1) + 1)
-        for piece, i in spread.value.items():
-            pieces[i] = piece
+        pieces = pieces_by_id(spread.value)
         for batch in batches:
-            texts = [b"".join([pieces[i] for i in np.frombuffer(x, dtype="<u4").tolist()])
-                     for x in batch.column(at).to_pylist()]
+            texts = [joined_pieces(x, pieces) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
@@ -314,7 +346,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
 def bpe_report(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """The digest of encoding and decoding per document."""
-    coded = decode(encode(docs, ranks, pattern), ranks)
+    coded = encode(docs, ranks, pattern, decoded=True)
     return coded.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
