@@ -9,9 +9,14 @@ link when 100 * |A n B| >= 80 * |A u B|.
    sets share one of them. Documents with the same prefix and size form one group, and
    only groups are posted under their prefix shingles. Documents with the same set
    are one node, never compared.
-3. Groups that meet under a shingle are filtered by size. First each meets the
-   smallest group of the list only (and each member the leader of its group): a list
-   of copies costs as many pairs as it has members. Verified links give components.
+3. Groups that meet under a shingle are filtered by size and by the number of prefix
+   shingles they share (a link needs more than their suffixes can hold). First each
+   meets the smallest group of the list only (and each member the leader of its
+   group): a list of copies costs as many pairs as it has members. Verified links give
+   components; a link that this round misses is found in the next. A list of a frequent
+   shingle has several such groups, chosen by hash; while lists still hold so many
+   documents outside their largest component that meeting all others would cost far
+   more than the lists are long, these meet a few newly chosen ones first.
 4. What may still be missing are links between different components: lists that hold
    more than one component are expanded to members, and those outside the list's
    largest component meet all others of a fitting size. Pairs within a component are
@@ -44,6 +49,9 @@ LINK = 80
 #: Frequent shingles that are put last, at most; a task names those that it saw
 #: HOT_SEEN times within CHUNK shingles.
 HOT, HOT_SEEN, CHUNK = 1 << 19, 4, 8_000_000
+#: Members of a long list that all others meet first, and rounds of that at most, as long
+#: as the last step would list more than COSTLY pairs for each row of the lists.
+PIVOTS, ROUNDS, COSTLY = 5, 6, 30
 #: Bits of the filter that spares most documents without candidates the last pass.
 FILTER_BITS = 25
 
@@ -172,6 +180,17 @@ def _fits(a, b):
     return F.least(a, b) * 100 >= F.greatest(a, b) * LINK
 
 
+def _enough(shared, a, b):
+    """Whether sets of sizes ``a`` and ``b`` with ``shared`` common prefix shingles may link.
+
+    Of the two prefixes, one ends first in the global order: common shingles up to its
+    end are in both prefixes, all others in that set's suffix. So the intersection is
+    at most ``shared`` plus the longer suffix, and a link needs 80/180 of both sizes.
+    """
+    suffix = F.floor((F.greatest(a, b) * LINK + 99) / 100) - 1
+    return (shared + suffix) * (100 + LINK) >= (a + b) * LINK
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"jaccard-{name}")
     df.write.parquet(path)
@@ -193,12 +212,19 @@ def _lists(prefixes: DataFrame) -> DataFrame:
             .withColumn("last", F.max("gid").over(each)).where(F.col("first.gid") < F.col("last"))
             .select("token", "gid", "size", F.col("first.gid").alias("pivot"), F.col("first.size").alias("pivot_size")))
     often = posted.select(F.explode("often").alias("token"), "gid", "size").distinct()
-    first = (often.groupBy("token").agg(F.min(F.struct("gid", "size")).alias("first"), F.max("gid").alias("last"))
-             .where(F.col("first.gid") < F.col("last"))
-             .select("token", F.col("first.gid").alias("pivot"), F.col("first.size").alias("pivot_size")))
+    first = (often.groupBy("token").agg(_chosen("gid", 0).alias("pivots"), F.min("gid").alias("one"), F.max("gid").alias("last"))
+             .where("one < last").select("token", F.explode(F.array_distinct("pivots")).alias("p"))
+             .select("token", F.col("p.id").alias("pivot"), F.col("p.size").alias("pivot_size")))
     return rare.unionByName(often.join(first, "token"))
 
 
+def _chosen(name: str, salt: int):
+    """An aggregate: PIVOTS (id, size), each the one of the smallest hash under a salt."""
+    smallest = [F.min(F.struct(F.xxhash64(F.lit(salt + i), name).alias("h"), F.col(name).alias("id"), "size"))
+                for i in range(PIVOTS)]
+    return F.array(*[F.struct(m["id"].alias("id"), m["size"].alias("size")) for m in smallest])
+
+
 def _marks(ids: DataFrame) -> np.ndarray:
     """A bitmap of the hashes of ``ids``: 2 ** FILTER_BITS bits, whatever their number."""
     at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
@@ -212,10 +238,12 @@ def _marks(ids: DataFrame) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets link."""
+    """The pairs (a, b) of nodes whose whole sets link.
+
+    Sets are computed from the texts of the nodes' documents alone, and meet in joins.
+    """
     spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = _written(wanted.join(nodes, "node").select("node", "doc_id"), "wanted")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node")
     spread = spark.sparkContext.broadcast(_marks(wanted.select("doc_id")))
     hashes = _WordHashes()
 
@@ -231,7 +259,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
     found = map_batches(docs.where("doc_id is not null").select("doc_id", at, F.col("text").cast("binary")), sets,
                         f"doc_id {kind}, tokens binary, node long")
-    sets_of = _written(found.join(wanted, ["doc_id", "node"]).select("node", "tokens"), "sets")
+    sets_of = _written(found.where("node is not null"), "sets")
 
     def check(a, b, x, y):
         keep = []
@@ -242,9 +270,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 keep.append(i)
         return {"a": [a[i] for i in keep], "b": [b[i] for i in keep]}
 
-    left = sets_of.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
-    right = sets_of.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), check, "a long, b long")
+    # the document stands for its node: of equal sets only that one takes part
+    side = lambda df, node, tokens: df.select(
+        F.col("node").alias(node), F.col("doc_id").alias(f"d{node}"), *[F.col("tokens").alias(t) for t in tokens])
+    both = (pairs.join(side(nodes, "a", []), "a").join(side(nodes, "b", []), "b")
+            .join(side(sets_of, "a", ["x"]), ["a", "da"]).join(side(sets_of, "b", ["y"]), ["b", "db"]))
+    return map_batches(both.select("a", "b", "x", "y"), check, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -267,6 +298,23 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _open_lists(lists: DataFrame, members: DataFrame, comps: DataFrame) -> DataFrame:
+    """token, share, node, size, comp: the members of lists that hold several components.
+
+    A group is a list of its own: its members share the whole prefix, whichever of its
+    shingles are listed (``share`` is then larger than any prefix).
+    """
+    comp_of = _written(members.join(comps, "node", "left")
+                       .select("gid", "node", "size", F.coalesce("comp", "node").alias("comp")), "components")
+    in_group = comp_of.groupBy("gid").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"))
+    posted = lists.select("token", "gid").distinct()
+    mixed = (posted.join(in_group, "gid").groupBy("token")
+             .agg(F.min("c1").alias("c1"), F.max("c2").alias("c2")).where("c1 < c2").select("token"))
+    groups = in_group.where("c1 < c2").select(F.col("gid").alias("token"), "gid", F.lit(1 << 40).alias("share"))
+    chosen = posted.join(mixed, "token").select("token", "gid", F.lit(1).cast("long").alias("share")).unionByName(groups)
+    return _written(chosen.join(comp_of, "gid").select("token", "share", "node", "size", "comp"), "open")
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every input row."""
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -279,7 +327,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lists = _written(_lists(prefixes), "lists")
 
     # each group meets the smallest of its list, each member the leader of its group
-    meet = lists.where((F.col("gid") != F.col("pivot")) & _fits(F.col("size"), F.col("pivot_size"))).select("gid", "pivot").distinct()
+    meet = (lists.where((F.col("gid") != F.col("pivot")) & _fits(F.col("size"), F.col("pivot_size")))
+            .groupBy("gid", "pivot", "size", "pivot_size").agg(F.count(F.lit(1)).alias("shared"))
+            .where(_enough(F.col("shared"), F.col("size"), F.col("pivot_size"))).select("gid", "pivot"))
     meet = (meet.join(leaders, "gid").withColumnRenamed("leader", "a")
             .join(leaders.select(F.col("gid").alias("pivot"), F.col("leader").alias("b")), "pivot").select("a", "b"))
     inside = members.join(leaders, "gid").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
@@ -288,28 +338,38 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = _written(_verified(first, docs, nodes), "linked")
     comps = components(links)
 
-    # lists that hold several components: those outside the largest meet all others
-    comp_of = members.join(comps, "node", "left").select("gid", "node", "size", F.coalesce("comp", "node").alias("comp"))
-    comp_of = _written(comp_of, "components")
-    in_group = comp_of.groupBy("gid").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-    mixed = (lists.select("token", "gid").join(in_group, "gid").groupBy("token")
-             .agg(F.min("c1").alias("c1"), F.max("c2").alias("c2")).where("c1 < c2").select("token"))
-    groups = in_group.where("c1 < c2").select(F.col("gid").alias("token"), "gid")
-    open_lists = lists.join(mixed, "token").select("token", "gid").unionByName(groups)
-    open_lists = _written(open_lists.join(comp_of, "gid").select("token", "node", "size", "comp").distinct(), "open")
-    largest = (open_lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("token").agg(F.max(F.struct("n", "comp")).alias("m")).select("token", F.col("m.comp").alias("top")))
-    minor = (open_lists.join(largest, "token").where("comp <> top")
-             .select("token", F.col("node").alias("a"), F.col("size").alias("sa"), F.col("comp").alias("ca"), "top"))
-    other = open_lists.select("token", F.col("node").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("cb"))
-    again = minor.join(other, "token").where(
-        (F.col("ca") != F.col("cb")) & _fits(F.col("sa"), F.col("sb"))
-        & ((F.col("cb") == F.col("top")) | (F.col("a") < F.col("b")))).select("a", "b")
-    second = _written(ordered(again).join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        more = _written(_verified(second, docs, nodes), "linked")
-        if not more.isEmpty():
-            comps = components(links.unionByName(more))
+    done = first
+    for salt in range(1, ROUNDS + 1):
+        open_lists = _open_lists(lists, members, comps)
+        counts = open_lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
+        largest = (counts.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("n"))
+                   .select("token", F.col("m.comp").alias("top"), "n", (F.col("n") - F.col("m.n")).alias("out")))
+        cost = largest.agg(F.coalesce(F.sum(F.col("out") * F.col("n")), F.lit(0)).alias("pairs"),
+                           F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+        minor = (open_lists.join(largest.select("token", "top"), "token").where("comp <> top")
+                 .select("token", "share", F.col("node").alias("a"), F.col("size").alias("sa"), F.col("comp").alias("ca"), "top"))
+        last = salt == ROUNDS or cost["pairs"] <= COSTLY * cost["rows"]
+        if last:
+            # all links that can be missing: those outside a list's largest component meet all others
+            other = open_lists.select("token", F.col("node").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("cb"))
+        else:
+            other = (open_lists.groupBy("token").agg(_chosen("node", salt * PIVOTS).alias("pivots"))
+                     .select("token", F.explode(F.array_distinct("pivots")).alias("p"))
+                     .select("token", F.col("p.id").alias("b"), F.col("p.size").alias("sb"), F.lit(None).cast("long").alias("cb")))
+        met = F.coalesce((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("top")) | (F.col("a") < F.col("b"))), F.lit(True))
+        again = minor.join(other, "token").where((F.col("a") != F.col("b")) & _fits(F.col("sa"), F.col("sb")) & met)
+        again = (again.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("sa") + F.col("sb")).alias("sum"),
+                               F.greatest("sa", "sb").alias("large")).agg(F.sum("share").alias("shared"))
+                 .where(_enough(F.col("shared"), F.col("large"), F.col("sum") - F.col("large"))).select("a", "b"))
+        pairs = _written(again.join(done, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            more = _written(_verified(pairs, docs, nodes), "linked")
+            done = done.unionByName(pairs)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                comps = components(links)
+        if last:
+            break
 
     whole = (nodes.join(comps, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
     smallest = whole.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
