@@ -49,9 +49,9 @@ LINK = 80
 #: Frequent shingles that are put last, at most; a task names those that it saw
 #: HOT_SEEN times within CHUNK shingles.
 HOT, HOT_SEEN, CHUNK = 1 << 19, 4, 8_000_000
-#: Members of a long list that all others meet first, and rounds of that at most, as long
+#: Members of a long list that all others meet first, and rounds (the last is exact) as long
 #: as the last step would list more than COSTLY pairs for each row of the lists.
-PIVOTS, ROUNDS, COSTLY = 5, 6, 30
+PIVOTS, ROUNDS, COSTLY = 5, 2, 30
 #: Bits of the filter that spares most documents without candidates the last pass.
 FILTER_BITS = 25
 
