@@ -381,16 +381,20 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id.
 
-    Documents without words and rows without an id stay; of rows that share an id and
-    have words one stays.
+    Rows are told apart by their id and a 64-bit hash of their text, so texts that share
+    an id are judged each by its own component. Documents without words and rows without
+    an id stay; of rows that share an id and a text with words one stays.
     """
-    comp = _written(ngram_components(docs, id_col, text_col), "result").where("n_shingles > 0 and doc_id is not null")
-    gone, key = fresh("gone"), F.col(f"`{id_col}`")
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    row = F.when(id_.isNotNull(), F.struct(id_.alias("id"), F.xxhash64(text.cast("binary")).alias("hash")))
+    comp = _written(ngram_components(docs.select(row.alias("doc_id"), text.alias("text"))), "result")
+    comp = comp.where("n_shingles > 0 and doc_id is not null")
+    key, gone = fresh("row"), fresh("gone")
+    keyed, match = docs.withColumn(key, row), F.col(key) == F.col(gone)
     left_out = comp.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    kept = docs.join(left_out, key == F.col(gone), "left_anti")
+    kept = keyed.join(left_out, match, "left_anti")
     twice = (comp.where("doc_id = component_id").groupBy(F.col("doc_id").alias(gone))
              .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(gone))
-    if twice.isEmpty():
-        return kept
-    return (kept.join(twice, key == F.col(gone), "left_anti")
-            .unionByName(kept.join(twice, key == F.col(gone), "left_semi").dropDuplicates([id_col])))
+    if not twice.isEmpty():
+        kept = kept.join(twice, match, "left_anti").unionByName(kept.join(twice, match, "left_semi").dropDuplicates([key]))
+    return kept.drop(key)

@@ -119,6 +119,16 @@ def test_one_document_of_each_group(spark):
     assert got == [(False, 1), (False, 4), (False, 5), (False, 6), (True, 0)]
 
 
+def test_texts_that_share_an_id_are_kept_each_by_its_own(spark):
+    t, u, v = (" ".join(f"{c}{i}" for i in range(40)) for c in "tuv")
+    rows = [(3, t), (7, t), (7, u), (7, u), (7, " "), (0, "one text"), (0, "and another"), (0, v), (8, v + " more"), (None, t)]
+    docs = H.documents(spark, rows).withColumn("row", F.lit(1)).withColumn("id", F.lit(2))
+    out = jaccard.one_of_each(docs)
+    assert out.columns == docs.columns
+    want = [(None, t), (0, "and another"), (0, "one text"), (0, v), (3, t), (7, " "), (7, u)]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=lambda x: (x[0] is not None, x)) == want
+
+
 @pytest.mark.parametrize("name", ["op1_bpe", "op4_jaccard", "pipeline"])
 def test_empty_tables(spark, scratch, name):
     H.documents(spark, []).write.parquet(f"{scratch}/documents.parquet")
