@@ -114,7 +114,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
             start = _back(text, at, floor, _DIGITS)
             if start < at and (m := _IP.match(text, start)):
                 done[kind] = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
                     spans.append((kind, start, m.end()))
         elif kind == "card":
             m = _CARD.match(text, at)

@@ -49,6 +49,13 @@ def test_pii_base_kinds_equal_the_patterns(text):
     assert [s for s in pii.find_spans(text) if s[0] in pii.BASE_KINDS] == H.pii_base(text)
 
 
+def test_long_runs_of_zeros_in_an_address():
+    zeros = "0" * 5000
+    for text in (zeros + ".0.0.0", "1.2.3." + zeros + "255"):
+        assert pii.find_spans(text)[0] == ("ip", 0, len(text))
+    assert not [s for s in pii.find_spans(f"1.2.{zeros}256.4") if s[0] == "ip"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["password", "TOKEN", "api_key", "=", ":", " ", "'", '"', "AKIA", "ABCD1234EFGH5678",
                                  "0123abcd", "deadbeef99", "z", "\n", "ſecret", "é"]), max_size=14))
