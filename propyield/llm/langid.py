@@ -44,36 +44,51 @@ TEMPER = 60.0
 HOST_PULL, SITE_PULL, TABLE_PULL = 8.0, 20.0, 1.0
 
 _LANG = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})(?![A-Za-z])", re.IGNORECASE)
-_HIDDEN = {"script", "style", "nav", "noscript", "template", "head"}
+_HIDDEN = {"script", "style", "nav", "noscript", "template"}
+#: Tags that leave a head open; any other one, or text of its own, ends it.
+_IN_HEAD = {"", "!--", "head", "html"} | {
+    end + x for end in ("", "/") for x in ("title", "meta", "link", "base", "script", "style", "noscript", "template")}
 _VOID = re.compile(r"\bclass\s*=\s*[\"']?ad\b")
+_NAME = re.compile(r"/?[A-Za-z][A-Za-z0-9]*|!--")
+
+
+def _name(piece: str) -> str | None:
+    """The tag that opens ``piece``: "" for other markup, None if the piece is text."""
+    m = _NAME.match(piece)
+    return m[0].lower() if m else "" if piece.startswith(("!", "/", "?")) else None
 
 
 def visible_text(html: str | None) -> str:
     """The text of a page without tags, scripts, styles, head, navigation and ads.
 
-    One pass over the tags; each piece of the page is looked at once.
+    A head ends at its end tag, at the first tag that no head holds or at text of its own.
+    Other elements are hidden only if their end tag follows somewhere; a ``<`` that opens
+    no tag is text. Each piece of the page is looked at twice.
     """
     if not html:
         return ""
-    out, until = [], None
-    for i, piece in enumerate(html.split("<")):
-        tag, closed, text = piece.partition(">") if i else ("", "", piece)
-        name = re.match(r"/?[A-Za-z][A-Za-z0-9]*|!--", tag)
-        name = name[0].lower() if name else ""
-        if until is None:
-            if name in _HIDDEN:
-                until = "/" + name
-            elif name == "div" and _VOID.search(tag):
-                until = "/div"
-            elif name == "!--":
-                until = None if tag.endswith("--") else "-->"
-        elif until == "-->":
-            if "-->" in piece:
-                until, text = None, piece.partition("-->")[2]
-                closed = ">"
-        elif name == until:
+    pieces = html.split("<")
+    names = [None, *map(_name, pieces[1:])]
+    last = {n: i for i, n in enumerate(names) if n and n[0] == "/"}
+    out, until, head = [], None, False
+    for i, (piece, name) in enumerate(zip(pieces, names, strict=True)):
+        tag, closed, text = piece.partition(">")
+        if until == "-->" or (until is None and name == "!--"):
+            _, closed, text = piece.partition("-->")
+            until = None if closed else "-->"
+        elif until is not None:
+            if name != until:
+                continue
             until = None
-        if until is None and (closed or not i):
+        elif name is None:
+            closed, text = "<", "<" * (i > 0) + piece
+        else:
+            head = name == "head" or (head and name in _IN_HEAD)
+            hides = name in _HIDDEN or (head and name == "title") or (name == "div" and _VOID.search(tag))
+            if hides and last.get("/" + name, 0) > i:
+                until = "/" + name
+        if until is None and closed and not (head and not text.strip()):
+            head = False
             out.append(text)
     return unescape(" ".join(out))
 

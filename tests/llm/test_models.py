@@ -207,6 +207,21 @@ def test_visible_text():
     assert len(langid.visible_text("<" * 200_000)) <= 400_000
 
 
+def test_visible_text_of_open_elements():
+    def words(html):
+        return langid.visible_text(html).split()
+
+    assert words("<html><head><title>t</title><meta x><script>'<p>no'</script><body><p>Bon <b>beau</b>") == ["Bon", "beau"]
+    assert words("<head><!-- a <p> b --><style>s</style><p>one<nav>menu</nav> two") == ["one", "two"]
+    assert words("<head><link x>plain words</head> more") == ["plain", "words", "more"]
+    for name in ("nav", "noscript", "template", "script", "style"):
+        assert words(f"one <{name}> two <p>three") == ["one", "two", "three"]
+        assert words(f"one <{name}> two <p></{name}>three") == ["one", "three"]
+    assert words("one <div class=ad> two <p>three") == ["one", "two", "three"]
+    assert words("3 < 4 and more words <p>x") == ["3", "<", "4", "and", "more", "words", "x"]
+    assert words("<!doctype html><?php x?>a<!-- if b > c -->d <!-- < e --> f") == ["a", "d", "f"]
+
+
 def test_language_of_pages(spark):
     docs = spark.createDataFrame([(i, " ".join(w * 20), l) for i, (w, l) in enumerate([(DOG, "en"), (CHAT, "fr")])]
                                  + [(8, None, "en"), (9, "x", None)], "doc_id long, text string, lang string")
