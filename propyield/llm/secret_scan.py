@@ -3,8 +3,8 @@
 Candidates are strings found by pattern. A sliding window then moves over each long
 candidate; the counts of its characters are updated as one enters and one leaves,
 so its Shannon entropy (per character class: hex, base 64) costs O(1) a step. Windows
-over the class's threshold join into an ``entropy`` span, unless the allow list
-knows the string.
+over the class's threshold join into an ``entropy`` span; of a span that holds a string
+of the allow list, windows that touch that string do not count.
 
 Kinds, in the order that breaks ties: ``assign access hex`` (base) and ``entropy``.
 Offsets count code points, ends exclusive. A null text has no spans, an empty table
@@ -41,6 +41,7 @@ _CLASS = {"hex": re.compile(r"[0-9a-fA-F]{20,}+"), "base64": re.compile(r"[A-Za-
 #: Strings that look random but are not secrets (fixed values).
 ALLOW = ("0123456789abcdef", "abcdefghijklmnop", "ABCDEFGHIJKLMNOP", "EXAMPLE", "example",
          "placeholder", "xxxxxxxx", "XXXXXXXX", "deadbeef")
+_ALLOW = re.compile(f"(?=({'|'.join(ALLOW)}))")
 
 
 def _bits(total: float, n: int) -> float:
@@ -81,8 +82,22 @@ def _mixed(s: str) -> bool:
     return any(c.isdigit() for c in s) and any(c.isalpha() for c in s)
 
 
-def _allowed(s: str) -> bool:
-    return any(a in s for a in ALLOW)
+def _unlisted(s: str, threshold: float) -> list[tuple[int, int]]:
+    """What is left of the hot stretch ``s`` without windows that touch the allow list.
+
+    A listed string goes on over the letters or digits that follow it in order.
+    """
+    if not any(a in s for a in ALLOW):
+        return [(0, len(s))]
+    out, at = [], 0
+    for m in [*_ALLOW.finditer(s), None]:
+        out += [(at + a, at + b) for a, b in hot_windows(s[at:m.start() if m else None], WINDOW, threshold)]
+        if m:
+            end = m.end(1)
+            while end < len(s) and ord(s[end]) == ord(s[end - 1]) + 1:
+                end += 1
+            at = max(at, end)
+    return out
 
 
 def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
@@ -101,11 +116,12 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
         for name, shape in _CLASS.items():
             for c in shape.finditer(text, m.start(), m.end()):
                 if _mixed(c[0]):
-                    stretches |= {(c.start() + a, c.start() + b)
-                                  for a, b in hot_windows(c[0], WINDOW, THRESHOLDS[name])}
+                    stretches |= {(c.start() + a + x, c.start() + a + y)
+                                  for a, b in hot_windows(c[0], WINDOW, THRESHOLDS[name])
+                                  for x, y in _unlisted(c[0][a:b], THRESHOLDS[name])}
         end = -1
         for a, b in sorted(stretches, key=lambda x: (x[0], -x[1])):
-            if b > end and _mixed(text[a:b]) and not _allowed(text[a:b]):
+            if b > end and _mixed(text[a:b]):
                 spans.append(("entropy", a, b))
                 end = b
     return sorted(spans, key=lambda s: (s[1], _ORDER[s[0]], s[2]))

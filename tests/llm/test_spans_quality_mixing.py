@@ -49,6 +49,18 @@ def test_pii_base_kinds_equal_the_patterns(text):
     assert [s for s in pii.find_spans(text) if s[0] in pii.BASE_KINDS] == H.pii_base(text)
 
 
+def test_listed_strings_hide_only_the_windows_they_touch():
+    def entropy(text):
+        return [text[a:b] for k, a, b in secret_scan.find_secrets(text) if k == "entropy"]
+
+    random_key = "zQ8xT4mB1nV7cL0pK5jH2gF9"
+    assert entropy(f"example_{random_key}") == [f"_{random_key}"]
+    assert entropy(f"{random_key}deadbeef{random_key[::-1]}") == [random_key, random_key[::-1]]
+    assert entropy("zQ8xT4mB1nV7cL0pK5xxxxxxxx")[0].startswith("zQ8xT4mB1nV7cL0pK5")
+    for clean in ("abcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef0123456789abcdef", "EXAMPLE7Q2xT4mB1nV"):
+        assert entropy(clean) == []
+
+
 def test_long_runs_of_zeros_in_an_address():
     zeros = "0" * 5000
     for text in (zeros + ".0.0.0", "1.2.3." + zeros + "255"):
