@@ -50,3 +50,78 @@ r AS (SELECT doc_id AS node, doc_id AS reach FROM d UNION SELECT r.node, e.y FRO
 m AS (SELECT node, min(reach) AS component_id FROM r GROUP BY node)
 SELECT d.doc_id, CAST(coalesce(c, 0) AS BIGINT) AS n_shingles, component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.node = d.doc_id"""
+
+
+#: CRC-32 (the reflected polynomial 0xEDB88320) byte by byte through a table, as lambdas.
+_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, j:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+#: Words of at least five letters and three occurrences, their near words by shared
+#: deletions at one place, forms and roots.
+SPELLING = f"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+                translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+         FROM documents),
+counted AS (SELECT doc, run, count(*) AS times FROM runs GROUP BY doc, run),
+bytes AS (SELECT run, times, flatten(list_transform(string_split(doc || ':' || run, ''), lambda ch:
+                 CASE WHEN unicode(ch) < 128 THEN [unicode(ch)] ELSE [195, unicode(ch) - 64] END)) AS b
+          FROM counted WHERE length(run) >= 5),
+hashed AS (SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(b, lambda x: CAST(x AS BIGINT))),
+                 lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h
+           FROM bytes, crc),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, (h % length(run)) + 2)
+                           ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cuts AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, w.word FROM cuts a JOIN words w ON a.rest = w.word
+  UNION SELECT w.word, a.word FROM cuts a JOIN words w ON a.rest = w.word),
+best AS (
+  SELECT near.word, near.other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, near.other) AS place
+  FROM near JOIN words o ON near.other = o.word),
+judged AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form,
+         CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word AND b.place = 1),
+up AS (
+  SELECT word, form AS at FROM judged WHERE form IS NOT NULL
+  UNION ALL
+  SELECT up.word, j.form FROM up JOIN judged j ON up.at = j.word WHERE j.form IS NOT NULL)
+SELECT j.word, j.form, coalesce(u.at, j.word) AS root, j.n, j.n_near, j.form_n
+FROM judged j
+LEFT JOIN (SELECT up.word, up.at FROM up JOIN judged e ON up.at = e.word WHERE e.form IS NULL) u ON j.word = u.word
+"""
+
+#: Hard negatives over all pairs of an anchor and a row.
+MINING = """
+WITH good AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+  FROM good a JOIN good r ON a.vec_id <> r.vec_id AND len(a.q) = len(r.q)
+  WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (
+           PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+         n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+  FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 100 * n.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score)
+SELECT * FROM ranked WHERE rank <= 10
+"""
