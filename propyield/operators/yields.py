@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from propyield.functions import gross_yield, year_of
 from propyield.operators.text import repair_column
+from propyield.session import scratch_path
 
 
 def with_sale_year(address: DataFrame) -> DataFrame:
@@ -44,16 +45,46 @@ def yield_long(totals: DataFrame, rents: DataFrame, join_keys: Sequence[str],
                     .alias("rental_yield")))
 
 
-def pivot_years(long: DataFrame, row_keys: Sequence[str],
-                value: str = "rental_yield") -> DataFrame:
+def gather_years(long: DataFrame, row_keys: Sequence[str], value: str = "rental_yield") -> DataFrame:
+    """One row per ``row_keys`` with ``cells``, a map from year to value.
+
+    One aggregate; a place holds at most one row a year upstream, so the lists are as
+    long as there are years. Of several values of one cell the greatest counts, a null
+    only if there is no other. Rows without a year add no cell.
+    """
+    pairs = F.sort_array(F.collect_set(F.when(
+        F.col("year").isNotNull(), F.struct(F.col("year").cast("int").alias("year"), F.col(value).alias("value")))), asc=False)
+    best = F.filter(pairs, lambda x, i: (i == 0) | (x["year"] != F.get(pairs, i - 1)["year"]))
+    return long.groupBy(*row_keys).agg(F.map_from_entries(best).alias("cells"))
+
+
+def years_of(gathered: DataFrame) -> list[int]:
+    """The years of the cells, ascending: one row a year reaches the driver."""
+    years = gathered.select(F.explode(F.map_keys("cells")).alias("year")).distinct()
+    return sorted(r["year"] for r in years.collect())
+
+
+def spread_years(gathered: DataFrame, row_keys: Sequence[str], years: Sequence[int]) -> DataFrame:
+    """The cells of ``gather_years`` as one column for each of ``years``."""
+    return gathered.select(*row_keys, *[F.try_element_at("cells", F.lit(y)).alias(str(y)) for y in years])
+
+
+def pivot_years(long: DataFrame, row_keys: Sequence[str], value: str = "rental_yield",
+                years: Sequence[int] | None = None) -> DataFrame:
     """One row per ``row_keys``, one column per year (ascending), cell = the value.
 
-    The years are those of the data: Spark's ``pivot`` first collects the distinct
-    ones with a small job. Pass a table that is written (``materialize_once``) rather
-    than a long plan, or that job computes the plan once more.
-    Each cell holds at most one row upstream, so ``first`` is well defined.
+    With ``years`` given this is one aggregate and no job. Otherwise the years are those of
+    the data: the gathered table (a row a place) is written once below the shared folder,
+    and both the years and the result are read from it, so ``long`` is computed once.
     """
-    return long.groupBy(*row_keys).pivot("year").agg(F.first(value))
+    gathered = gather_years(long, row_keys, value)
+    if years is None:
+        spark = long.sparkSession
+        path = scratch_path(spark, "gathered")
+        gathered.write.parquet(path)
+        gathered = spark.read.schema(gathered.schema).parquet(path)
+        years = years_of(gathered)
+    return spread_years(gathered, row_keys, years)
 
 
 def yield_by_dept_long(address: DataFrame, rent_dept: DataFrame) -> DataFrame:

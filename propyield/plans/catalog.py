@@ -48,12 +48,11 @@ from propyield.plans import fixtures
 from propyield.plans.pipeline import Inputs, run_pipeline
 from propyield.schemas import ADDRESS_KEYS, GEO_HEADER, GEO_RENAMES, RENT_RENAMES, SALE_RENAMES
 from propyield.session import scratch_path, shared_dir
-from propyield.sinks import export_csv, export_named_csv, materialize_once
+from propyield.sinks import export_csv, export_named_csv, materialize_once, published
 from propyield.sources import (
     ingest_folder,
     ingest_pipe_folder,
     ingest_yearly_folder,
-    fs,
     read_delimited,
     read_header,
     read_tolerant,
@@ -91,11 +90,6 @@ def as_doubles(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- shared plans
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written once and read back: a pivot reads its input twice (years, cells)."""
-    return materialize_once(df, scratch_path(df.sparkSession, "pivot-input"))
-
-
 def region_sales(spark: SparkSession, d: str) -> DataFrame:
     """C-1: cleaned, region-matched sales summed per address (surface > 0)."""
     return clean_sales(sale_table(spark, d), geo_table(spark, d), REGION)
@@ -244,13 +238,13 @@ def q_yield_city_long(spark, d):
 
 @register("yield_by_dept", O.with_(*O.yield_chain("dept")) + O.pivot_sql("yield_dept", ["dep"]))
 def q_yield_by_dept(spark, d):
-    return pivot_years(written(q_yield_dept_long(spark, d)), ["dep"])
+    return pivot_years(q_yield_dept_long(spark, d), ["dep"])
 
 
 @register("yield_by_city", O.with_(*O.yield_chain("city"))
           + O.pivot_sql("yield_city", ["city", "insee"]))
 def q_yield_by_city(spark, d):
-    return pivot_years(written(q_yield_city_long(spark, d)), ["city", "insee"])
+    return pivot_years(q_yield_city_long(spark, d), ["city", "insee"])
 
 
 @register("yield_by_city_repaired", O.with_(*O.yield_chain("city"), """spelled AS (
@@ -260,7 +254,7 @@ def q_yield_by_city_repaired(spark, d):
     """The city table of rents whose city names lost their accents to a misreading."""
     damaged = region_rents(spark, d).withColumn("city", F.concat("city", F.lit(" Orl\u00c3\u00a9ans")))
     long = yield_by_city_long(region_sales(spark, d), rent_by_city(damaged))
-    return pivot_years(written(repair_column(long, "city")), ["city", "insee"])
+    return pivot_years(repair_column(long, "city"), ["city", "insee"])
 
 
 # ----------------------------------------------------------- text and preview
@@ -391,7 +385,7 @@ def q_full_pipeline(spark, d):
     inputs = Inputs(fixtures.rent_folder(spark, d), fixtures.sale_folder(spark, d),
                     fixtures.geo_delimited(spark, d, "\t"))
     run_pipeline(spark, inputs, out, REGION, code_remap={"3": "30"})
-    return named_table(spark, f"{out}/yield_by_city.csv", 2)
+    return named_table(spark, published(spark, out)["yield_by_city.csv"], 2)
 
 
 def named_table(spark: SparkSession, path: str, keys: int) -> DataFrame:
@@ -401,26 +395,26 @@ def named_table(spark: SparkSession, path: str, keys: int) -> DataFrame:
     return spark.read.schema(schema).options(header=True, sep=";").csv(path)
 
 
-def pipeline_outputs(spark: SparkSession, d: str) -> str:
-    """The folder of one run of the whole job, made again only for other inputs."""
+def pipeline_output(spark: SparkSession, d: str, name: str) -> str:
+    """An output of the published run of the whole job, made again only for other inputs."""
     out = f"{shared_dir(spark)}/propyield/job-{input_key(spark, d)}"
-    inputs = Inputs(fixtures.rent_folder(spark, d), fixtures.sale_folder(spark, d),
-                    fixtures.geo_delimited(spark, d, "\t"))
-    if not fs.exists(spark, f"{out}/yield_by_city.csv"):
+    if not published(spark, out):
+        inputs = Inputs(fixtures.rent_folder(spark, d), fixtures.sale_folder(spark, d),
+                        fixtures.geo_delimited(spark, d, "\t"))
         run_pipeline(spark, inputs, out, REGION, code_remap={"3": "30"})
-    return out
+    return published(spark, out)[name]
 
 
 @register("job_yield_by_dept", O.with_(*O.yield_chain("dept")) + O.pivot_sql("yield_dept", ["dep"]))
 def q_job_yield_by_dept(spark, d):
-    return named_table(spark, f"{pipeline_outputs(spark, d)}/yield_by_dept.csv", 1)
+    return named_table(spark, pipeline_output(spark, d, "yield_by_dept.csv"), 1)
 
 
 @register("job_rent_by_dept", O.with_(O.RENT_T, O.RENT_PARSED, O.rent_means_cte(
     "m", ["dep"], f"reg = '{O.REGION_CODE}'")) + "SELECT * FROM m")
 def q_job_rent_by_dept(spark, d):
     return spark.read.schema(RENT_MEANS_SCHEMA).options(header=True, sep=";").csv(
-        f"{pipeline_outputs(spark, d)}/rent_by_dept.csv")
+        pipeline_output(spark, d, "rent_by_dept.csv"))
 
 
 @register("job_rent_by_city", O.with_(O.RENT_T, O.RENT_PARSED, O.rent_means_cte(
@@ -428,12 +422,12 @@ def q_job_rent_by_dept(spark, d):
 def q_job_rent_by_city(spark, d):
     schema = RENT_MEANS_SCHEMA.replace("dep string", "city string, insee string")
     return spark.read.schema(schema).options(header=True, sep=";").csv(
-        f"{pipeline_outputs(spark, d)}/rent_by_city.csv")
+        pipeline_output(spark, d, "rent_by_city.csv"))
 
 
 @register("job_rents_region", O.with_(O.RENT_T) + f"SELECT * FROM rent_t WHERE reg = '{O.REGION_CODE}'")
 def q_job_rents_region(spark, d):
-    return read_delimited(spark, f"{pipeline_outputs(spark, d)}/rents_region", ";", rename=RENT_RENAMES)
+    return read_delimited(spark, pipeline_output(spark, d, "rents_region"), ";", rename=RENT_RENAMES)
 
 
 @register("job_address_sales", O.with_(O.GEO_T, O.SALE_T, O.ADDRESS_NO_HAVING, O.ADDRESS)
@@ -445,14 +439,14 @@ def q_job_address_sales(spark, d):
     """C-2 as a job: the address table with its sale year, from its delimited folder."""
     schema = ", ".join([f"{k} string" for k in ADDRESS_KEYS]) + ", value_sum double, surface_sum double, year int"
     return spark.read.schema(schema).options(header=True, sep=";").csv(
-        f"{pipeline_outputs(spark, d)}/address_sales_csv")
+        pipeline_output(spark, d, "address_sales_csv"))
 
 
 @register("job_lookup", O.with_(O.GEO_T) + """SELECT postal, commune, insee, dep,
        region_label, CASE WHEN region_code = '3' THEN '30' ELSE region_code END AS region_code
 FROM geo_t""")
 def q_job_lookup(spark, d):
-    return read_delimited(spark, f"{pipeline_outputs(spark, d)}/geo_remapped", "\t", rename=GEO_RENAMES)
+    return read_delimited(spark, pipeline_output(spark, d, "geo_remapped"), "\t", rename=GEO_RENAMES)
 
 
 # ------------------------------------------------------------------ streaming

@@ -4,13 +4,15 @@ Inputs are folders of files in the layout of the public open-data sources; every
 stage boundary that several outputs share is written once as parquet below
 ``out_dir`` and read back, so a lost executor restarts from those files rather than
 from the raw text. A stage is reused on a re-run only when it was made from the same
-input files (path, bytes, time) with the same parameters.
+input files (path, bytes, time) with the same parameters. The outputs of a run are
+published together (``sinks.publish``).
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,7 @@ from propyield.operators import (
     yield_by_dept_long,
 )
 from propyield.schemas import GEO_RENAMES, RENT_RENAMES, SALE_RENAMES, RegionSpec
-from propyield.sinks import export_csv, export_named_csv, materialize_for, write_jdbc
+from propyield.sinks import Run, export_csv, export_named_csv, write_jdbc
 from propyield.sources import (
     fs,
     ingest_pipe_folder,
@@ -83,49 +85,81 @@ def made_from(spark: SparkSession, *parts: object) -> str:
 def run_pipeline(spark: SparkSession, inputs: Inputs, out_dir: str, region: RegionSpec,
                  code_remap: Mapping[str, str] | None = None, force: bool = False,
                  database: JdbcTarget | None = None) -> dict[str, DataFrame]:
-    """Run every stage; returns the final tables (each read back from its files).
-
-    Outputs below ``out_dir``: ``rents/``, ``sales/``, ``rent_by_dept/``,
-    ``rent_by_city/``, ``address_sales/``, ``yield_dept_long/``, ``yield_city_long/``
-    (parquet), ``rents_region/``, ``address_sales_csv/`` and, with ``code_remap``,
-    ``geo_remapped/`` (delimited folders), and the named files ``rent_by_dept.csv``,
-    ``rent_by_city.csv``, ``yield_by_dept.csv``, ``yield_by_city.csv``. With
-    ``database`` the two yield tables are written there too.
+    """Run every stage and publish the outputs together; returns the final tables.
+
+    ``sinks.published(spark, out_dir)`` names the outputs: ``rents``, ``sales``,
+    ``rent_by_dept``, ``rent_by_city``, ``address_sales``, ``yield_dept_long``,
+    ``yield_city_long`` (parquet), ``rents_region``, ``address_sales_csv`` and, with
+    ``code_remap``, ``geo_remapped`` (delimited folders), the named files
+    ``rent_by_dept.csv`` and ``yield_by_dept.csv`` (a row a department), and the folders
+    ``rent_by_city.csv`` and ``yield_by_city.csv`` of part files, as cities are many. If a
+    stage fails nothing is published and the outputs of the last run stay. With
+    ``database`` the two yield tables are written there after that.
+
+    Branches that do not need each other (rents, sales, lookup; then departments, cities)
+    run side by side as Spark jobs of their own.
     """
-    out = out_dir.rstrip("/")
-    if code_remap:
-        remap_lookup(spark, inputs.geo_path, f"{out}/geo_remapped", code_remap)
+    run = Run(spark, out_dir, force)
 
     def stage(name: str, build, *made_of: object) -> DataFrame:
-        return materialize_for(spark, build, f"{out}/{name}", made_from(spark, *made_of), force)
+        return run.stage(name, build, made_from(spark, *made_of))
 
-    rents = stage("rents", lambda: ingest_yearly_folder(spark, inputs.rent_folder, rename=RENT_RENAMES),
-                  inputs.rent_folder)
-    sales = stage("sales", lambda: ingest_pipe_folder(spark, inputs.sale_folder, rename=SALE_RENAMES),
-                  inputs.sale_folder)
-    geo = read_delimited(spark, inputs.geo_path, "\t", rename=GEO_RENAMES)
-
-    region_rents = filter_region(rents, region.code)
-    export_csv(rename_columns(region_rents, {v: k for k, v in RENT_RENAMES.items()}),
-               f"{out}/rents_region", sep=";")
     from_rents = (inputs.rent_folder, region)
     from_sales = (inputs.sale_folder, inputs.geo_path, region)
-    rent_dept = stage("rent_by_dept", lambda: rent_by_dept(region_rents), *from_rents)
-    rent_city = stage("rent_by_city", lambda: rent_by_city(region_rents), *from_rents)
-    address = stage("address_sales", lambda: with_sale_year(clean_sales(sales, geo, region)), *from_sales)
-    export_csv(address, f"{out}/address_sales_csv", sep=";")
-
-    # the long tables are written before the pivots, which read them twice (years, cells)
-    dept = stage("yield_dept_long", lambda: yield_by_dept_long(address, rent_dept), *from_rents, *from_sales)
-    city = stage("yield_city_long", lambda: yield_by_city_long(address, rent_city), *from_rents, *from_sales)
-    ydept = pivot_years(dept, ["dep"])
-    ycity = pivot_years(city, ["city", "insee"])
-    for name, df in (("rent_by_dept", rent_dept), ("rent_by_city", rent_city),
-                     ("yield_by_dept", ydept), ("yield_by_city", ycity)):
-        export_named_csv(df, out, f"{name}.csv")
+
+    def lookup() -> None:
+        if code_remap:
+            remap_lookup(spark, inputs.geo_path, run.path("geo_remapped"), code_remap)
+
+    def rent_tables() -> tuple[DataFrame, ...]:
+        rents = stage("rents", lambda: ingest_yearly_folder(spark, inputs.rent_folder, rename=RENT_RENAMES),
+                      inputs.rent_folder)
+        mine = filter_region(rents, region.code)
+        _, by_dept, by_city = together(
+            lambda: export_csv(rename_columns(mine, {v: k for k, v in RENT_RENAMES.items()}), run.path("rents_region")),
+            lambda: stage("rent_by_dept", lambda: rent_by_dept(mine), *from_rents),
+            lambda: stage("rent_by_city", lambda: rent_by_city(mine), *from_rents))
+        return rents, by_dept, by_city
+
+    def sale_tables() -> tuple[DataFrame, ...]:
+        sales = stage("sales", lambda: ingest_pipe_folder(spark, inputs.sale_folder, rename=SALE_RENAMES),
+                      inputs.sale_folder)
+        geo = read_delimited(spark, inputs.geo_path, "\t", rename=GEO_RENAMES)
+        return sales, stage("address_sales", lambda: with_sale_year(clean_sales(sales, geo, region)), *from_sales)
+
+    _, (rents, rent_dept, rent_city), (sales, address) = together(lookup, rent_tables, sale_tables)
+
+    def wide(name: str, long: DataFrame, keys: list[str]) -> DataFrame:
+        """The yields by year, pivoted off the long table, which is an output of its own."""
+        long = stage(name, lambda: long, *from_rents, *from_sales)
+        years = sorted(r["year"] for r in long.select("year").where("year is not null").distinct().collect())
+        return pivot_years(long, keys, years=years)
+
+    def departments() -> DataFrame:
+        table = wide("yield_dept_long", yield_by_dept_long(address, rent_dept), ["dep"])
+        for name, df in (("rent_by_dept.csv", rent_dept), ("yield_by_dept.csv", table)):
+            run.path(name)
+            export_named_csv(df, run.folder, name)
+        return table
+
+    def cities() -> DataFrame:
+        table = wide("yield_city_long", yield_by_city_long(address, rent_city), ["city", "insee"])
+        for name, df in (("rent_by_city.csv", rent_city), ("yield_by_city.csv", table)):
+            export_csv(df, run.path(name))
+        return table
+
+    ydept, ycity, _ = together(departments, cities, lambda: export_csv(address, run.path("address_sales_csv")))
+    run.publish()
     if database:
         database.write(ydept, "yield_by_dept")
         database.write(ycity, "yield_by_city")
     return {"rents": rents, "sales": sales, "address_sales": address,
             "rent_by_dept": rent_dept, "rent_by_city": rent_city,
             "yield_by_dept": ydept, "yield_by_city": ycity}
+
+
+def together(*branches: Callable[[], object]) -> list:
+    """Run the branches in threads of their own; waits for all, then raises what any raised."""
+    with ThreadPoolExecutor(max_workers=len(branches)) as pool:
+        running = [pool.submit(b) for b in branches]
+    return [r.result() for r in running]

@@ -59,6 +59,31 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(jpath, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small UTF-8 file, replaced."""
+    fs, jpath = _fs(spark, path)
+    stream = fs.create(jpath, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small UTF-8 file."""
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    fs.mkdirs(jpath)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return bool(fs.exists(jpath))

@@ -186,6 +186,31 @@ def test_pivot_has_every_year_of_the_data(spark):
     assert sorted(map(tuple, wide.collect())) == [("a", 1.0, 2.0, None), ("b", None, None, 3.0)]
 
 
+def test_pivot_computes_its_input_once(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    schema = "k string, year int, rental_yield double"
+    long = spark.createDataFrame([("a", 1994, 1.0), ("b", 1995, None), ("c", None, 3.0)], schema).mapInArrow(watched, schema)
+    wide = pivot_years(long, ["k"])
+    assert wide.columns == ["k", "1994", "1995"]
+    assert sorted(map(tuple, wide.collect())) == [("a", 1.0, None), ("b", None, None), ("c", None, None)]
+    assert seen.value == 3
+    given = pivot_years(long, ["k"], years=[1995, 1994, 2000])
+    assert given.columns == ["k", "1995", "1994", "2000"] and seen.value == 3  # no job
+    assert explain_text(given).count("- Exchange (") == 1
+
+
+def test_cells_with_several_values_take_the_greatest(spark):
+    rows = [("a", 1994, 1.0), ("a", 1994, 5.0), ("a", 1994, None), ("a", 1994, 5.0), ("a", 1995, None)]
+    wide = pivot_years(spark.createDataFrame(rows, "k string, year int, rental_yield double"), ["k"])
+    assert list(map(tuple, wide.collect())) == [("a", 5.0, None)]
+
+
 def test_repair_postal_and_scale(spark):
     df = spark.createDataFrame([("9000", "1,239"), ("31000", "2"), ("2A004", "x"), (None, None)], "postal string, value_txt string")
     assert [r.postal for r in repair_postal(df).collect()] == ["09000", "31000", "2A004", None]

@@ -12,6 +12,7 @@ from propyield.plans.fixtures import xlsx_bytes
 from propyield.plans import pipeline
 from propyield.plans.pipeline import Inputs, JdbcTarget, run_pipeline, workbook_to_jdbc
 from propyield.schemas import SALE_RENAMES, RegionSpec
+from propyield.sinks import Run, drop_old_runs, published
 from propyield.sources import fs
 from propyield.sources.workbooks import read_workbooks, sheet_rows
 from propyield.streaming import ingest_any_layout, ingest_available, stream_folder
@@ -69,15 +70,18 @@ def test_pipeline_outputs_and_rerun(spark, scratch):
     inputs = Inputs(fixtures.rent_folder(spark, SF001), fixtures.sale_folder(spark, SF001),
                     fixtures.geo_delimited(spark, SF001, "\t"))
     out = run_pipeline(spark, inputs, scratch, REGION, code_remap={"3": "30"})
-    for name in ("rent_by_dept.csv", "rent_by_city.csv", "yield_by_dept.csv",
-                 "yield_by_city.csv"):
-        assert fs.exists(spark, f"{scratch}/{name}")
-    assert fs.exists(spark, f"{scratch}/address_sales/_SUCCESS")
-    assert fs.exists(spark, f"{scratch}/geo_remapped/_SUCCESS")
+    first = published(spark, scratch)
+    assert set(first) == {"rents", "sales", "address_sales", "rent_by_dept", "rent_by_city", "yield_dept_long",
+                          "yield_city_long", "rents_region", "address_sales_csv", "geo_remapped", "rent_by_dept.csv",
+                          "rent_by_city.csv", "yield_by_dept.csv", "yield_by_city.csv"}
+    assert all(fs.exists(spark, p) for p in first.values())
     n = out["address_sales"].count()
     again = run_pipeline(spark, inputs, scratch, REGION)  # stages reused
     assert again["address_sales"].count() == n
     assert again["yield_by_dept"].columns == ["dep", *[str(y) for y in range(1995, 2002)]]
+    second = published(spark, scratch)
+    assert second["sales"] == first["sales"] and second["yield_by_dept.csv"] != first["yield_by_dept.csv"]
+    assert "geo_remapped" not in second and published(spark, scratch, 1) == first
 
 
 def test_pipeline_rerun_for_another_region_or_input(spark, scratch, monkeypatch):
@@ -102,6 +106,71 @@ def test_pipeline_rerun_for_another_region_or_input(spark, scratch, monkeypatch)
     assert sent == [("jdbc:x", "yield_by_dept", 1), ("jdbc:x", "yield_by_city", 1)]
 
 
+def small_inputs(folder, rent="10"):
+    inputs = Inputs(f"{folder}/rents", f"{folder}/sales", f"{folder}/geo")
+    write(inputs.rent_folder, "r_2023.csv", "INSEE_C;LIBGEO;REG;DEP;loypredm2;lwr.IPm2;upr.IPm2\n"
+          f"09122;Foix;76;09;{rent};9;11\n")
+    if os.path.exists(local(inputs.sale_folder)):
+        return inputs  # other rents beside the same sales
+    write(inputs.sale_folder, "s.txt", "Nature mutation|Code postal|Commune|Surface reelle bati|Valeur fonciere|No voie|Voie|Date mutation\n"
+          "Vente|09000|FOIX|50|100000|1|RUE|04/01/2023\n")
+    write(inputs.geo_path, "g.tsv", "Code Postal\tCommune\tCode INSEE\tCode D\u00e9partement\tR\u00e9gion\tCode R\u00e9gion\n"
+          "09000\tFOIX\t09122\t09\t['OCC']\t76\n")
+    return inputs
+
+
+def shown(spark, out):
+    """What a reader of the published outputs sees."""
+    at = published(spark, out)
+    read = lambda n: sorted(map(tuple, spark.read.options(header=True, sep=";").csv(at[n]).collect()))
+    return {n: read(n) for n in at if n.endswith(".csv") or n in ("rents_region", "address_sales_csv")}
+
+
+def test_a_job_that_breaks_leaves_the_published_run_whole(spark, scratch, monkeypatch):
+    south, out = RegionSpec("76", ("['OCC']",)), f"{scratch}/out"
+    run_pipeline(spark, small_inputs(scratch), out, south)
+    before, named = shown(spark, out), published(spark, out)
+    assert before["yield_by_city.csv"] == [("Foix", "09122", "6.0")]
+    inputs = small_inputs(scratch, rent="20,0")  # other rents, same sales
+    for broken in ("rent_by_city", "yield_by_city_long", "export_named_csv"):  # later ones reuse finished stages
+        with monkeypatch.context() as m:
+            m.setattr(pipeline, broken, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                run_pipeline(spark, inputs, out, south)
+        assert shown(spark, out) == before and published(spark, out) == named
+    run_pipeline(spark, inputs, out, south)
+    after = shown(spark, out)
+    assert after["yield_by_city.csv"] == [("Foix", "09122", "12.0")]
+    assert after["rent_by_dept.csv"][0][2] == "20.0" and published(spark, out)["sales"] == named["sales"]
+
+
+def test_old_runs_are_dropped_but_not_what_later_ones_use(spark, scratch):
+    south, out = RegionSpec("76", ("['OCC']",)), f"{scratch}/out"
+    assert published(spark, out) == {} and drop_old_runs(spark, out) == []
+    for rent in ("10", "20", "30"):
+        run_pipeline(spark, small_inputs(scratch, rent), out, south)
+    failed = Run(spark, out)  # a run that never publishes, after the last one
+    spark.range(1).write.parquet(failed.path("rents"))
+    before = shown(spark, out)
+    first = published(spark, out, 1)
+    gone = drop_old_runs(spark, out, keep=1)
+    assert gone and shown(spark, out) == before
+    assert published(spark, out, 1) == {} and not fs.exists(spark, first["rents"])
+    assert published(spark, out)["sales"] == first["sales"] and fs.exists(spark, first["sales"])
+    assert fs.exists(spark, f"{failed.folder}/rents")
+
+
+def test_two_runs_publish_under_numbers_of_their_own(spark, scratch):
+    runs = [Run(spark, scratch) for _ in range(2)]
+    for run in runs:
+        run.path("x")
+    assert [run.publish() for run in runs] == [1, 2]
+    assert published(spark, scratch) == {"x": f"{runs[1].folder}/x"}
+    made = runs[0].stage("t", lambda: spark.range(3), "k")
+    assert made.count() == 3 and Run(spark, scratch).stage("t", lambda: spark.range(9), "k").count() == 3
+    assert Run(spark, scratch, force=True).stage("t", lambda: spark.range(9), "k").count() == 9
+
+
 def test_building_a_plan_runs_no_job(spark):
     from propyield.operators import clean_sales, rent_by_dept, yield_by_dept_long
     from propyield.plans.analogs import geo_table, rent_table, sale_table
