@@ -292,6 +292,17 @@ def q_scan_inferred(spark, d):
     return read_delimited(spark, fixtures.nation_text(spark, d), ";", infer=True)
 
 
+@register("scan_inferred_sales", """SELECT CAST(l_orderkey AS INTEGER) AS "order",
+       lpad(CAST(l_partkey AS VARCHAR), 8, '0') AS part,
+       CASE WHEN l_linestatus = 'O' THEN '2A' ELSE '1' END || lpad(CAST(l_suppkey AS VARCHAR), 4, '0') AS place,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS price, CAST(l_shipdate AS DATE) AS shipped,
+       l_returnflag = 'R' AS returned, CAST(CASE WHEN l_linenumber > 3 THEN l_linenumber END AS INTEGER) AS line
+FROM lineitem""")
+def q_scan_inferred_sales(spark, d):
+    """S7 over a folder: one type a column for all files, codes as text."""
+    return ingest_folder(spark, fixtures.typed_sales(spark, d), ".csv", ";", infer=True)
+
+
 def yearly_rents(spark: SparkSession, d: str) -> DataFrame:
     return ingest_yearly_folder(spark, fixtures.rent_folder(spark, d), rename=RENT_RENAMES)
 

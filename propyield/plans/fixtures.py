@@ -7,7 +7,8 @@ analog tables (once per data directory, below the shared folder):
 * ``sale_folder``  ``|`` separated ``.txt`` files, one group per sale kind;
 * ``geo_semicolon`` / ``geo_tab``  the lookup as ``;`` / TAB folders;
 * ``geo_tolerant`` the lookup as TSV lines mixed with short and long (malformed) rows;
-* ``nation_text``  the nation table as ``;`` text, for type inference;
+* ``nation_text``, ``typed_sales``  the nation table and sale lines as ``;`` text, for type
+  inference;
 * ``workbooks``    ``.xlsx`` workbooks (sheet ``Feuille1``) of customers per nation.
 """
 
@@ -135,6 +136,28 @@ def geo_tolerant(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "geo_tolerant", write)
 
 
+def typed_sales(spark: SparkSession, sf_dir: str) -> str:
+    """Sale lines as ``;`` files for type inference, one column order for each line status:
+    a code with leading zeros, a code of digits in some files and of letters in others, whole
+    and decimal numbers, a date, a flag, and a column that only some rows fill."""
+    def write(tmp: str) -> None:
+        line = load(spark, sf_dir, "lineitem")
+        shipped = F.date_format("l_shipdate", "yyyy-MM-dd")
+        rows = line.select(
+            "l_linestatus", F.col("l_orderkey").alias("order"), F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("part"),
+            F.concat(F.when(F.col("l_linestatus") == "O", "2A").otherwise("1"), F.lpad(F.col("l_suppkey").cast("string"), 4, "0")).alias("place"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("price"), shipped.alias("shipped"),
+            (F.col("l_returnflag") == "R").alias("returned"),
+            F.when(F.col("l_linenumber") > 3, F.col("l_linenumber")).alias("line"))
+        for status in ("F", "O"):
+            part = rows.where(F.col("l_linestatus") == status).drop("l_linestatus")
+            export_csv(part.select(*(part.columns if status == "F" else reversed(part.columns))), f"{tmp}/_{status}")
+            for i, file in enumerate(fs.glob(spark, f"{tmp}/_{status}/part-*")):
+                fs.rename(spark, file, f"{tmp}/lines_{status}_{_letters(i)}.csv")
+            fs.delete(spark, f"{tmp}/_{status}")
+    return _once(spark, sf_dir, "typed_sales", write)
+
+
 def nation_text(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "nation_text",
                  lambda tmp: export_csv(load(spark, sf_dir, "nation"), tmp, sep=";"))

@@ -1,5 +1,4 @@
 from propyield.sources.delimited import (
-    ingest_files,
     ingest_folder,
     ingest_pipe_folder,
     ingest_yearly_folder,
@@ -8,8 +7,11 @@ from propyield.sources.delimited import (
     read_tolerant,
     rename_columns,
 )
+from propyield.sources.headers import HeaderGroup, header_groups
+from propyield.sources.inference import infer_types
 
 __all__ = [
-    "ingest_files", "ingest_folder", "ingest_pipe_folder", "ingest_yearly_folder", "read_delimited",
+    "HeaderGroup", "header_groups", "infer_types",
+    "ingest_folder", "ingest_pipe_folder", "ingest_yearly_folder", "read_delimited",
     "read_header", "read_tolerant", "rename_columns",
 ]

@@ -1,23 +1,21 @@
 """Delimited-text sources: single files, tolerant reads and folder ingest.
 
 Columns are read as text under an explicit schema built from the file header, so
-codes keep their leading zeros (``09000`` is not the number 9000) and no per-file
-type inference can disagree between files. Numbers are parsed later with
-``try_`` casts.
+codes keep their leading zeros (``09000`` is not the number 9000). Numbers are parsed
+later with ``try_`` casts, or by types inferred over all files together.
 """
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from propyield.functions import file_year_digits
 from propyield.schemas import string_schema
-from propyield.sources.fs import escaped, first_line, list_files
+from propyield.sources.headers import folder_reader, header_groups, in_folder
+from propyield.sources.inference import infer_types
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -39,15 +37,6 @@ def read_header(spark: SparkSession, path: str, sep: str, encoding: str = "UTF-8
     return _reader(spark, sep, encoding).option("inferSchema", False).csv(path).columns
 
 
-def file_header(spark: SparkSession, path: str, sep: str,
-                encoding: str = "UTF-8") -> list[str]:
-    """Header names of one file, read as its first line through the filesystem
-    (quotes handled like the CSV reader; a blank name becomes ``_c<i>``)."""
-    line = first_line(spark, path, encoding) or ""
-    names = next(csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar='"'), [])
-    return [n if n else f"_c{i}" for i, n in enumerate(names)]
-
-
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str,
                    columns: Sequence[str] | None = None,
                    rename: Mapping[str, str] | None = None,
@@ -58,16 +47,15 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str,
     ``columns`` is the expected header (read from the first file when omitted).
     ``enforceSchema=False`` makes Spark check every file's header against it, so a
     file with re-ordered columns fails instead of being read scrambled.
-    ``infer=True`` infers types instead (one extra pass over the data).
+    ``infer=True`` gives each column the type that all its values share, codes with
+    leading zeros staying text (one extra pass over the data, see ``infer_types``).
     ``file_year`` adds a text column holding the digits of each row's file name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = _reader(spark, sep, encoding).option("enforceSchema", False)
+    cols = list(columns) if columns is not None else read_header(spark, paths[0], sep, encoding)
+    df = _reader(spark, sep, encoding).option("enforceSchema", False).schema(string_schema(cols)).csv(paths)
     if infer:
-        df = reader.option("inferSchema", True).csv(paths)
-    else:
-        cols = list(columns) if columns is not None else read_header(spark, paths[0], sep, encoding)
-        df = reader.schema(string_schema(cols)).csv(paths)
+        df = infer_types(df)
     if file_year:
         df = df.withColumn(file_year, file_year_digits("_metadata.file_name"))
     return rename_columns(df, rename) if rename else df
@@ -90,38 +78,34 @@ def read_tolerant(spark: SparkSession, path: str, sep: str = "\t",
 def ingest_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
                   rename: Mapping[str, str] | None = None,
                   file_year: str | None = None, allow_missing: bool = False,
-                  infer: bool = False, encoding: str = "UTF-8") -> DataFrame:
+                  infer: bool = False, encoding: str = "UTF-8",
+                  names: Sequence[str] | None = None) -> DataFrame:
     """All ``*<suffix>`` files (any case) directly in ``folder``, unioned by name.
 
-    Files are grouped by header, each group is one parallel scan, and the groups
-    are unioned by column name, so column order may differ between files.
-    A column missing from some files is an error unless ``allow_missing``.
+    Files are grouped by header (one Spark job), each group is one parallel scan, and the
+    groups are unioned by column name, so column order may differ between files.
+    A column missing from some files is an error unless ``allow_missing``. ``names`` takes
+    these files only (as ``_metadata.file_name`` has them). ``infer`` gives each column the
+    type that all files agree on (``infer_types``).
     """
-    files = list_files(spark, folder, suffix)
-    if not files:
-        raise ValueError(f"no {suffix} file in folder {folder}")
-    return ingest_files(spark, files, sep, rename, file_year, allow_missing, infer, encoding)
-
-
-def ingest_files(spark: SparkSession, files: Sequence[str], sep: str,
-                 rename: Mapping[str, str] | None = None,
-                 file_year: str | None = None, allow_missing: bool = False,
-                 infer: bool = False, encoding: str = "UTF-8") -> DataFrame:
-    """The given files, grouped by header, one scan a group, unioned by name."""
-    # one first-line read per file on the driver (metadata only, no Spark job);
-    # threads hide the filesystem latency when a folder holds many files
-    with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
-        headers = list(pool.map(lambda p: tuple(file_header(spark, p, sep, encoding)), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(files, headers):
-        groups.setdefault(header, []).append(path)
-    frames = [read_delimited(spark, [escaped(p) for p in paths], sep, columns=list(header), rename=rename,
-                             encoding=encoding, infer=infer, file_year=file_year)
-              for header, paths in groups.items()]
+    groups = header_groups(spark, folder, suffix, sep, encoding, names)
+    if not groups:
+        raise ValueError(f"no {suffix} file with a header line in folder {folder}")
+    frames = []
+    for group in groups:
+        reader = folder_reader(spark, folder, suffix, header=True, sep=sep, encoding=encoding, enforceSchema=False)
+        df = reader.schema(string_schema(group.columns)).csv(folder).where(in_folder(spark, folder))
+        if len(groups) > 1:
+            df = df.where(group.of_file(F.col("_metadata.file_name")))
+        if names is not None:
+            df = df.where(F.col("_metadata.file_name").isin(*names))
+        if file_year:
+            df = df.withColumn(file_year, file_year_digits("_metadata.file_name"))
+        frames.append(rename_columns(df, rename) if rename else df)
     out = frames[0]
     for df in frames[1:]:
         out = out.unionByName(df, allowMissingColumns=allow_missing)
-    return out
+    return infer_types(out) if infer else out
 
 
 def ingest_yearly_folder(spark: SparkSession, folder: str, rename: Mapping[str, str] | None = None,

@@ -107,12 +107,19 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(st.getPath().toString() for st in (found or []))
 
 
-def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str | None:
-    """The first line of a text file (no Spark job: one small read on the driver)."""
-    fs, jpath = _fs(spark, path)
-    jio = spark.sparkContext._jvm.java.io
-    stream = fs.open(jpath)
-    try:
-        return jio.BufferedReader(jio.InputStreamReader(stream, encoding)).readLine()
-    finally:
-        stream.close()
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of everything below a folder (one call to the filesystem)."""
+    fs, jpath = _fs(spark, folder)
+    return fs.getContentSummary(jpath).getLength() if fs.exists(jpath) else 0
+
+
+def has_folders(spark: SparkSession, folder: str) -> bool:
+    """Whether anything lies in sub-folders of a folder."""
+    fs, jpath = _fs(spark, f"{escaped(folder.rstrip('/'))}/*/*")
+    return bool(fs.globStatus(jpath))
+
+
+def depth(spark: SparkSession, folder: str) -> int:
+    """The number of slashes in the folder's absolute path."""
+    fs, jpath = _fs(spark, folder)
+    return fs.makeQualified(jpath).toUri().getPath().rstrip("/").count("/")

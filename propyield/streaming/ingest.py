@@ -22,12 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from propyield.functions import file_year_digits
 from propyield.schemas import string_schema
-from propyield.sources.delimited import ingest_files, read_header, rename_columns
+from propyield.sources.delimited import ingest_folder, read_header, rename_columns
 from propyield.sources.fs import escaped, list_files
-
-
-def _any_case_glob(suffix: str) -> str:
-    return "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+from propyield.sources.headers import any_case_glob
 
 
 def stream_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
@@ -43,7 +40,7 @@ def stream_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
         header = read_header(spark, escaped(files[0]), sep)
     reader = (spark.readStream.schema(string_schema(header))
               .options(header=True, sep=sep, enforceSchema=False,
-                       pathGlobFilter=_any_case_glob(suffix)))
+                       pathGlobFilter=any_case_glob(suffix)))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(folder)
@@ -76,12 +73,12 @@ def ingest_any_layout(spark: SparkSession, folder: str, suffix: str, sep: str, t
     """
     names = (spark.readStream.format("binaryFile")
              .schema("path string, modificationTime timestamp, length long, content binary")
-             .option("pathGlobFilter", _any_case_glob(suffix)).load(folder).select("path"))
+             .option("pathGlobFilter", any_case_glob(suffix)).load(folder).select("_metadata.file_name"))
 
     def append(batch: DataFrame, number: int) -> None:
-        files = sorted({r["path"] for r in batch.collect()})  # the names of one batch's new files
+        files = sorted({r["file_name"] for r in batch.collect()})  # the names of one batch's new files
         if files:
-            (ingest_files(batch.sparkSession, files, sep, rename, file_year, allow_missing)
+            (ingest_folder(batch.sparkSession, folder, suffix, sep, rename, file_year, allow_missing, names=files)
              .write.mode("overwrite").parquet(f"{target}/batch={number}"))
 
     query = (names.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)

@@ -4,6 +4,8 @@ import pytest
 
 from propyield.sinks import export_csv, export_named_csv, materialize_for, materialize_once
 from propyield.sources import (
+    header_groups,
+    infer_types,
     ingest_folder,
     ingest_pipe_folder,
     ingest_yearly_folder,
@@ -11,6 +13,7 @@ from propyield.sources import (
     read_tolerant,
 )
 from propyield.sources import fs
+from propyield.sources.inference import infer_schema
 
 
 def local(path: str) -> str:
@@ -61,11 +64,64 @@ def test_pipe_folder_keeps_leading_zeros_and_duplicates(spark, scratch):
 
 
 def test_inference_is_opt_in(spark, scratch):
-    write(scratch, "n.csv", "k;name\n09;a\n10;b\n")
+    write(scratch, "n.csv", "k;name;n\n09;a;1\n10;b;-3\n")
     typed = read_delimited(spark, scratch, ";", infer=True)
     text = read_delimited(spark, scratch, ";")
-    assert dict(typed.dtypes)["k"] == "int"
+    assert dict(typed.dtypes) == {"k": "string", "name": "string", "n": "int"}
     assert sorted(r.k for r in text.collect()) == ["09", "10"]
+    assert sorted(map(tuple, typed.collect())) == [("09", "a", 1), ("10", "b", -3)]
+
+
+def test_inference_over_files_that_disagree(spark, scratch):
+    write(scratch, "a.csv", "code;zip;n;m;x;day;ok;none;a.b;id\n31000;31000;1;1;1;2023-05-17;true;;1;1\n")
+    write(scratch, "b.csv", "zip;code;m;n;x;day;ok;none;a.b;id\n09000;2A004;1.5;3000000000;;2023-05-17 10:00:00;FALSE;;2;12345678901234567890\n")
+    write(scratch, "c.csv", "zip;code;m;n;x;day;ok;none;a.b;id\n")
+    df = ingest_folder(spark, scratch, ".csv", ";", infer=True)
+    assert dict(df.dtypes) == {"code": "string", "zip": "string", "n": "bigint", "m": "double", "x": "int", "day": "timestamp_ntz",
+                               "ok": "boolean", "none": "string", "a.b": "int", "id": "string"}
+    rows = sorted(map(tuple, df.select("code", "zip", "n", "m", "x", "ok", "`a.b`").collect()))
+    assert rows == [("2A004", "09000", 3000000000, 1.5, None, False, 2), ("31000", "31000", 1, 1.0, 1, True, 1)]
+    assert infer_types(spark.range(3)).dtypes == [("id", "bigint")]
+
+
+@pytest.mark.parametrize(("values", "want"), [
+    (["0", "-5", "2147483647"], "int"), (["2147483648"], "bigint"), (["9223372036854775808"], "string"), (["-0"], "string"),
+    (["+5"], "string"), (["00"], "string"), (["0", "0.5", ".5", "1e3"], "double"), (["1", "x"], "string"), (["1", "true"], "string"),
+    (["2023-02-30"], "string"), (["2023-02-28"], "date"), (["2023-02-28", "5"], "string"), (["", None], "string"), (["5", "", None], "int"),
+    (["1,5"], "string"), ([" 1"], "string"), (["007.5"], "string")])
+def test_kinds_of_values(spark, values, want):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert infer_schema(df) == {"v": want}
+    assert infer_schema(df.limit(0)) == {"v": "string"}
+
+
+def test_headers_are_found_by_a_job(spark, scratch):
+    many = ["a;b\n1;2\n", "b;a\n2;1\n", "\ufeffa;b\n1;2\n", "\n  \n\"a\";b\n1;2\n"]
+    for i in range(200):
+        write(scratch, f"f{i:03d}.csv", many[i % 4])
+    write(scratch, "empty.csv", "")
+    write(scratch, "blank.csv", "\n\n")
+    write(scratch, "big.CSV", "a;b\n" + "1;2\n" * 900_000)  # several splits
+    write(f"{scratch}/k=1", "x.csv", "other\n1\n")
+    write(f"{scratch}/sub/deep", "x.csv", "other\n1\n")
+    groups = header_groups(spark, scratch, ".csv", ";")
+    assert [g.columns for g in groups] == [("a", "b"), ("b", "a"), ("a", "b")]
+    assert sum(len(g.names) for g in groups if not g.others) == 100
+    df = ingest_folder(spark, scratch, ".csv", ";")
+    assert df.columns == ["a", "b"]
+    assert df.groupBy("a", "b").count().collect() == [("1", "2", 900_200)]
+
+
+def test_a_folder_of_many_files_needs_no_call_for_each(spark, scratch, monkeypatch):
+    for i in range(1500):
+        write(scratch, f"r_{2000 + i % 20}_{'ab'[i % 2] * (i // 20 + 1)}.csv", "a;b\n1;2\n" if i % 3 else "b;a\n2;1\n")
+    calls = []
+    real = fs._fs
+    monkeypatch.setattr(fs, "_fs", lambda *a: (calls.append(a[1]), real(*a))[1])
+    df = ingest_yearly_folder(spark, scratch)
+    assert len(calls) < 20
+    assert df.groupBy("a", "b").count().collect() == [("1", "2", 1500)]
+    assert df.select("year").distinct().count() == 20
 
 
 def test_tolerant_read_counts_agree(spark, scratch):
