@@ -26,9 +26,10 @@ link when 100 * |A n B| >= 80 * |A u B|.
 
 Defined cases: a null or blank text has the empty set (n_shingles 0), links with
 nothing and is its own component; with fewer than five words the whole sequence is
-the one shingle; a null id takes no part (component null); rows that share an id but
-not a text are judged each by its own text; equal rows give equal rows; an empty table
-gives an empty result; extra columns are ignored.
+the one shingle; a row without an id takes part by its text, but its id is never the
+smallest of a component (a component without any id has a null one); rows that share an
+id but not a text are judged each by its own text; equal rows give equal rows; an empty
+table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -145,14 +146,14 @@ def frequent_shingles(docs: DataFrame, limit: int = HOT) -> tuple[np.ndarray, np
 
 
 def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, size, node (set), gid (prefix and size), rare and often: the prefix shingles."""
+    """doc_id, rid, size, node (set), gid (prefix and size), rare and often: the prefix shingles."""
     spread = docs.sparkSession.sparkContext.broadcast(hot)
     hashes = _WordHashes()
 
-    def fn(ids, texts):
+    def fn(ids, rids, texts):
         tokens, rank = spread.value
-        out: dict[str, list] = {c: [] for c in ("doc_id", "size", "node", "gid", "rare", "often")}
-        for i, text in zip(ids, texts, strict=True):
+        out: dict[str, list] = {c: [] for c in ("doc_id", "rid", "size", "node", "gid", "rare", "often")}
+        for i, rid, text in zip(ids, rids, texts, strict=True):
             s = shingle_set(text, hashes)
             n = prefix_length(len(s))
             if len(tokens):
@@ -163,6 +164,7 @@ def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
             else:
                 rare, often = s[:n], s[:0]
             out["doc_id"].append(i)
+            out["rid"].append(rid)
             out["size"].append(len(s))
             out["node"].append(_signature(s, len(s)) if len(s) else None)
             out["gid"].append(_signature(np.concatenate([rare, often]), len(s)) if len(s) else None)
@@ -171,8 +173,8 @@ def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
         return out
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs.select("doc_id", F.col("text").cast("binary")), fn,
-                       f"doc_id {kind}, size long, node long, gid long, rare array<long>, often array<long>")
+    return map_batches(docs.select("doc_id", "rid", F.col("text").cast("binary")), fn,
+                       f"doc_id {kind}, rid long, size long, node long, gid long, rare array<long>, often array<long>")
 
 
 def _fits(a, b):
@@ -205,7 +207,7 @@ def _lists(prefixes: DataFrame) -> DataFrame:
     partitions brings it back. The lists of all others are short, and a window finds
     which of them hold more than one group.
     """
-    posted = prefixes.where("node is not null and doc_id is not null")
+    posted = prefixes.where("node is not null")
     rare = posted.select(F.explode("rare").alias("token"), "gid", "size")
     each = Window.partitionBy("token")
     rare = (rare.withColumn("first", F.min(F.struct("gid", "size")).over(each))
@@ -226,8 +228,8 @@ def _chosen(name: str, salt: int):
 
 
 def _marks(ids: DataFrame) -> np.ndarray:
-    """A bitmap of the hashes of ``ids``: 2 ** FILTER_BITS bits, whatever their number."""
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    """A bitmap of row keys: 2 ** FILTER_BITS bits, whatever their number."""
+    at = F.pmod("rid", F.lit(1 << FILTER_BITS))
     words = (ids.select(at.alias("at"))
              .select(F.shiftright("at", 5).cast("int").alias("word"),
                      F.expr("shiftleft(1L, cast(at & 31 as int))").alias("bit"))
@@ -244,7 +246,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node")
-    spread = spark.sparkContext.broadcast(_marks(wanted.select("doc_id")))
+    spread = spark.sparkContext.broadcast(_marks(wanted.select("rid")))
     hashes = _WordHashes()
 
     def sets(ids, at, texts):
@@ -252,13 +254,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
         at = np.array(at, dtype=np.int64)
         hit = np.flatnonzero((marks[at >> 5] >> (at & 31).astype(np.uint32)) & 1) if len(at) else []
         found = [shingle_set(texts[i], hashes) for i in hit]
-        return {"doc_id": [ids[i] for i in hit], "tokens": [s.tobytes() for s in found],
+        return {"rid": [ids[i] for i in hit], "tokens": [s.tobytes() for s in found],
                 "node": [_signature(s, len(s)) if len(s) else None for s in found]}
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    found = map_batches(docs.where("doc_id is not null").select("doc_id", at, F.col("text").cast("binary")), sets,
-                        f"doc_id {kind}, tokens binary, node long")
+    at = F.pmod("rid", F.lit(1 << FILTER_BITS))
+    found = map_batches(docs.select("rid", at, F.col("text").cast("binary")), sets, "rid long, tokens binary, node long")
     sets_of = _written(found.where("node is not null"), "sets")
 
     def check(a, b, x, y):
@@ -270,9 +270,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 keep.append(i)
         return {"a": [a[i] for i in keep], "b": [b[i] for i in keep]}
 
-    # the document stands for its node: of equal sets only that one takes part
+    # the row stands for its node: of equal sets only that one takes part
     side = lambda df, node, tokens: df.select(
-        F.col("node").alias(node), F.col("doc_id").alias(f"d{node}"), *[F.col("tokens").alias(t) for t in tokens])
+        F.col("node").alias(node), F.col("rid").alias(f"d{node}"), *[F.col("tokens").alias(t) for t in tokens])
     both = (pairs.join(side(nodes, "a", []), "a").join(side(nodes, "b", []), "b")
             .join(side(sets_of, "a", ["x"]), ["a", "da"]).join(side(sets_of, "b", ["y"]), ["b", "db"]))
     return map_batches(both.select("a", "b", "x", "y"), check, "a long, b long").distinct()
@@ -318,11 +318,13 @@ def _open_lists(lists: DataFrame, members: DataFrame, comps: DataFrame) -> DataF
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every input row."""
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    # rows are told apart by a hash of id and text, so those without an id take part too
+    docs = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
     prefixes = _written(_prefixes(docs, frequent_shingles(docs)), "prefixes")
-    narrow = prefixes.select("doc_id", "size", "node", "gid")
-    known = narrow.where("node is not null and doc_id is not null")
-    members = _written(known.groupBy("gid", "node", "size").agg(F.min("doc_id").alias("doc_id")), "members")
-    nodes = members.select("node", "doc_id")
+    narrow = prefixes.select("doc_id", "rid", "size", "node", "gid")
+    known = narrow.where("node is not null")
+    members = _written(known.groupBy("gid", "node", "size").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("doc_id")), "members")
+    nodes = members.select("node", "rid")
     leaders = members.groupBy("gid").agg(F.min("node").alias("leader"))
     lists = _written(_lists(prefixes), "lists")
 
@@ -371,7 +373,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if last:
             break
 
-    whole = (nodes.join(comps, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
+    whole = (members.select("node", "doc_id").join(comps, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
     smallest = whole.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     by_node = whole.join(smallest, "comp").groupBy("node").agg(F.min("component_id").alias("component_id"))
     return narrow.join(by_node, "node", "left").select(
@@ -382,18 +384,20 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one document of each component, that of the smallest id.
 
     Rows are told apart by their id and a 64-bit hash of their text, so texts that share
-    an id are judged each by its own component. Documents without words and rows without
-    an id stay; of rows that share an id and a text with words one stays.
+    an id are judged each by its own component; rows without an id come after all others.
+    Documents without words stay; of rows that share an id and a text with words one stays.
     """
     id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    row = F.when(id_.isNotNull(), F.struct(id_.alias("id"), F.xxhash64(text.cast("binary")).alias("hash")))
+    row = F.struct(id_.isNull().alias("absent"), id_.alias("id"), F.xxhash64(text.cast("binary")).alias("hash"))
     comp = _written(ngram_components(docs.select(row.alias("doc_id"), text.alias("text"))), "result")
-    comp = comp.where("n_shingles > 0 and doc_id is not null")
+    comp = comp.where("n_shingles > 0")
     key, gone = fresh("row"), fresh("gone")
-    keyed, match = docs.withColumn(key, row), F.col(key) == F.col(gone)
-    left_out = comp.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    # the parts of a row's key, an id that is null on both sides being the same one
+    keyed = docs.withColumn(key, row)
+    match = (F.col(f"{key}.hash") == F.col(f"{gone}.hash")) & F.col(f"{key}.id").eqNullSafe(F.col(f"{gone}.id"))
+    left_out = comp.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(gone)).distinct()
     kept = keyed.join(left_out, match, "left_anti")
-    twice = (comp.where("doc_id = component_id").groupBy(F.col("doc_id").alias(gone))
+    twice = (comp.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(gone))
              .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(gone))
     if not twice.isEmpty():
         kept = kept.join(twice, match, "left_anti").unionByName(kept.join(twice, match, "left_semi").dropDuplicates([key]))

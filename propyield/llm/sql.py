@@ -34,22 +34,21 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM q"""
 
 JACCARD = rf"""
-WITH RECURSIVE d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
 s AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
          ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
   FROM d),
-n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
-      GROUP BY a.doc_id, b.doc_id),
-l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= 80 * (nx.c + ny.c - i)),
+n AS (SELECT id, count(*) AS c FROM s GROUP BY id),
+p AS (SELECT a.id AS x, b.id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.id < b.id GROUP BY a.id, b.id),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.id = x JOIN n ny ON ny.id = y WHERE 100 * i >= 80 * (nx.c + ny.c - i)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
-r AS (SELECT doc_id AS node, doc_id AS reach FROM d UNION SELECT r.node, e.y FROM r JOIN e ON r.reach = e.x),
-m AS (SELECT node, min(reach) AS component_id FROM r GROUP BY node)
+r AS (SELECT id AS node, id AS reach FROM d UNION SELECT r.node, e.y FROM r JOIN e ON r.reach = e.x),
+m AS (SELECT node, min(doc_id) AS component_id FROM r JOIN d ON r.reach = d.id GROUP BY node)
 SELECT d.doc_id, CAST(coalesce(c, 0) AS BIGINT) AS n_shingles, component_id
-FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.node = d.doc_id"""
+FROM d LEFT JOIN n USING (id) JOIN m ON m.node = d.id"""
 
 
 #: CRC-32 (the reflected polynomial 0xEDB88320) byte by byte through a table, as lambdas.

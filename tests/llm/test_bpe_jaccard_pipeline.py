@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 import struct
 
 import public_tokenizers as P
@@ -109,6 +110,18 @@ def test_chain_of_links_is_one_component(spark):
     assert got == {i: c for i, (_, c) in H.jaccard_components(rows).items()} and set(got.values()) == {0}
 
 
+def test_links_through_rows_without_an_id(spark):
+    words = [f"c{i}" for i in range(100)]
+    a, n, b = " ".join(words[:90]), " ".join(words[5:95]), " ".join(words[10:])  # a and b link through n alone
+    docs = H.documents(spark, [(1, a), (None, n), (2, b), (None, "x y z u v w"), (None, "x y z u v w"), (None, None)])
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.ngram_components(docs).collect()]
+    assert Counter(got) == Counter([(1, 86, 1), (None, 86, 1), (2, 86, 1), (None, 2, None), (None, 2, None), (None, 0, None)])
+    with_id = H.documents(spark, [(1, a), (3, n), (2, b)])
+    assert {r.component_id for r in jaccard.ngram_components(with_id).collect()} == {1}
+    kept = jaccard.one_of_each(docs).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (None, "x y z u v w"), (None, None)])
+
+
 def test_one_document_of_each_group(spark):
     same = " ".join(f"w{i}" for i in range(40))
     rows = [(3, same), (1, same), (1, same), (9, same + " more"), (4, None), (None, same), (5, ""), (6, "else entirely"), (6, "something other")]
@@ -116,8 +129,8 @@ def test_one_document_of_each_group(spark):
     out = jaccard.one_of_each(docs)
     assert out.columns == docs.columns
     got = sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect())
-    # both texts of id 6 stay: they share an id, not a word
-    assert got == [(False, 1), (False, 4), (False, 5), (False, 6), (False, 6), (True, 0)]
+    # both texts of id 6 stay: they share an id, not a word; the row without an id is a copy
+    assert got == [(False, 1), (False, 4), (False, 5), (False, 6), (False, 6)]
 
 
 def test_texts_that_share_an_id_are_kept_each_by_its_own(spark):
@@ -126,7 +139,7 @@ def test_texts_that_share_an_id_are_kept_each_by_its_own(spark):
     docs = H.documents(spark, rows).withColumn("row", F.lit(1)).withColumn("id", F.lit(2))
     out = jaccard.one_of_each(docs)
     assert out.columns == docs.columns
-    want = [(None, t), (0, "and another"), (0, "one text"), (0, v), (3, t), (7, " "), (7, u)]
+    want = [(0, "and another"), (0, "one text"), (0, v), (3, t), (7, " "), (7, u)]
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=lambda x: (x[0] is not None, x)) == want
 
 
