@@ -96,7 +96,7 @@ def _bucket(key: Column) -> Column:
 
 
 def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
+    """``body(value)`` with the value computed, and named in the plan, once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
@@ -219,7 +219,7 @@ def build_dictionary(docs: DataFrame, pattern: str, literal: Column,
     more = spark.createDataFrame(pa.table({"word": parts.unique()}))
     wanted = frequent_grade(spark.read.parquet(path), word_limit, WORD_BYTES).select("word").union(more).distinct()
     folded = (wanted.repartition(2 * spark.sparkContext.defaultParallelism)
-              .select(F.col("word").alias("w"), fold(F.col("word"), literal).alias("ids")).toArrow().combine_chunks())
+              .select(F.col("word").alias("w"), _let(literal, lambda r: fold(F.col("word"), r)).alias("ids")).toArrow().combine_chunks())
     if not folded.num_rows:
         return Dictionary(b"", *(np.zeros(n, dtype=t) for n, t in ((1, np.int64), (0, np.int64), (0, np.int64), (0, np.uint32))))
     starts, sizes, ids = _packed(folded["ids"].chunk(0))
@@ -303,8 +303,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     found = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")).mapInArrow(
         look_up, f"doc_id {kind}, text_sha256 string, places binary, others array<binary>, longs array<array<int>>")
-    folded = F.transform("others", lambda w, i: F.when(
-        F.get("longs", i).isNotNull(), F.get("longs", i)).otherwise(fold(w, literal)))
+    folded = _let(literal, lambda r: F.transform("others", lambda w, i: F.when(
+        F.get("longs", i).isNotNull(), F.get("longs", i)).otherwise(fold(w, r))))
     return found.select("doc_id", "text_sha256", "places", folded.alias("folded")).mapInArrow(
         assemble, f"doc_id {kind}, text_sha256 string, ids binary" + ", decoded binary" * decoded)
 
