@@ -17,14 +17,15 @@ README).
 Largest inner product becomes smallest distance: with M the largest norm, vectors get
 the coordinate sqrt(M^2 - |x|^2) and queries are scaled to norm M.
 
-Work is dealt out as (index block, query block) groups of bounded size; every query
-block meets every index block (the stated query set against all rows), and the k best
+Rows are dealt to index blocks of bounded size by a hash; the queries (the stated set)
+are copied to every block, whose index is built once and streams them past. The k best
 of each block are merged by query.
 
-Defined cases: vectors null, empty, zero, holding null or non-finite components or
-of another dimension than most take no part; equal vectors tie and the smaller id
-wins; rows with equal ids are separate candidates but a query meets none of its own
-id; an empty table gives an empty result; extra columns are ignored.
+Defined cases: vectors null, empty, zero or holding null or non-finite components take
+no part; vectors of different length are searched apart; equal vectors tie and the
+smaller id wins; rows with equal ids are separate candidates but a query meets none of
+its own id; equal query rows are searched once, different vectors under one query id each
+for itself; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,17 +33,19 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from propyield.llm.common import many_tasks, matrix, meet_blocks
+
 K = 20
 PROJECTIONS = 64
 #: Half width of a window in units of the radius.
 WIDTH = 1.3
-#: Bytes of the vectors of an index block, and queries of a query block.
+#: Bytes of the vectors of an index block, about, and queries whose windows are found at once.
 INDEX_BYTES = 1 << 25
-QUERY_BLOCK = 512
+QUERIES = 256
 SEED = 20240229
 #: The radii that windows grow through, in units of sqrt(2) * M (orthogonal vectors
 #: are 1 apart; no distance exceeds sqrt(2)).
@@ -117,58 +120,52 @@ class BlockIndex:
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id, v (array<double>) of the rows that take part."""
+    """vec_id, row (a hash of the vector), v (array<double>) of the rows that take part."""
     v = F.col(f"`{vector_col}`").cast("array<double>")
     rows = df.select(F.col(f"`{id_col}`").alias("vec_id"), v.alias("v")).where("vec_id is not null and v is not null")
     big = float("inf")
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big))
-    return rows.where(good & F.exists("v", lambda x: x != 0))
+    return rows.where(good & F.exists("v", lambda x: x != 0)).select("vec_id", F.xxhash64("v").alias("row"), "v")
 
 
 def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding",
-            k: int = K, index_bytes: int = INDEX_BYTES, query_block: int = QUERY_BLOCK) -> DataFrame:
+            k: int = K, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` largest inner products found for each query.
 
     ``is_query`` maps the id column to a boolean column.
     """
+    spark = df.sparkSession
     rows = usable(df, id_col, vector_col)
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    dims = (rows.groupBy(F.size("v").alias("dim"))
-            .agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("top"),
-                 F.sum(is_query(F.col("vec_id")).cast("long")).alias("q"))
-            .orderBy(F.desc("n"), "dim").limit(1).collect())
-    schema = "query_id long, vec_id long, score double"
-    if not dims:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    stats = dims[0]
-    dim, largest = stats["dim"], math.sqrt(stats["top"]) * (1 + 1e-9)
-    rows = rows.where(F.size("v") == dim)
-    index_blocks = -(-stats["n"] * dim * 8 // index_bytes)
-    query_blocks = max(1, -(-(stats["q"] or 0) // query_block))
-    deal = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    index = rows.select("vec_id", "v", deal(index_blocks, 1).alias("ib"), every(query_blocks).alias("qb"))
-    queries = (rows.where(is_query(F.col("vec_id")))
-               .select("vec_id", "v", deal(query_blocks, 2).alias("qb"), every(index_blocks).alias("ib")))
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        ids = left["vec_id"].to_numpy()
-        block = BlockIndex(ids, np.stack(left["v"].to_numpy()).astype(np.float64), largest)
-        out = []
-        queries = np.stack(right["v"].to_numpy()).astype(np.float64)
-        low, high = block.windows(queries)
-        for i, qid in enumerate(right["vec_id"].to_numpy()):
-            where, score = block.search(qid, queries[i], low[i], high[i], k)
-            out.append((np.full(len(where), qid), ids[where], score))
-        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(
-            ("query_id", "vec_id", "score"), zip(*out, strict=True), strict=True)})
-
-    found = (index.groupBy("ib", "qb").cogroup(queries.groupBy("ib", "qb"))
-             .applyInPandas(search, schema))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # a row for each length of vectors
+    stats = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("top")).collect()
+    if not stats:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    largest = {s["dim"]: math.sqrt(s["top"]) * (1 + 1e-9) for s in stats}
+    blocks = max(1, -(-sum(s["n"] * s["dim"] * 8 for s in stats) // index_bytes))
+    out = pa.schema([("query_id", pa.int64()), ("query_row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def build(dim: int, part) -> BlockIndex:
+        return BlockIndex(part.column("vec_id").to_numpy(), matrix(part.column("v"), dim), largest[dim])
+
+    def ask(block: BlockIndex, part: pa.RecordBatch) -> pa.RecordBatch:
+        ids, hashes = part.column("vec_id").to_numpy(), part.column("row").to_numpy()
+        queries = matrix(part.column("v"), block.vectors.shape[1])
+        got = []
+        for a in range(0, len(ids), QUERIES):
+            low, high = block.windows(queries[a:a + QUERIES])
+            for i in range(len(low)):
+                where, score = block.search(ids[a + i], queries[a + i], low[i], high[i], k)
+                got.append((np.full(len(where), ids[a + i]), np.full(len(where), hashes[a + i]), block.ids[where], score))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t.type) for x, t in zip(zip(*got, strict=True), out, strict=True)], schema=out)
+
+    # equal rows are spread by their place as well, so that no block takes all of them
+    index = rows.select("vec_id", "row", "v", F.monotonically_increasing_id().alias("place"))
+    deal = F.pmod(F.xxhash64("vec_id", "row", "place"), F.lit(blocks)).cast("int")
+    queries = rows.where(is_query(F.col("vec_id"))).distinct().withColumn("place", F.lit(0).cast("long"))
+    found = meet_blocks(index, queries, "v", deal, blocks, many_tasks(spark), build, ask, out,
+                        "query_id long, query_row long, vec_id long, score double")
+    best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

@@ -6,8 +6,9 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a maximal run of anything but the space and the five ASCII white spaces.
@@ -136,3 +137,52 @@ def frequent_pieces(counts: DataFrame, limit: int, max_bytes: int) -> list[tuple
     got = frequent_grade(counts, limit, max_bytes).toArrow()
     pairs = zip(got["word"].to_pylist(), got["n"].to_pylist(), strict=True)
     return sorted(pairs, key=lambda x: (-x[1], x[0]))
+
+
+def meet_blocks(index: DataFrame, asked: DataFrame, vector: str, block: Column, blocks: int, tasks: int,
+                build: Callable[[int, pa.RecordBatch], object], ask: Callable[[object, pa.RecordBatch], pa.RecordBatch],
+                out: pa.Schema, ddl: str) -> DataFrame:
+    """What ``ask(build(dim, rows of a block), rows asked)`` gives for every block and all of ``asked``.
+
+    ``index`` is dealt to ``blocks`` blocks by ``block`` (per length of ``vector``); ``asked``, which
+    must have the same columns, is copied to each block. A task sorts a block's rows before
+    what is asked of it, holds the block and streams the rest past it, a batch at a time.
+    """
+    key = ["__dim", "__block", "__asked"]
+    dim = F.size(vector).alias("__dim")
+    dealt = index.select(dim, block.alias("__block"), F.lit(0).alias("__asked"), *index.columns).unionByName(
+        asked.select(dim, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__block"), F.lit(1).alias("__asked"), *index.columns))
+    dealt = dealt.repartition(tasks, "__dim", "__block").sortWithinPartitions(*key, "vec_id", "row")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, made = None, [], None
+        for batch in batches:
+            where = np.stack([batch.column(n).to_numpy() for n in key], axis=1)
+            cuts = (np.flatnonzero((where[1:] != where[:-1]).any(axis=1)) + 1).tolist()
+            for lo, hi in zip([0, *cuts], [*cuts, len(where)], strict=True):
+                if lo == hi:
+                    continue
+                dim, number, later = where[lo].tolist()
+                if (dim, number) != at:
+                    at, held, made = (dim, number), [], None
+                part = batch.slice(lo, hi - lo)
+                if not later:
+                    held.append(part)
+                elif held:  # else no row of this length is in the block
+                    if made is None:
+                        made = build(dim, pa.Table.from_batches(held).combine_chunks())
+                    yield ask(made, part)
+
+    small_batches(index.sparkSession)
+    return dealt.mapInArrow(run, ddl)
+
+
+def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    """A column of lists of ``dim`` doubles as rows of a matrix."""
+    flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), dim)
+
+
+def many_tasks(spark: SparkSession) -> int:
+    """Tasks for work that takes long a byte, which the planner would merge by its bytes."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from propyield.llm.common import small_batches
+from propyield.llm.common import many_tasks, matrix, meet_blocks
 from propyield.session import scratch_path
 
 POSITIVES, NEGATIVES = 5, 10
@@ -117,49 +117,26 @@ def meet(rows: DataFrame, anchors: DataFrame, blocks: int, tasks: int,
 
     ``anchors`` has the columns of ``rows`` and ``windows`` (the positives' scores).
     """
-    deal = F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)).cast("int")
-    index = rows.select(F.size("q").alias("dim"), deal.alias("block"), F.lit(0).alias("kind"),
-                        "vec_id", "label", "row", "q", F.lit(None).cast("array<long>").alias("windows"))
-    asked = anchors.select(F.size("q").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-                           F.lit(1).alias("kind"), "vec_id", "label", "row", "q", "windows")
-    key = ["dim", "block", "kind"]
-    dealt = (index.unionByName(asked).repartition(tasks, "dim", "block")
-             .sortWithinPartitions(*key, "vec_id", "row"))
     out = pa.schema([(n, pa.int64()) for n in ("anchor_id", "anchor_row", "vec_id", "row", "score")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, block = None, [], None
-        for batch in batches:
-            where = np.stack([batch.column(n).to_numpy() for n in key], axis=1)
-            cuts = np.flatnonzero((where[1:] != where[:-1]).any(axis=1)) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(where)], strict=True):
-                if lo == hi:
-                    continue
-                dim, number, kind = where[lo].tolist()
-                if (dim, number) != at:
-                    at, held, block = (dim, number), [], None
-                part = batch.slice(lo, hi - lo)
-                ids, labels, rows_ = (part.column(n).to_numpy() for n in ("vec_id", "label", "row"))
-                q = part.column("q").flatten().to_numpy().reshape(hi - lo, max(dim, 0))
-                if kind == 0:
-                    held.append((ids, labels, rows_, q))
-                    continue
-                if not held:
-                    continue  # no row of this length in the block
-                block = block or Block(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                windows = part.column("windows").to_pylist()
-                for a in range(0, len(ids), ANCHORS):
-                    scores = products(q[a:a + ANCHORS], block.q)
-                    got = []
-                    for i, s in enumerate(scores, start=a):
-                        places = pick(block, s, (ids[i], labels[i], rows_[i]), windows[i])
-                        got.append((np.full(len(places), ids[i]), np.full(len(places), rows_[i]),
-                                    block.ids[places], block.rows[places], s[places]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(x), pa.int64()) for x in zip(*got, strict=True)], schema=out)
-
-    small_batches(rows.sparkSession)
-    return dealt.mapInArrow(run, "anchor_id long, anchor_row long, vec_id long, row long, score long")
+    def build(dim: int, part) -> Block:
+        return Block(*(part.column(n).to_numpy() for n in ("vec_id", "label", "row")), matrix(part.column("q"), dim))
+
+    def ask(block: Block, part: pa.RecordBatch) -> pa.RecordBatch:
+        ids, labels, rows_ = (part.column(n).to_numpy() for n in ("vec_id", "label", "row"))
+        q, windows = matrix(part.column("q"), block.q.shape[1]), part.column("windows").to_pylist()
+        got = []
+        for a in range(0, len(ids), ANCHORS):
+            for i, s in enumerate(products(q[a:a + ANCHORS], block.q), start=a):
+                places = pick(block, s, (ids[i], labels[i], rows_[i]), windows[i])
+                got.append((np.full(len(places), ids[i]), np.full(len(places), rows_[i]),
+                            block.ids[places], block.rows[places], s[places]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*got, strict=True)], schema=out)
+
+    index = rows.select("vec_id", "label", "row", "q", F.lit(None).cast("array<long>").alias("windows"))
+    deal = F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)).cast("int")
+    return meet_blocks(index, anchors.select(*index.columns), "q", deal, blocks, tasks, build, ask, out,
+                       "anchor_id long, anchor_row long, vec_id long, row long, score long")
 
 
 #: Anchor (id, row), falling score, kind (positives first), id: bytes that sort as these do.
@@ -201,7 +178,7 @@ def hard_negatives(rows: DataFrame, is_anchor: Callable[[Column], Column], posit
     rows = spark.read.schema(ROWS).parquet(path)
     cells = rows.agg(F.sum(F.size("q") + 3)).collect()[0][0] or 0
     blocks = max(1, -(-cells * 8 // block_bytes))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    tasks = many_tasks(spark)
     anchors = rows.where(is_anchor(F.col("vec_id")))
 
     found = meet(rows, anchors.withColumn("windows", F.lit(None).cast("array<long>")), blocks, tasks,

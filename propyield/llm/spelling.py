@@ -28,10 +28,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propyield.llm.common import FLUSH, keep_columns, small_batches
+from propyield.llm.common import FLUSH, keep_columns, many_tasks, small_batches
 from propyield.session import scratch_path
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -197,7 +197,7 @@ def near_counts(words: DataFrame, block: int = BLOCK) -> DataFrame:
                          F.when(F.col("ending"), F.reverse("form")).otherwise(F.col("form")).alias("word"))
     key = ["ending", "half", "part", "block"]
     # the rows of a block come together, the indexed ones first, by falling count and word
-    ordered = dealt.repartition(_tasks(spark), *key).sortWithinPartitions(*key, F.desc("indexed"), F.desc("n"), "word")
+    ordered = dealt.repartition(many_tasks(spark), *key).sortWithinPartitions(*key, F.desc("indexed"), F.desc("n"), "word")
     out = pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("form", pa.string()), ("form_n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,11 +246,6 @@ def near_counts(words: DataFrame, block: int = BLOCK) -> DataFrame:
         "word", "n_near", F.col("best.form").alias("form"), (-F.col("best.less")).alias("form_n"))
 
 
-def _tasks(spark: SparkSession) -> int:
-    """Tasks for work that takes long a byte, which the planner would merge by its bytes."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-
-
 def roots(forms: DataFrame) -> DataFrame:
     """word, root for the words of ``forms`` (word, form): forms followed to the last.
 
