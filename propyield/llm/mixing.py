@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propyield.llm.common import WORD, fresh
+from propyield.session import scratch_path
 
 MAX_EPOCHS = 3
 #: Hash buckets a source is cut into for its running sums; a bucket's rows are sorted
@@ -95,7 +96,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit("")).alias("name"),
         word_count(F.col(f"`{text_col}`")).alias("size"), *_keys(docs, id_col, text_col, seed))
     base = base.withColumn("bucket", F.pmod(F.shiftrightunsigned("key", 20), F.lit(buckets)))
-    # no text from here on
+    # the texts are read and counted once; no text from here on
+    path = scratch_path(docs.sparkSession, "mixing-sizes")
+    base.write.parquet(path)
+    base = docs.sparkSession.read.schema(base.schema).parquet(path)
     sums = base.groupBy("name", "bucket").agg(F.sum("size").alias("n"), F.max("source").alias("source"))
     goal = targets(sums.groupBy("name").agg(F.sum("n").alias("source_size"), F.max("source").alias("source")),
                    max_epochs).drop("source")
