@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -49,6 +51,38 @@ def join_geo(sales: DataFrame, geo: DataFrame) -> DataFrame:
     return join_lookup(sales, lookup, GEO_JOIN_KEYS, "inner")
 
 
+@dataclass(frozen=True)
+class Matched:
+    """Sales with INSEE code and department, and the sales that found no lookup row."""
+
+    rows: DataFrame       # the sale's columns, insee, dep, match: 'exact' or 'collated'
+    unmatched: DataFrame  # the sale's columns, reason: 'no lookup row' or 'ambiguous'
+
+
+def match_geo(sales: DataFrame, geo: DataFrame, collation: str = "UNICODE_CI_AI") -> Matched:
+    """``join_geo``, then a second pass under ``collation`` for the sales that it missed.
+
+    The second pass compares the commune by the collation (by default neither case nor
+    accents count), the postal code still exactly. A key that stands for several
+    places under the collation decides nothing: those sales stay unmatched as ambiguous.
+    Null keys never match.
+    """
+    exact = join_geo(sales, geo).withColumn("match", F.lit("exact"))
+    missed = sales.join(geo.select(*GEO_JOIN_KEYS).distinct(), GEO_JOIN_KEYS, "left_anti")
+    folded = F.collate("commune", collation)
+    places = (geo.where("postal is not null and commune is not null").select("postal", folded.alias("folded"), "insee", "dep").distinct()
+              .groupBy("postal", "folded").agg(F.count(F.lit(1)).alias("places"), F.min("insee").alias("insee"), F.min("dep").alias("dep")))
+    # the collated key is the lookup's alone: the sale keeps its own spelling
+    looked = places.withColumnsRenamed({"postal": "_postal", "folded": "_folded", "insee": "_insee", "dep": "_dep", "places": "_places"})
+    found = missed.join(looked, (F.col("postal") == F.col("_postal")) & (F.collate("commune", collation) == F.col("_folded")), "left")
+    one = F.coalesce(F.col("_places") == 1, F.lit(False))
+    second = found.where(one).select(*[F.col(f"`{c}`") for c in sales.columns], F.col("_insee").alias("insee"),
+                                     F.col("_dep").alias("dep"), F.lit("collated").alias("match"))
+    reason = F.when(F.col("_places").isNull(), "no lookup row").otherwise("ambiguous")
+    return Matched(exact.unionByName(second),
+                   found.where(~one).select(*[F.col(f"`{c}`") for c in sales.columns], reason.alias("reason")))
+
+
 def address_sales(df: DataFrame, keys: list[str] = ADDRESS_KEYS, dtype: DataType = MONEY) -> DataFrame:
     """Sum sale value and built surface per address and sale date.
 
@@ -64,15 +98,17 @@ def address_sales(df: DataFrame, keys: list[str] = ADDRESS_KEYS, dtype: DataType
 
 
 def clean_sales(sales: DataFrame, geo: DataFrame, region: RegionSpec,
-                kind: str = SALE_KIND, dtype: DataType = MONEY) -> DataFrame:
+                kind: str = SALE_KIND, dtype: DataType = MONEY, collation: str | None = None) -> DataFrame:
     """Sales of one kind in one region, summed per address, with built surface > 0.
 
     ``sales`` has the renamed sale columns, ``geo`` the renamed lookup columns.
     The kind and surface filters reach the sales scan; the region filter reaches
     the lookup scan before the join. ``dtype`` is the exact type amounts are summed in.
+    ``collation`` matches communes that miss the exact join by it (``match_geo``).
     """
     s = filter_present(filter_kind(sales, kind), "surface_txt").select(
         "street_no", "street", "postal", "commune", "date_txt",
         "value_txt", "surface_txt")
     g = filter_labels(geo, region.labels)
-    return having_positive(address_sales(join_geo(s, g), dtype=dtype), "surface_sum")
+    joined = match_geo(s, g, collation).rows if collation else join_geo(s, g)
+    return having_positive(address_sales(joined, dtype=dtype), "surface_sum")

@@ -24,6 +24,7 @@ from propyield.operators import (
     filter_region,
     having_positive,
     join_geo,
+    match_geo,
     parse_amounts,
     pivot_years,
     preview_rows,
@@ -57,9 +58,10 @@ from propyield.sources import (
     read_header,
     read_tolerant,
     rename_columns,
+    scan_with_rejects,
 )
-from propyield.sources.workbooks import read_workbooks
-from propyield.streaming import ingest_available, stream_folder
+from propyield.sources.workbooks import read_workbooks, register_workbooks
+from propyield.streaming import ingest_available, keep_rent_means, keep_sales_totals, stream_folder
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +164,28 @@ def q_join_sales_geo(spark, d):
     return join_geo(sale_table(spark, d), filter_labels(geo_table(spark, d), REGION.labels))
 
 
+_COLLATED = """SELECT s.*, g.insee, g.dep, CASE WHEN s.commune = g.commune THEN 'exact' ELSE 'collated' END AS match
+FROM sale_t s
+JOIN (SELECT * FROM geo_t WHERE region_label IN ({labels})) g
+  ON s.postal = g.postal AND lower(s.commune) = lower(g.commune)"""
+
+
+@register("join_sales_geo_collated", O.with_(O.GEO_T, O.SALE_T) + _COLLATED.format(labels=O.labels_sql()))
+def q_join_sales_geo_collated(spark, d):
+    """J-1 with the second pass: communes in another case find their place."""
+    return match_geo(sale_table(spark, d), filter_labels(geo_table(spark, d), REGION.labels)).rows
+
+
+@register("sales_without_place", O.with_(O.GEO_T, O.SALE_T) + f"""SELECT s.*, 'no lookup row' AS reason
+FROM sale_t s
+LEFT JOIN (SELECT * FROM geo_t WHERE region_label IN ({O.labels_sql()})) g
+  ON s.postal = g.postal AND lower(s.commune) = lower(g.commune)
+WHERE g.insee IS NULL""")
+def q_sales_without_place(spark, d):
+    """What no pass of the lookup join finds."""
+    return match_geo(sale_table(spark, d), filter_labels(geo_table(spark, d), REGION.labels)).unmatched
+
+
 _ADDRESS_OUT = """SELECT street_no, street, postal, commune, date_txt, insee, dep,
        CAST(value_sum AS DOUBLE) AS value_sum, CAST(surface_sum AS DOUBLE) AS surface_sum
 FROM {src}"""
@@ -287,6 +311,23 @@ def q_scan_tolerant(spark, d):
     return read_tolerant(spark, fixtures.geo_tolerant(spark, d), "\t").select("code", "commune")
 
 
+def tolerant_scan(spark: SparkSession, d: str):
+    return scan_with_rejects(spark, fixtures.geo_tolerant(spark, d), scratch_path(spark, "tolerant"))
+
+
+@register("scan_tolerant_good", O.with_(O.GEO_T) + "SELECT insee AS code, commune, dep, region_label FROM geo_t")
+def q_scan_tolerant_good(spark, d):
+    return tolerant_scan(spark, d).good
+
+
+@register("scan_tolerant_rejects", O.with_(O.GEO_T) + """SELECT insee || chr(9) || commune AS line,
+       'too few fields' AS reason, true AS named FROM geo_t
+UNION ALL SELECT concat_ws(chr(9), insee, commune, dep, region_label, region_code), 'too many fields', true FROM geo_t""")
+def q_scan_tolerant_rejects(spark, d):
+    """S3: every malformed line is kept, with its file and the reason."""
+    return tolerant_scan(spark, d).rejected.select("line", "reason", F.col("file").rlike("part-").alias("named"))
+
+
 @register("scan_inferred", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def q_scan_inferred(spark, d):
     return read_delimited(spark, fixtures.nation_text(spark, d), ";", infer=True)
@@ -333,17 +374,28 @@ def q_union_by_name(spark, d):
     return ingest_folder(spark, fixtures.rent_folder(spark, d), ".csv", ";", rename=RENT_RENAMES)
 
 
-@register("scan_workbooks", """SELECT lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0') AS code,
+_WORKBOOKS = """SELECT lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0') AS code,
        n.n_name AS dep,
        CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c.c_mktsegment END AS level,
        c.c_acctbal AS pct, CAST(c.c_custkey AS DOUBLE) AS pct1, c.c_custkey % 2 = 0 AS _c5,
        CAST(DATE '2020-01-01' + CAST(c.c_custkey % 1000 AS INTEGER) AS TIMESTAMP) AS day
-FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+
+
+@register("scan_workbooks", _WORKBOOKS)
 def q_scan_workbooks(spark, d):
     """S6: every workbook of the folder, header names and types inferred."""
     return read_workbooks(spark, fixtures.workbook_folder(spark, d))
 
 
+@register("scan_workbook_format", _WORKBOOKS)
+def q_scan_workbook_format(spark, d):
+    """S6 as a data source: the schema declared, each workbook decoded once in its own partition."""
+    register_workbooks(spark)
+    schema = "code string, dep string, level string, pct double, pct1 double, _c5 boolean, day timestamp_ntz"
+    return spark.read.format("workbook").schema(schema).load(fixtures.workbook_folder(spark, d))
+
+
 # --------------------------------------------------------------- sinks (files)
 
 RENT_MEANS_SCHEMA = ("dep string, year int, avg_rent_m2 double, avg_rent_low_m2 double, "
@@ -472,3 +524,17 @@ def q_ingest_stream(spark, d):
         ingest_available(stream_folder(spark, folder, ".txt", "|", rename=SALE_RENAMES),
                          f"{out}/table", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/table")
+
+
+@register("stream_rent_avg_dept", O.with_(O.RENT_T, O.RENT_PARSED, O.rent_means_cte("m", ["dep"])) + _RENT_OUT.format(src="m"))
+def q_stream_rent_avg_dept(spark, d):
+    """A-1 kept up to date: the rent files taken in as several batches of a stream."""
+    return keep_rent_means(spark, fixtures.rent_folder(spark, d), scratch_path(spark, "rent-sums"), ["dep", "year"], max_files=20)
+
+
+@register("stream_sales_by_dept", O.with_(*O.yield_chain("dept")[:5], O.sales_totals_cte("t", "dep"))
+          + _TOTALS_OUT.format(key="dep", src="t"))
+def q_stream_sales_by_dept(spark, d):
+    """A-3 and A-4 kept up to date: one address's lines may come in different batches."""
+    return as_doubles(keep_sales_totals(spark, fixtures.sale_folder(spark, d), geo_table(spark, d), REGION,
+                                        scratch_path(spark, "sale-sums"), ["dep"], max_files=9))

@@ -4,7 +4,8 @@ Inputs are folders of files in the layout of the public open-data sources; every
 stage boundary that several outputs share is written once as parquet below
 ``out_dir`` and read back, so a lost executor restarts from those files rather than
 from the raw text. A stage is reused on a re-run only when it was made from the same
-input files (path, bytes, time) with the same parameters. The outputs of a run are
+input files (name, bytes, time) with the same parameters; the two ingests are reused by
+groups of files, so a new yearly file is read alone. The outputs of a run are
 published together (``sinks.publish``).
 """
 
@@ -15,8 +16,10 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from propyield.functions import file_year_digits
 from propyield.operators import (
     clean_sales,
     filter_region,
@@ -29,9 +32,9 @@ from propyield.operators import (
     yield_by_dept_long,
 )
 from propyield.schemas import GEO_RENAMES, RENT_RENAMES, SALE_RENAMES, RegionSpec
-from propyield.sinks import Run, export_csv, export_named_csv, write_jdbc
+from propyield.sinks import PART, Run, export_csv, export_named_csv, write_jdbc
 from propyield.sources import (
-    fs,
+    file_parts,
     ingest_pipe_folder,
     ingest_yearly_folder,
     read_delimited,
@@ -76,10 +79,37 @@ def workbook_to_jdbc(spark: SparkSession, folder: str, target: JdbcTarget, table
     return rows
 
 
-def made_from(spark: SparkSession, *parts: object) -> str:
-    """A digest of parameters and, for paths (text), of the files found there."""
-    said = [repr(p) if not isinstance(p, str) else "\n".join([p, *fs.listing(spark, p)]) for p in parts]
-    return hashlib.sha1("\n\n".join(said).encode()).hexdigest()[:20]
+def made_from(*parts: object) -> str:
+    """A digest of keys and parameters."""
+    return hashlib.sha1("\n\n".join(map(repr, parts)).encode()).hexdigest()[:20]
+
+
+#: Groups of sale files, by a hash of their name; a new or changed file renews its group.
+SALE_PARTS = 64
+
+
+def folder_stage(run: Run, name: str, folder: str, suffix: str, part: Callable[[Column], Column],
+                 ingest: Callable[[list[str]], DataFrame]) -> tuple[DataFrame, str]:
+    """The rows of a folder's files as a stage in parts, and a digest of all files.
+
+    Files are grouped by ``part``; only groups with new, changed or removed files are read
+    (``ingest(names)``, which says each row's file name in the column ``PART``).
+    """
+    label = lambda file_name: F.concat(F.lit("p"), part(file_name))  # noqa: E731  never empty
+    groups = file_parts(run.spark, folder, suffix, label).collect()  # a row a part, with its files' names
+    if not groups:
+        raise ValueError(f"no {suffix} file in folder {folder}")
+    names = {r["part"]: r["names"] for r in groups}
+    keys = {r["part"]: r["key"][:20] for r in groups}
+    rows = run.parts(name, keys, lambda missing: ingest([n for p in missing for n in names[p]])
+                     .withColumn(PART, label(F.col(PART))))
+    return rows, made_from(sorted(keys.items()))
+
+
+def path_key(spark: SparkSession, path: str) -> str:
+    """A digest of the files at ``path`` (a file or a folder), listed by Spark."""
+    files = spark.read.format("binaryFile").load(path).select(F.concat_ws(":", "path", "length", "modificationTime").alias("said"))
+    return files.agg(F.sha1(F.array_join(F.sort_array(F.collect_list("said")), "\n"))).first()[0]
 
 
 def run_pipeline(spark: SparkSession, inputs: Inputs, out_dir: str, region: RegionSpec,
@@ -102,32 +132,35 @@ def run_pipeline(spark: SparkSession, inputs: Inputs, out_dir: str, region: Regi
     run = Run(spark, out_dir, force)
 
     def stage(name: str, build, *made_of: object) -> DataFrame:
-        return run.stage(name, build, made_from(spark, *made_of))
-
-    from_rents = (inputs.rent_folder, region)
-    from_sales = (inputs.sale_folder, inputs.geo_path, region)
+        return run.stage(name, build, made_from(*made_of))
 
     def lookup() -> None:
         if code_remap:
             remap_lookup(spark, inputs.geo_path, run.path("geo_remapped"), code_remap)
 
-    def rent_tables() -> tuple[DataFrame, ...]:
-        rents = stage("rents", lambda: ingest_yearly_folder(spark, inputs.rent_folder, rename=RENT_RENAMES),
-                      inputs.rent_folder)
+    def rent_tables() -> tuple:
+        # a part a year: a new yearly file renews its year alone
+        rents, key = folder_stage(
+            run, "rents", inputs.rent_folder, ".csv", file_year_digits,
+            lambda names: ingest_yearly_folder(spark, inputs.rent_folder, rename=RENT_RENAMES, names=names, file_name=PART))
+        from_rents = (key, region)
         mine = filter_region(rents, region.code)
         _, by_dept, by_city = together(
             lambda: export_csv(rename_columns(mine, {v: k for k, v in RENT_RENAMES.items()}), run.path("rents_region")),
             lambda: stage("rent_by_dept", lambda: rent_by_dept(mine), *from_rents),
             lambda: stage("rent_by_city", lambda: rent_by_city(mine), *from_rents))
-        return rents, by_dept, by_city
-
-    def sale_tables() -> tuple[DataFrame, ...]:
-        sales = stage("sales", lambda: ingest_pipe_folder(spark, inputs.sale_folder, rename=SALE_RENAMES),
-                      inputs.sale_folder)
+        return rents, by_dept, by_city, from_rents
+
+    def sale_tables() -> tuple:
+        sales, key = folder_stage(
+            run, "sales", inputs.sale_folder, ".txt",
+            lambda name: F.pmod(F.crc32(name.cast("binary")), F.lit(SALE_PARTS)).cast("string"),
+            lambda names: ingest_pipe_folder(spark, inputs.sale_folder, rename=SALE_RENAMES, names=names, file_name=PART))
+        from_sales = (key, path_key(spark, inputs.geo_path), region)
         geo = read_delimited(spark, inputs.geo_path, "\t", rename=GEO_RENAMES)
-        return sales, stage("address_sales", lambda: with_sale_year(clean_sales(sales, geo, region)), *from_sales)
+        return sales, stage("address_sales", lambda: with_sale_year(clean_sales(sales, geo, region)), *from_sales), from_sales
 
-    _, (rents, rent_dept, rent_city), (sales, address) = together(lookup, rent_tables, sale_tables)
+    _, (rents, rent_dept, rent_city, from_rents), (sales, address, from_sales) = together(lookup, rent_tables, sale_tables)
 
     def wide(name: str, long: DataFrame, keys: list[str]) -> DataFrame:
         """The yields by year, pivoted off the long table, which is an output of its own."""

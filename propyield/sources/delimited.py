@@ -7,7 +7,9 @@ later with ``try_`` casts, or by types inferred over all files together.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -75,17 +77,51 @@ def read_tolerant(spark: SparkSession, path: str, sep: str = "\t",
     return df.withColumn(code_col, F.col(code_col).cast("string"))
 
 
+@dataclass(frozen=True)
+class Scanned:
+    """The rows of a tolerant scan and what it rejected."""
+
+    good: DataFrame
+    rejected: DataFrame  # file, line, reason
+
+
+def scan_with_rejects(spark: SparkSession, path: str, out: str, sep: str = "\t",
+                      encoding: str = "UTF-8") -> Scanned:
+    """Tolerant read that keeps what it drops: every data line is a good row or a reject.
+
+    One scan writes both tables below ``out`` (parquet). A line whose number of fields
+    differs from the header's is rejected whole, with its file and the reason. Blank lines
+    are no data lines.
+    """
+    cols = read_header(spark, path, sep, encoding)
+    raw = f"_line_{uuid.uuid4().hex[:8]}"
+    df = (_reader(spark, sep, encoding)
+          .options(mode="PERMISSIVE", columnNameOfCorruptRecord=raw, columnPruning=False)
+          .schema(string_schema([*cols, raw])).csv(path))
+    # fields of the raw line, separators within quotes apart
+    bare = F.regexp_replace(raw, '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + len(sep)
+    reason = (F.when(fields < len(cols) * len(sep), "too few fields").when(fields > len(cols) * len(sep), "too many fields")
+              .otherwise("unreadable"))
+    (df.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("_metadata.file_path").alias("file"),
+               F.col(raw).alias("line"), F.when(F.col(raw).isNotNull(), reason).alias("reason"), F.col(raw).isNull().cast("int").alias("ok"))
+     .write.partitionBy("ok").parquet(out))
+    both = spark.read.parquet(out)
+    return Scanned(both.where("ok = 1").select("row.*"), both.where("ok = 0").select("file", "line", "reason"))
+
+
 def ingest_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
                   rename: Mapping[str, str] | None = None,
                   file_year: str | None = None, allow_missing: bool = False,
                   infer: bool = False, encoding: str = "UTF-8",
-                  names: Sequence[str] | None = None) -> DataFrame:
+                  names: Sequence[str] | None = None, file_name: str | None = None) -> DataFrame:
     """All ``*<suffix>`` files (any case) directly in ``folder``, unioned by name.
 
     Files are grouped by header (one Spark job), each group is one parallel scan, and the
     groups are unioned by column name, so column order may differ between files.
     A column missing from some files is an error unless ``allow_missing``. ``names`` takes
-    these files only (as ``_metadata.file_name`` has them). ``infer`` gives each column the
+    these files only (as ``_metadata.file_name`` has them), and ``file_name`` adds a column of
+    that name with the row's one. ``infer`` gives each column the
     type that all files agree on (``infer_types``).
     """
     groups = header_groups(spark, folder, suffix, sep, encoding, names)
@@ -101,6 +137,8 @@ def ingest_folder(spark: SparkSession, folder: str, suffix: str, sep: str,
             df = df.where(F.col("_metadata.file_name").isin(*names))
         if file_year:
             df = df.withColumn(file_year, file_year_digits("_metadata.file_name"))
+        if file_name:
+            df = df.withColumn(file_name, F.col("_metadata.file_name"))
         frames.append(rename_columns(df, rename) if rename else df)
     out = frames[0]
     for df in frames[1:]:

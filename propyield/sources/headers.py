@@ -10,7 +10,7 @@ with the names of its files. The driver itself opens no file and makes no call f
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -60,6 +60,19 @@ def folder_reader(spark: SparkSession, folder: str, suffix: str, **options) -> D
                               recursiveFileLookup=str(fs.has_folders(spark, folder)).lower(), **options)
 
 
+def file_parts(spark: SparkSession, folder: str, suffix: str, part: Callable[[Column], Column]) -> DataFrame:
+    """part, key, names: the folder's files by ``part`` (a text of their name).
+
+    ``key`` is a digest of the files' names, sizes and times. Listed and grouped by Spark; no
+    file is opened.
+    """
+    files = folder_reader(spark, folder, suffix).format("binaryFile").load(folder).where(in_folder(spark, folder))
+    said = F.concat_ws(":", "_metadata.file_name", "length", "modificationTime")
+    return (files.select(part(F.col("_metadata.file_name")).alias("part"), F.col("_metadata.file_name").alias("name"), said.alias("said"))
+            .groupBy("part").agg(F.sha1(F.array_join(F.sort_array(F.collect_list("said")), "\n")).alias("key"),
+                                 F.sort_array(F.collect_list("name")).alias("names")))
+
+
 def in_folder(spark: SparkSession, folder: str) -> Column:
     """Whether a row's file lies in ``folder`` itself, not in a sub-folder. The condition is
     on file metadata alone, so files that fail it are not opened."""

@@ -5,15 +5,20 @@ workbooks are decoded in parallel tasks) and ``mapInArrow`` decodes each one wit
 the standard library: a workbook is a zip of XML parts. The first row of the sheet
 is the header; blank and repeated names are numbered (``_c3``, ``taux1``). Types are
 declared by the caller or inferred by a first distributed pass whose kinds are merged
-by column name in Spark, so one row a column reaches the driver. Numbers in cells of a
-date format become timestamps.
+by column name in Spark, so one row a column reaches the driver; what it found is kept
+for unchanged files. Numbers in cells of a date format become timestamps.
+
+``register_workbooks`` adds the same as a data source (``spark.read.format("workbook")``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import io
+import json
 import re
+import uuid
 import zipfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
@@ -21,6 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
     BooleanType,
@@ -31,6 +37,9 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from propyield.session import shared_dir
+from propyield.sources import fs
+
 # --- fixed values: sheet read by default, and the Office Open XML namespaces
 DEFAULT_SHEET = "Feuille1"
 MAIN_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -185,7 +194,17 @@ def _as(v, dtype):
 def _list(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", False).load(folder))
-    return files.select("path", "content")
+    return files.select("path", "length", "modificationTime", "content")
+
+
+def header_kinds(rows: list[list]) -> tuple[list[str], list[str]]:
+    """Header names and the merged kind of each column's values."""
+    header = header_names(rows[0]) if rows else []
+    kinds = ["empty"] * len(header)
+    for r in rows[1:]:
+        for i, v in enumerate(r[:len(header)]):
+            kinds[i] = _merge(kinds[i], _kind(v))
+    return header, kinds
 
 
 def infer_workbook_schema(files: DataFrame, sheet: str = DEFAULT_SHEET) -> StructType:
@@ -197,12 +216,7 @@ def infer_workbook_schema(files: DataFrame, sheet: str = DEFAULT_SHEET) -> Struc
         for batch in batches:
             found: list[tuple[str, str, str]] = []
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                rows = sheet_rows(content, sheet)
-                header = header_names(rows[0]) if rows else []
-                kinds = ["empty"] * len(header)
-                for r in rows[1:]:
-                    for i, v in enumerate(r[:len(header)]):
-                        kinds[i] = _merge(kinds[i], _kind(v))
+                header, kinds = header_kinds(sheet_rows(content, sheet))
                 found += [(h, f"{path}\x1f{i:06d}", k) for i, (h, k) in enumerate(zip(header, kinds))]
             yield pa.RecordBatch.from_pydict({"name": [f[0] for f in found], "place": [f[1] for f in found],
                                               "kind": [f[2] for f in found]})
@@ -216,37 +230,138 @@ def infer_workbook_schema(files: DataFrame, sheet: str = DEFAULT_SHEET) -> Struc
     return StructType([StructField(r["name"], _KIND_TYPE[r["kind"]]) for r in columns])
 
 
+def known_workbook_schema(spark: SparkSession, files: DataFrame, sheet: str = DEFAULT_SHEET) -> StructType | None:
+    """``infer_workbook_schema``, remembered below the shared folder for these very files.
+
+    The key is a digest of the workbooks' paths, sizes and times, so a changed, new or removed
+    workbook is inferred anew, and unchanged ones are decoded once a read. None: no workbook.
+    """
+    said = F.concat_ws(":", "path", "length", "modificationTime")
+    key = files.agg(F.sha1(F.array_join(F.sort_array(F.collect_list(said)), "\n")).alias("k"), F.count(F.lit(1)).alias("n")).first()
+    if not key["n"]:
+        return None
+    name = hashlib.sha1(f"{key['k']}\n{sheet}".encode()).hexdigest()
+    path = f"{shared_dir(spark)}/propyield/workbook-kinds/{name}.json"
+    if fs.exists(spark, path):
+        return StructType.fromJson(json.loads(fs.read_text(spark, path)))
+    schema = infer_workbook_schema(files.select("path", "content"), sheet)
+    draft = f"{path}.{uuid.uuid4().hex}"
+    fs.write_text(spark, draft, json.dumps(schema.jsonValue()))
+    if not fs.exists(spark, path):
+        fs.rename(spark, draft, path)
+    return schema
+
+
+def decoded(data: bytes, path: str, fields: list[StructField], sheet: str, file_column: str | None,
+            schema: pa.Schema) -> pa.RecordBatch:
+    """The rows of one workbook as the columns of ``fields``, matched by header name; only
+    those are converted."""
+    rows = sheet_rows(data, sheet)
+    pos = {h: i for i, h in enumerate(header_names(rows[0]))} if rows else {}
+    cols = {}
+    for f in fields:
+        i = pos.get(f.name)
+        cols[f.name] = [_as(r[i] if i is not None and i < len(r) else None, f.dataType) for r in rows[1:]]
+    if file_column:
+        cols[file_column] = [path] * max(0, len(rows) - 1)
+    return pa.RecordBatch.from_pydict(cols, schema=schema)
+
+
 def read_workbooks(spark: SparkSession, folder: str, sheet: str = DEFAULT_SHEET,
                    schema: StructType | None = None, glob: str = "*.[xX][lL][sS][xX]",
                    file_column: str | None = None) -> DataFrame:
     """Rows of ``sheet`` from every workbook in ``folder``, matched to ``schema`` by
     header name (a column a workbook lacks is null). ``file_column`` adds the path. A
-    folder without workbooks (extension in any case) is an error."""
+    folder without workbooks (extension in any case) is an error.
+
+    Each workbook is decoded once; without a schema the kinds of its values are inferred by
+    a pass of their own, which is remembered for unchanged workbooks.
+    """
     files = _list(spark, folder, glob)
-    if files.select("path").isEmpty():
-        raise ValueError(f"no workbook in folder {folder}")
     if schema is None:
-        schema = infer_workbook_schema(files, sheet)
+        schema = known_workbook_schema(spark, files, sheet)
+        if schema is None:
+            raise ValueError(f"no workbook in folder {folder}")
+    elif files.select("path").isEmpty():
+        raise ValueError(f"no workbook in folder {folder}")
     fields = list(schema.fields)
-    out_schema = StructType(fields + ([StructField(file_column, StringType())]
-                                      if file_column else []))
+    out_schema = StructType(fields + ([StructField(file_column, StringType())] if file_column else []))
     arrow_schema = to_arrow_schema(out_schema)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = batch.column("path").to_pylist()
-            for path, content in zip(paths, batch.column("content").to_pylist()):
-                rows = sheet_rows(content, sheet)
-                if not rows:
-                    continue
-                pos = {h: i for i, h in enumerate(header_names(rows[0]))}
-                cols = {}
-                for f in fields:
-                    i = pos.get(f.name)
-                    cols[f.name] = [_as(r[i] if i is not None and i < len(r) else None,
-                                        f.dataType) for r in rows[1:]]
-                if file_column:
-                    cols[file_column] = [path] * (len(rows) - 1)
-                yield pa.RecordBatch.from_pydict(cols, schema=arrow_schema)
-
-    return files.mapInArrow(decode, out_schema)
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                yield decoded(content, path, fields, sheet, file_column, arrow_schema)
+
+    return files.select("path", "content").mapInArrow(decode, out_schema)
+
+
+class WorkbookSource(DataSource):
+    """``spark.read.format("workbook").option("sheet", ...).load(folder)``: one partition a workbook.
+
+    With ``.schema(...)`` the wanted columns alone are converted and each workbook is decoded
+    once. Without one the first workbook's header and kinds are taken (``read_workbooks`` infers
+    over all of them in Spark). The folder is read through pyarrow's filesystems.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "workbook"
+
+    def schema(self) -> StructType:
+        paths = self._paths()
+        with _opened(paths[0]) as f:
+            header, kinds = header_kinds(sheet_rows(f.read(), self._sheet()))
+        return StructType([StructField(h, _KIND_TYPE[k]) for h, k in zip(header, kinds, strict=True)])
+
+    def reader(self, schema: StructType) -> "WorkbookReader":
+        return WorkbookReader(self._paths(), schema, self._sheet())
+
+    def _sheet(self) -> str:
+        return self.options.get("sheet", DEFAULT_SHEET)
+
+    def _paths(self) -> list[str]:
+        from pyarrow import fs as stores
+
+        folder = self.options.get("path")
+        if not folder:
+            raise ValueError("the workbook source needs a folder: load(folder)")
+        store, at = _store(folder)
+        found = store.get_file_info(stores.FileSelector(at))
+        prefix = folder.rstrip("/")
+        names = sorted(f.base_name for f in found if f.is_file and f.base_name.lower().endswith(".xlsx") and f.base_name[0] not in "._")
+        if not names:
+            raise ValueError(f"no workbook in folder {folder}")
+        return [f"{prefix}/{n}" for n in names]
+
+
+class WorkbookReader(DataSourceReader):
+    def __init__(self, paths: list[str], schema: StructType, sheet: str):
+        self.paths, self.fields, self.sheet = paths, list(schema.fields), sheet
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(p) for p in self.paths]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        with _opened(partition.value) as f:
+            yield decoded(f.read(), partition.value, self.fields, self.sheet, None, to_arrow_schema(StructType(self.fields)))
+
+
+def _store(uri: str):
+    from pyarrow import fs as stores
+
+    if "://" not in uri and not uri.startswith("file:"):
+        return stores.LocalFileSystem(), uri
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    return stores.FileSystem.from_uri(uri)
+
+
+def _opened(uri: str):
+    store, at = _store(uri)
+    return store.open_input_file(at)
+
+
+def register_workbooks(spark: SparkSession) -> None:
+    """Make the ``workbook`` format known to the session."""
+    spark.dataSource.register(WorkbookSource)

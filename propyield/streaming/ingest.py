@@ -14,7 +14,7 @@ name, as the batch ingest does.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,26 +62,42 @@ def ingest_available(stream: DataFrame, target: str, checkpoint: str,
     return query
 
 
-def ingest_any_layout(spark: SparkSession, folder: str, suffix: str, sep: str, target: str,
-                      checkpoint: str, rename: Mapping[str, str] | None = None,
-                      file_year: str | None = None, allow_missing: bool = False) -> StreamingQuery:
-    """Append every not-yet-ingested file, whatever the order of its columns, and stop.
+def each_batch_of_files(spark: SparkSession, folder: str, suffix: str, sep: str, checkpoint: str,
+                        handle: Callable[[DataFrame, int], None], rename: Mapping[str, str] | None = None,
+                        file_year: str | None = None, allow_missing: bool = False,
+                        max_files: int | None = None) -> StreamingQuery:
+    """Call ``handle(rows, batch number)`` for every batch of not-yet-seen files, and stop.
 
-    The stream carries file names only. Each batch of files goes to a folder of its
-    own below ``target`` (``batch=<n>``), which a repeated batch replaces, so a
-    restart after a failure leaves every file's rows exactly once.
+    The stream carries file names only; a batch's files are read by name, whatever the
+    order of their columns. After a failure the last batch comes again with its number, so
+    a handler that replaces what it wrote under a number counts every file exactly once.
     """
     names = (spark.readStream.format("binaryFile")
              .schema("path string, modificationTime timestamp, length long, content binary")
-             .option("pathGlobFilter", any_case_glob(suffix)).load(folder).select("_metadata.file_name"))
+             .option("pathGlobFilter", any_case_glob(suffix)))
+    if max_files:
+        names = names.option("maxFilesPerTrigger", max_files)
 
-    def append(batch: DataFrame, number: int) -> None:
+    def batch_of(batch: DataFrame, number: int) -> None:
         files = sorted({r["file_name"] for r in batch.collect()})  # the names of one batch's new files
         if files:
-            (ingest_folder(batch.sparkSession, folder, suffix, sep, rename, file_year, allow_missing, names=files)
-             .write.mode("overwrite").parquet(f"{target}/batch={number}"))
+            handle(ingest_folder(batch.sparkSession, folder, suffix, sep, rename, file_year, allow_missing, names=files), number)
 
-    query = (names.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+    query = (names.load(folder).select("_metadata.file_name").writeStream.foreachBatch(batch_of)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return query
+
+
+def ingest_any_layout(spark: SparkSession, folder: str, suffix: str, sep: str, target: str,
+                      checkpoint: str, rename: Mapping[str, str] | None = None,
+                      file_year: str | None = None, allow_missing: bool = False) -> StreamingQuery:
+    """Append every not-yet-ingested file, whatever the order of its columns, and stop.
+
+    Each batch of files goes to a folder of its own below ``target`` (``batch=<n>``), which a
+    repeated batch replaces, so a restart after a failure leaves every file's rows exactly once.
+    """
+    return each_batch_of_files(
+        spark, folder, suffix, sep, checkpoint,
+        lambda rows, number: rows.write.mode("overwrite").parquet(f"{target}/batch={number}"),
+        rename, file_year, allow_missing)

@@ -10,7 +10,9 @@ from propyield.operators import (
     filter_labels,
     filter_present,
     filter_region,
+    join_geo,
     join_lookup,
+    match_geo,
     parse_amounts,
     pivot_years,
     preview_rows,
@@ -211,6 +213,24 @@ def test_cells_with_several_values_take_the_greatest(spark):
     assert list(map(tuple, wide.collect())) == [("a", 5.0, None)]
 
 
+def test_communes_that_miss_the_exact_join_match_under_a_collation(spark):
+    geo = spark.createDataFrame([("09000", "FOIX", "09122", "09"), ("31000", "Cr\u00e9on", "31151", "31"), ("31000", "CREON", "31152", "31"),
+                                 ("34000", "S\u00e8te", "34301", "34"), ("34000", "S\u00e8te", "34301", "34"), (None, "X", "1", "1")],
+                                "postal string, commune string, insee string, dep string")
+    sales = spark.createDataFrame([(1, "09000", "Foix"), (2, "09000", "FOIX"), (3, "31000", "creon"), (4, "31000", "CREON"), (5, "34000", "SETE"),
+                                   (6, "34000", "Sete "), (7, None, "X"), (8, "09000", None), (9, "34001", "S\u00e8te"), (1, "09000", "Foix")],
+                                  "id int, postal string, commune string")
+    out = match_geo(sales, geo)
+    assert sorted((r.id, r.commune, r.insee, r.match) for r in out.rows.collect()) == [
+        (1, "Foix", "09122", "collated"), (1, "Foix", "09122", "collated"), (2, "FOIX", "09122", "exact"),
+        (4, "CREON", "31152", "exact"), (5, "SETE", "34301", "collated")]
+    assert sorted((r.id, r.reason) for r in out.unmatched.collect()) == [
+        (3, "ambiguous"), (6, "no lookup row"), (7, "no lookup row"), (8, "no lookup row"), (9, "no lookup row")]
+    assert set(out.rows.columns) == {"id", "postal", "commune", "insee", "dep", "match"}
+    assert sorted(r.id for r in match_geo(sales, geo, "UNICODE_CI").rows.collect()) == [1, 1, 2, 3, 4]
+    assert sorted(r.id for r in join_geo(sales, geo).collect()) == [2, 4]  # the default is unchanged
+
+
 def test_repair_postal_and_scale(spark):
     df = spark.createDataFrame([("9000", "1,239"), ("31000", "2"), ("2A004", "x"), (None, None)], "postal string, value_txt string")
     assert [r.postal for r in repair_postal(df).collect()] == ["09000", "31000", "2A004", None]

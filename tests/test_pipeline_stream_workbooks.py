@@ -11,11 +11,14 @@ from propyield.plans.analogs import REGION
 from propyield.plans.fixtures import xlsx_bytes
 from propyield.plans import pipeline
 from propyield.plans.pipeline import Inputs, JdbcTarget, run_pipeline, workbook_to_jdbc
-from propyield.schemas import SALE_RENAMES, RegionSpec
+from propyield.operators import clean_sales, rent_by_dept, sales_totals
+from propyield.schemas import GEO_COLUMNS, RENT_RENAMES, SALE_RENAMES, RegionSpec
 from propyield.sinks import Run, drop_old_runs, published
-from propyield.sources import fs
-from propyield.sources.workbooks import read_workbooks, sheet_rows
-from propyield.streaming import ingest_any_layout, ingest_available, stream_folder
+from propyield.sources import fs, ingest_pipe_folder, ingest_yearly_folder
+from propyield.sources import workbooks
+from propyield.sources.workbooks import read_workbooks, register_workbooks, sheet_rows
+from propyield.streaming import compact, ingest_any_layout, ingest_available, keep_rent_means, keep_sales_totals, stream_folder
+from propyield.streaming.aggregates import rent_means_kept, totals
 from tests.test_sources_sinks import local, write
 
 SF001 = "/root/testdata/sf0.001"
@@ -51,6 +54,36 @@ def test_read_workbooks_infers_types_by_header(spark, scratch):
     assert rows == [("09", 1.5, "x"), ("31", 2.0, None), ("34", 3.25, None)]
 
 
+def test_kinds_are_remembered_for_unchanged_workbooks(spark, scratch, monkeypatch):
+    save(scratch, "a.xlsx", xlsx_bytes(["dep", "n"], [["09", 1.5]]))
+    assert dict(read_workbooks(spark, scratch).dtypes) == {"dep": "string", "n": "double"}
+    inferred = []
+    real = workbooks.infer_workbook_schema
+    monkeypatch.setattr(workbooks, "infer_workbook_schema", lambda *a: (inferred.append(1), real(*a))[1])
+    assert dict(read_workbooks(spark, scratch).dtypes) == {"dep": "string", "n": "double"} and not inferred
+    save(scratch, "b.xlsx", xlsx_bytes(["dep", "n"], [["31", "x"]]))
+    df = read_workbooks(spark, scratch)
+    assert dict(df.dtypes) == {"dep": "string", "n": "string"} and len(inferred) == 1
+    assert sorted(map(tuple, df.collect())) == [("09", "1.5"), ("31", "x")]
+
+
+def test_workbook_format(spark, scratch):
+    register_workbooks(spark)
+    save(scratch, "a.xlsx", xlsx_bytes(["dep", "n", "ok"], [["09", 1.5, True], ["31", None, False]]))
+    save(scratch, "B.XLSX", xlsx_bytes(["n", "dep"], [[3.0, "34"]]))
+    save(scratch, "other.xlsx.txt", b"no workbook")
+    read = spark.read.format("workbook")
+    df = read.schema("dep string, n double").load(scratch)
+    assert df.rdd.getNumPartitions() == 2
+    assert sorted(map(tuple, df.collect())) == [("09", 1.5), ("31", None), ("34", 3.0)]
+    assert read.load(scratch).columns == ["n", "dep"]  # those of the first workbook
+    save(f"{scratch}/two", "t.xlsx", xlsx_bytes(["a"], [["x"]], sheet="Other"))
+    assert spark.read.format("workbook").option("sheet", "Other").load(f"{scratch}/two").collect() == [("x",)]
+    write(f"{scratch}/none", "readme.txt", "nothing")
+    with pytest.raises(Exception, match="no workbook"):
+        spark.read.format("workbook").load(f"{scratch}/none").collect()
+
+
 def test_stream_ingests_only_new_files(spark, scratch):
     src, out = f"{scratch}/in", f"{scratch}/out"
     header = "Nature mutation|Code postal|Commune\n"
@@ -74,7 +107,7 @@ def test_pipeline_outputs_and_rerun(spark, scratch):
     assert set(first) == {"rents", "sales", "address_sales", "rent_by_dept", "rent_by_city", "yield_dept_long",
                           "yield_city_long", "rents_region", "address_sales_csv", "geo_remapped", "rent_by_dept.csv",
                           "rent_by_city.csv", "yield_by_dept.csv", "yield_by_city.csv"}
-    assert all(fs.exists(spark, p) for p in first.values())
+    assert all(fs.exists(spark, p) for path in first.values() for p in (path if isinstance(path, list) else [path]))
     n = out["address_sales"].count()
     again = run_pipeline(spark, inputs, scratch, REGION)  # stages reused
     assert again["address_sales"].count() == n
@@ -155,11 +188,41 @@ def test_old_runs_are_dropped_but_not_what_later_ones_use(spark, scratch):
     first = published(spark, out, 1)
     gone = drop_old_runs(spark, out, keep=1)
     assert gone and shown(spark, out) == before
-    assert published(spark, out, 1) == {} and not fs.exists(spark, first["rents"])
-    assert published(spark, out)["sales"] == first["sales"] and fs.exists(spark, first["sales"])
+    assert published(spark, out, 1) == {} and not fs.exists(spark, first["rents"][0])
+    assert published(spark, out)["sales"] == first["sales"] and fs.exists(spark, first["sales"][0])
     assert fs.exists(spark, f"{failed.folder}/rents")
 
 
+def test_a_new_file_renews_its_year_alone(spark, scratch):
+    south, out = RegionSpec("76", ("['OCC']",)), f"{scratch}/out"
+    inputs = small_inputs(scratch)
+    head = "INSEE_C;LIBGEO;REG;DEP;loypredm2;lwr.IPm2;upr.IPm2\n"
+    write(inputs.rent_folder, "r_2024.csv", head + "09122;Foix;76;09;30;9;11\n")
+    write(inputs.rent_folder, "none_1990.csv", head)  # a year without rows
+    run_pipeline(spark, inputs, out, south)
+    first = published(spark, out)
+    year = lambda paths: {p.rsplit("=", 1)[1]: p for p in paths}
+    assert set(year(first["rents"])) == {"p1990", "p2023", "p2024"} and len(first["sales"]) == 1
+    write(inputs.rent_folder, "x_2024.csv", "LIBGEO;" + head.replace("LIBGEO;", "") + "Foix;09122;76;09;50;9;11\n")
+    write(inputs.sale_folder, "t2.txt", "Code postal|Nature mutation|Commune|Surface reelle bati|Valeur fonciere|No voie|Voie|Date mutation\n"
+          "09000|Vente|FOIX|10|20000|2|RUE|04/01/2024\n")
+    got = run_pipeline(spark, inputs, out, south)
+    second = published(spark, out)
+    assert {y for y, p in year(second["rents"]).items() if p != year(first["rents"])[y]} == {"p2024"}
+    assert set(first["sales"]) < set(second["sales"])
+    whole = run_pipeline(spark, inputs, f"{scratch}/fresh", south)
+    for name in whole:
+        assert sorted(map(repr, got[name].collect())) == sorted(map(repr, whole[name].collect())), name
+    assert shown(spark, out) == shown(spark, f"{scratch}/fresh")
+    os.remove(os.path.join(local(inputs.rent_folder), "r_2023.csv"))  # a file that is gone
+    third = run_pipeline(spark, inputs, out, south)
+    assert set(year(published(spark, out)["rents"])) == {"p1990", "p2024"}
+    assert {r.year for r in third["rents"].collect()} == {"2024"}
+    drop_old_runs(spark, out, keep=1)
+    assert shown(spark, out)["rent_by_dept.csv"] == [("09", "2024", "40.0", "9.0", "11.0")]
+    assert fs.exists(spark, year(first["rents"])["p1990"]) and not fs.exists(spark, year(first["rents"])["p2024"])
+
+
 def test_two_runs_publish_under_numbers_of_their_own(spark, scratch):
     runs = [Run(spark, scratch) for _ in range(2)]
     for run in runs:
@@ -221,3 +284,53 @@ def test_stream_of_several_layouts(spark, scratch):
     run()
     run()
     assert sorted((r.p, r.c) for r in spark.read.parquet(f"{out}/t").collect()) == [("1", "x"), ("2", "y"), ("3", "z")]
+
+
+def rent_file(*rows, order=("INSEE_C", "LIBGEO", "REG", "DEP", "loypredm2", "lwr.IPm2", "upr.IPm2")):
+    named = [dict(zip(("INSEE_C", "LIBGEO", "REG", "DEP", "loypredm2", "lwr.IPm2", "upr.IPm2"), r, strict=True)) for r in rows]
+    return "\n".join([";".join(order), *[";".join(r[c] for c in order) for r in named]]) + "\n"
+
+
+def test_means_from_the_stream_equal_the_batch_after_every_batch(spark, scratch):
+    src, target = f"{scratch}/in", f"{scratch}/kept"
+    files = [("r_2022.csv", rent_file(("1", "A", "76", "09", "10,5", "9", "11"), ("2", "B", "76", "31", "x", "", "1"))),
+             ("s_2022.CSV", rent_file(("1", "A", "76", "09", "11,25", "8", "12"), order=("LIBGEO", "DEP", "REG", "INSEE_C", "upr.IPm2", "lwr.IPm2", "loypredm2"))),
+             ("t_2023.csv", rent_file(("3", "C", "76", "09", "7", "6", "8")))]
+    sums = f"{target}/sums"
+    for n, (name, text) in enumerate(files):
+        write(src, name, text)
+        got = keep_rent_means(spark, src, target, ["dep", "year"])
+        want = rent_by_dept(ingest_yearly_folder(spark, src, rename=RENT_RENAMES))
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        assert fs.exists(spark, f"{sums}/batch={n:010d}")
+        # the batch comes again, as after a failure before its commit: nothing counts twice
+        os.remove(local(f"{target}/checkpoint/commits/{n}"))
+        crc = local(f"{target}/checkpoint/commits/.{n}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+        again = keep_rent_means(spark, src, target, ["dep", "year"])
+        assert sorted(map(repr, again.collect())) == sorted(map(repr, want.collect()))
+        kept = rent_means_kept(["dep", "year"])
+        schema = spark.read.parquet(f"{sums}/batch={n:010d}").schema
+        assert compact(spark, sums, kept.what, schema) == n == compact(spark, sums, kept.what, schema)
+        merged = kept.derive(totals(spark, sums, kept.what, schema))
+        assert sorted(map(repr, merged.collect())) == sorted(map(repr, want.collect()))
+    assert not fs.exists(spark, f"{sums}/batch=0000000000") and fs.exists(spark, f"{sums}/base=0000000002")
+
+
+def test_sales_of_one_address_from_several_batches(spark, scratch):
+    header = "Nature mutation|Code postal|Commune|Surface reelle bati|Valeur fonciere|No voie|Voie|Date mutation\n"
+    src, target = f"{scratch}/in", f"{scratch}/kept"
+    geo = spark.createDataFrame([("09000", "FOIX", "09122", "09", "['OCC']", "76")], ", ".join(f"{c} string" for c in GEO_COLUMNS))
+    south = RegionSpec("76", ("['OCC']",))
+    lines = ["Vente|09000|FOIX|50|100000,5|1|RUE|04/01/2023\nVente|09000|FOIX||9|1|RUE|04/01/2023\n",
+             "Vente|09000|FOIX|-50|1|1|RUE|04/01/2023\n", "Vente|09000|FOIX|10|5|1|RUE|04/01/2023\nEchange|09000|FOIX|10|5|1|RUE|04/01/2023\n"]
+    seen = []
+    for i, text in enumerate(lines):
+        write(src, f"s{i}.txt", header + text)
+        got = keep_sales_totals(spark, src, geo, south, target, ["dep"]).collect()
+        want = sales_totals(clean_sales(ingest_pipe_folder(spark, src, rename=SALE_RENAMES), geo, south), ["dep"]).collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in want]
+        seen.append(len(got))
+    assert seen == [1, 0, 1]  # an address whose surface was taken back comes in again

@@ -11,6 +11,7 @@ from propyield.sources import (
     ingest_yearly_folder,
     read_delimited,
     read_tolerant,
+    scan_with_rejects,
 )
 from propyield.sources import fs
 from propyield.sources.inference import infer_schema
@@ -132,6 +133,20 @@ def test_tolerant_read_counts_agree(spark, scratch):
     assert df.count() == 2 and df.select("code").count() == 2
 
 
+def test_rejects_are_kept(spark, scratch):
+    good = "code\tname\tdep\n01001\ta\t01\n01005\t\"x\ty\"\t01\n01006\t\t\n"
+    write(f"{scratch}/in", "t.tsv", good + "01002\tb\n\n01003\tc\t01\textra\n\"a\tb\"\n")
+    write(f"{scratch}/in", "u.tsv", "code\tname\tdep\n01004\td\t01\nalone\n")
+    out = scan_with_rejects(spark, f"{scratch}/in", f"{scratch}/out")
+    assert out.good.columns == ["code", "name", "dep"]
+    assert sorted(r.code for r in out.good.collect()) == ["01001", "01004", "01005", "01006"]
+    assert {r.name for r in out.good.where("code = '01005'").collect()} == {"x\ty"}
+    got = sorted((r.file.rsplit("/", 1)[1], r.line, r.reason) for r in out.rejected.collect())
+    assert got == [("t.tsv", '"a\tb"', "too few fields"), ("t.tsv", "01002\tb", "too few fields"),
+                   ("t.tsv", "01003\tc\t01\textra", "too many fields"), ("u.tsv", "alone", "too few fields")]
+    assert out.good.count() == 4 and out.good.select("dep").count() == 4
+
+
 def test_export_named_csv(spark, scratch):
     df = spark.createDataFrame([("09", 5.5), ("31", None)], "dep string, y double")
     target = export_named_csv(df, scratch, "out.csv")
