@@ -19,8 +19,9 @@ link when 100 * |A n B| >= 80 * |A u B|.
    more than the lists are long, these meet a few newly chosen ones first.
 4. What may still be missing are links between different components: lists that hold
    more than one component are expanded to members, and those outside the list's
-   largest component meet all others of a fitting size. Pairs within a component are
-   never listed, so a group of near copies is not squared, and no link is lost.
+   largest component meet all others of a fitting size, under shingles whose places in
+   both prefixes allow them to be the first common one of a link. Pairs within a component
+   are never listed, so a group of near copies is not squared, and no link is lost.
 5. All pairs are verified exactly on whole sets, which are computed again from the
    texts for candidates alone.
 
@@ -193,6 +194,17 @@ def _enough(shared, a, b):
     return (shared + suffix) * (100 + LINK) >= (a + b) * LINK
 
 
+def _may_link(pa, sa, pb, sb):
+    """The positional filter: whether a common shingle at places ``pa`` and ``pb`` of sets of
+    sizes ``sa`` and ``sb`` can be the first one of a link.
+
+    A link needs at least 80/180 of both sizes in common, and no common shingle stands
+    before the first one. So every linked pair passes at its first common shingle.
+    """
+    need = F.floor(((sa + sb) * LINK + 99 + LINK) / (100 + LINK))
+    return (pa <= sa - need + 1) & (pb <= sb - need + 1)
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"jaccard-{name}")
     df.write.parquet(path)
@@ -200,7 +212,8 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def _lists(prefixes: DataFrame) -> DataFrame:
-    """token, gid, size, pivot, pivot_size: postings of shingles that several groups share.
+    """token, gid, size, pos, pivot, pivot_size: postings of shingles that several groups
+    share; ``pos`` is the shingle's place in the group's prefix, from 1.
 
     Frequent shingles may have very long lists: their groups are made distinct and their
     smallest group found by partial aggregation, and a join that splits large
@@ -208,12 +221,14 @@ def _lists(prefixes: DataFrame) -> DataFrame:
     which of them hold more than one group.
     """
     posted = prefixes.where("node is not null")
-    rare = posted.select(F.explode("rare").alias("token"), "gid", "size")
+    rare = posted.select(F.posexplode("rare").alias("pos", "token"), "gid", "size").withColumn("pos", F.col("pos") + 1)
     each = Window.partitionBy("token")
     rare = (rare.withColumn("first", F.min(F.struct("gid", "size")).over(each))
             .withColumn("last", F.max("gid").over(each)).where(F.col("first.gid") < F.col("last"))
-            .select("token", "gid", "size", F.col("first.gid").alias("pivot"), F.col("first.size").alias("pivot_size")))
-    often = posted.select(F.explode("often").alias("token"), "gid", "size").distinct()
+            .select("token", "gid", "size", "pos", F.col("first.gid").alias("pivot"), F.col("first.size").alias("pivot_size")))
+    before = F.size("rare") + 1
+    often = (posted.select(F.posexplode("often").alias("at", "token"), "gid", "size", before.alias("before"))
+             .select("token", "gid", "size", (F.col("at") + F.col("before")).alias("pos")).distinct())
     first = (often.groupBy("token").agg(_chosen("gid", 0).alias("pivots"), F.min("gid").alias("one"), F.max("gid").alias("last"))
              .where("one < last").select("token", F.explode(F.array_distinct("pivots")).alias("p"))
              .select("token", F.col("p.id").alias("pivot"), F.col("p.size").alias("pivot_size")))
@@ -299,20 +314,20 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _open_lists(lists: DataFrame, members: DataFrame, comps: DataFrame) -> DataFrame:
-    """token, share, node, size, comp: the members of lists that hold several components.
+    """token, share, pos, node, size, comp: the members of lists that hold several components.
 
     A group is a list of its own: its members share the whole prefix, whichever of its
-    shingles are listed (``share`` is then larger than any prefix).
+    shingles are listed (``share`` is then larger than any prefix, and ``pos`` the first place).
     """
     comp_of = _written(members.join(comps, "node", "left")
                        .select("gid", "node", "size", F.coalesce("comp", "node").alias("comp")), "components")
     in_group = comp_of.groupBy("gid").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-    posted = lists.select("token", "gid").distinct()
+    posted = lists.select("token", "gid", "pos").distinct()
     mixed = (posted.join(in_group, "gid").groupBy("token")
              .agg(F.min("c1").alias("c1"), F.max("c2").alias("c2")).where("c1 < c2").select("token"))
-    groups = in_group.where("c1 < c2").select(F.col("gid").alias("token"), "gid", F.lit(1 << 40).alias("share"))
-    chosen = posted.join(mixed, "token").select("token", "gid", F.lit(1).cast("long").alias("share")).unionByName(groups)
-    return _written(chosen.join(comp_of, "gid").select("token", "share", "node", "size", "comp"), "open")
+    groups = in_group.where("c1 < c2").select(F.col("gid").alias("token"), "gid", F.lit(1 << 40).alias("share"), F.lit(1).alias("pos"))
+    chosen = posted.join(mixed, "token").select("token", "gid", F.lit(1).cast("long").alias("share"), "pos").unionByName(groups)
+    return _written(chosen.join(comp_of, "gid").select("token", "share", "pos", "node", "size", "comp"), "open")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -349,20 +364,26 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         cost = largest.agg(F.coalesce(F.sum(F.col("out") * F.col("n")), F.lit(0)).alias("pairs"),
                            F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
         minor = (open_lists.join(largest.select("token", "top"), "token").where("comp <> top")
-                 .select("token", "share", F.col("node").alias("a"), F.col("size").alias("sa"), F.col("comp").alias("ca"), "top"))
+                 .select("token", "share", F.col("pos").alias("pa"), F.col("node").alias("a"), F.col("size").alias("sa"),
+                         F.col("comp").alias("ca"), "top"))
         last = salt == ROUNDS or cost["pairs"] <= COSTLY * cost["rows"]
+        met = F.coalesce((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("top")) | (F.col("a") < F.col("b"))), F.lit(True))
+        fits = (F.col("a") != F.col("b")) & _fits(F.col("sa"), F.col("sb"))
         if last:
-            # all links that can be missing: those outside a list's largest component meet all others
-            other = open_lists.select("token", F.col("node").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("cb"))
+            # all links that can be missing: those outside a list's largest component meet all
+            # others of a fitting size where the shingle can be their first common one
+            other = open_lists.select("token", F.col("pos").alias("pb"), F.col("node").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("cb"))
+            first_common = _may_link(F.col("pa"), F.col("sa"), F.col("pb"), F.col("sb"))
+            again = minor.join(other, "token").where(fits & met & first_common)
+            again = again.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:
             other = (open_lists.groupBy("token").agg(_chosen("node", salt * PIVOTS).alias("pivots"))
                      .select("token", F.explode(F.array_distinct("pivots")).alias("p"))
                      .select("token", F.col("p.id").alias("b"), F.col("p.size").alias("sb"), F.lit(None).cast("long").alias("cb")))
-        met = F.coalesce((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("top")) | (F.col("a") < F.col("b"))), F.lit(True))
-        again = minor.join(other, "token").where((F.col("a") != F.col("b")) & _fits(F.col("sa"), F.col("sb")) & met)
-        again = (again.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("sa") + F.col("sb")).alias("sum"),
-                               F.greatest("sa", "sb").alias("large")).agg(F.sum("share").alias("shared"))
-                 .where(_enough(F.col("shared"), F.col("large"), F.col("sum") - F.col("large"))).select("a", "b"))
+            again = minor.join(other, "token").where(fits & met)
+            again = (again.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("sa") + F.col("sb")).alias("sum"),
+                                   F.greatest("sa", "sb").alias("large")).agg(F.sum("share").alias("shared"))
+                     .where(_enough(F.col("shared"), F.col("large"), F.col("sum") - F.col("large"))).select("a", "b"))
         pairs = _written(again.join(done, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             more = _written(_verified(pairs, docs, nodes), "linked")
