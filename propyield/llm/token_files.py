@@ -30,16 +30,20 @@ file and an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,13 +56,21 @@ BLOCK = 1 << 16
 #: zstandard's level.
 LEVEL = 3
 #: A longer text is encoded in parts of about so many code points.
-PART = 1 << 18
+PART = 6 << 20
 #: Files of one group of the running sum of ids.
 GROUP = 1024
 _TAIL = "<QQII"
-#: A single space between two characters that are not white space: every match of the
-#: pattern of byte-level vocabularies ends before it.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+# Letters and digits of Latin scripts, and ASCII signs but the apostrophe (it may begin a
+# contraction). No match of the pattern of byte-level vocabularies crosses from one to
+# the other, nor into a single space or line break between other characters.
+_LATIN, _SIGN = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-&(-/:-@\[-`{-~"
+_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_CHUNK = re.compile(rf"[ \n]?(?:[{_LATIN}]++(?=[ \n{_SIGN}]|\Z)|[{_SIGN}]++(?=[ \n{_LATIN}]|\Z)|[^ \n]++)|[ \n]")
+_WORD = re.compile(r"[ \n]?\S*+\Z")
+#: Two of those in a row, or white space of another kind.
+_ODD = ("  ", "\n\n", " \n", "\n ", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"))
+#: Chunks whose ids a worker keeps before it starts anew, and the longest of them.
+KNOWN, KNOWN_LENGTH = 1 << 20, 64
 
 
 # ------------------------------------------------------------------ planes
@@ -68,7 +80,9 @@ def planes_of(ids: np.ndarray, bits: bool) -> list[bytes]:
     raw = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
     if bits:
         raw = np.unpackbits(raw, axis=1, bitorder="little")
-    return [(np.packbits(p, bitorder="little") if bits else p).tobytes() if p.any() else b"" for p in raw.T]
+    used = np.bitwise_or.reduce(ids) if len(ids) else 0
+    rows = [raw[:, i] if used >> (i if bits else 8 * i) & (1 if bits else 255) else None for i in range(32 if bits else 4)]
+    return [b"" if r is None else (np.packbits(r, bitorder="little") if bits else r).tobytes() for r in rows]
 
 
 def ids_of(planes: list[bytes], n: int, bits: bool) -> np.ndarray:
@@ -96,12 +110,14 @@ class PlaneWriter:
         self.docs, self.sizes = [], []
         self.total = 0
 
-    def add(self, doc_id, ids: np.ndarray) -> None:
+    def add(self, doc_id, *ids: np.ndarray) -> None:
+        """A document: its ids, in one array or several."""
+        n = sum(map(len, ids))
         self.docs.append(doc_id)
-        self.sizes.append(len(ids))
-        self.total += len(ids)
-        self.waiting.append(ids)
-        self.held += len(ids)
+        self.sizes.append(n)
+        self.total += n
+        self.waiting += ids
+        self.held += n
         if self.held >= self.block:
             every = np.concatenate(self.waiting)
             whole = len(every) - len(every) % self.block
@@ -178,19 +194,22 @@ class PlaneReader:
             got.append(self.block(i)[max(0, start - self.starts[i]):stop - self.starts[i]])
         return np.concatenate(got)
 
-    def documents(self) -> Iterator[tuple[object, int, np.ndarray]]:
-        """(id, start in the file, ids) of each document in turn; holds a block and a document."""
-        held, next_block, at = np.zeros(0, dtype="<u4"), 0, 0
+    def documents(self) -> Iterator[tuple[object, int, int, bytes]]:
+        """(id, start in the file, number of ids, packed ids) of each document in turn; holds a
+        block and a document."""
+        held, place, next_block, at = b"", 0, 0, 0
         for doc_id, n in zip(self.docs["doc_id"].to_pylist(), self.docs["n_tokens"].to_pylist(), strict=True):
-            if len(held) < n:
-                got, have = [held], len(held)
-                while have < n:
-                    got.append(self.block(next_block))
+            stop = place + 4 * n
+            if stop > len(held):
+                got = [held[place:]]
+                have, place, stop = len(got[0]), 0, 4 * n
+                while have < stop:
+                    got.append(self.block(next_block).tobytes())
                     have += len(got[-1])
                     next_block += 1
-                held = np.concatenate(got)
-            yield doc_id, at, held[:n]
-            held, at = held[n:], at + n
+                held = b"".join(got)
+            yield doc_id, at, n, held[place:stop]
+            place, at = stop, at + n
 
 
 # ------------------------------------------------------------------ encoding
@@ -207,22 +226,133 @@ def text_parts(text: str, size: int = PART) -> Iterator[str]:
     yield text[at:]
 
 
-def ids_of_text(tokenizer, text: str | None, end_id: int) -> np.ndarray:
-    """The ids of the whole text, then the end id."""
-    got: list[int] = []
-    for part in text_parts(text or ""):
-        got += tokenizer.encode(part, add_special_tokens=False).ids
-    got.append(end_id)
-    return np.array(got, dtype="<u4")
+def is_odd(text: str) -> bool:
+    """Whether some white space does not stand alone or is of another kind."""
+    return any(x in text for x in _ODD)
 
 
-def load_tokenizer(vocabulary: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+def marked(text: str, odd: bool) -> str:
+    """The text with a mark at places that no match of the pattern crosses: before each
+    space and line break that stands alone (``odd``: not all do)."""
+    return "\0".join(_CUT.split(text)) if odd else text.replace(" ", "\0 ").replace("\n", "\0\n")
 
-    tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+
+class Coder:
+    """Encodes whole texts with the library, each distinct chunk once while it is known.
+
+    New chunks go to the library as one text, joined by a special token of the vocabulary
+    (the library encodes what stands between special tokens apart). Strings of special
+    tokens in a text are ordinary text: chunks that hold one go alone.
+    """
+
+    def __init__(self, vocabulary: str, known: int = KNOWN):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        special = [t for t in json.loads(vocabulary).get("added_tokens") or [] if t["special"]]
+        self.special = [t["content"] for t in special]
+        # a token that takes no white space beside it can stand between chunks
+        self.joint = next(((t["content"], t["id"]) for t in special if not (t["lstrip"] or t["rstrip"] or t["single_word"])), None)
+        self.known: dict[str, bytes] = {}  # chunks, as the library encoded them
+        # what stands between two cuts, and its packed ids
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.limit = known
+
+    def _encode(self, texts: list[str], special: bool = False) -> Iterator[np.ndarray]:
+        """The library's ids of each text; strings of special tokens are such only if asked for."""
+        self.tokenizer.encode_special_tokens = not special
+        for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(got.ids, dtype="<u4")
+
+    def _learn(self, chunks: list[str]) -> None:
+        every = "\0".join(chunks)
+        held = [s for s in self.special if s in every]
+        together = [c for c in chunks if not any(s in c for s in held)] if held else chunks
+        together = together if self.joint else []
+        if together:
+            sep, sep_id = self.joint
+            (ids,) = self._encode([sep.join(together)], special=True)
+            raw, at = ids.tobytes(), 0
+            for chunk, end in zip(together, [*np.flatnonzero(ids == sep_id).tolist(), len(ids)], strict=True):
+                self.known[chunk] = raw[4 * at:4 * end]
+                at = end + 1
+        alone = [c for c in chunks if c not in self.known] if held or not self.joint else []
+        for chunk, ids in zip(alone, self._encode(alone), strict=True):
+            self.known[chunk] = ids.tobytes()
+
+    def _joined(self, words: list[str], odd: bool) -> list[bytes]:
+        """The ids of what lies between two cuts, joined from those of its chunks."""
+        cuts = [_CHUNK.findall(w) if not odd or _WORD.match(w) else [w] for w in words]
+        wanted = set().union(*cuts)
+        unknown = wanted.difference(self.known)
+        if len(self.known) + len(unknown) > self.limit:
+            self.known.clear()
+            unknown = wanted
+        if unknown:
+            self._learn(list(unknown))
+        got = [self.known[cut[0]] if len(cut) == 1 else b"".join(map(self.known.__getitem__, cut)) for cut in cuts]
+        for chunk in unknown:
+            if len(chunk) > KNOWN_LENGTH:
+                del self.known[chunk]
+        return got
+
+    def _ids_of_words(self, words: pa.Array, odd: bool) -> pa.Array:
+        """The packed ids of distinct words; only those not met before leave Arrow."""
+        at = pc.index_in(words, value_set=self.words)
+        new = at.is_null()
+        fresh = words.filter(new)
+        places = at.fill_null(0).to_numpy().copy()
+        places[new.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(fresh))
+        keys = pa.concat_arrays([self.words, fresh])
+        ids = pa.concat_arrays([self.ids, pa.array(self._joined(fresh.to_pylist(), odd), pa.large_binary())])
+        out = ids.take(pa.array(places))
+        short = pc.less_equal(pc.utf8_length(fresh), KNOWN_LENGTH)
+        if len(keys) > self.limit or not pc.all(short).as_py():  # keep what is known, and the short ones if they fit
+            n = len(self.words)
+            kept = pa.concat_arrays([pa.array(np.ones(n, dtype=bool)), short]) if len(keys) <= self.limit else pa.array(np.zeros(len(keys), dtype=bool))
+            keys, ids = keys.filter(kept), ids.filter(kept)
+        self.words, self.ids = keys, ids
+        return out
+
+    def _ids_of_parts(self, parts: list[str]) -> list[np.ndarray]:
+        odd = is_odd("\0".join(parts))
+        texts = pa.array([marked(p, odd and is_odd(p)) for p in parts], pa.large_string())
+        words = pc.split_pattern(texts, "\0")
+        coded = words.flatten().dictionary_encode()
+        # the ids of all words, one after another
+        every = self._ids_of_words(coded.dictionary, odd).take(coded.indices)
+        ids = np.frombuffer(every.buffers()[2] or b"", dtype="<u4")
+        at = np.frombuffer(every.buffers()[1], dtype=np.int64)[words.offsets.to_numpy() - words.offsets[0].as_py()] // 4
+        return [ids[a:b] for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
+
+    def ids_of_texts(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; takes in some megabytes of text at a time."""
+        opened: list[np.ndarray] = []
+        for group in _groups(texts):
+            parts = [p for _, p in group]
+            plain = [p for p in parts if "\0" not in p]  # the mark of the cuts
+            got = iter(self._ids_of_parts(plain) if plain else [])
+            for last, part in group:
+                opened.append(next(got) if "\0" not in part else next(self._encode([part])))
+                if last:
+                    yield opened[0] if len(opened) == 1 else np.concatenate(opened)
+                    opened = []
+
+
+def _groups(texts: Iterable[str | None]) -> Iterator[list[tuple[bool, str]]]:
+    """(last part of its text?, part): groups of about ``PART`` code points."""
+    group, size = [], 0
+    for text in texts:
+        parts = list(text_parts(text or "", PART))
+        for i, part in enumerate(parts):
+            group.append((i == len(parts) - 1, part))
+            size += len(part)
+            if size >= PART:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
 
 
 # ------------------------------------------------------------------ Spark
@@ -241,7 +371,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, id_col: str =
     """
     spark = docs.sparkSession
     small_batches(spark)
-    spread = spark.sparkContext.broadcast(vocabulary)
+    spread = spark.sparkContext.broadcast({"vocabulary": vocabulary})
     rows = keep_columns(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType
     # equal rows are told apart by their place, so that a range never holds all of them
@@ -253,15 +383,29 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, id_col: str =
 
     doc_type = to_arrow_type(kind)
 
+    end = np.array([end_id], dtype="<u4")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, writer, part = None, None, TaskContext.get().partitionId()
+        writer, part = None, TaskContext.get().partitionId()
         name = f"part-{part:07d}-{uuid.uuid4().hex}.planes"
-        for batch in batches:
-            if batch.num_rows and writer is None:
-                tokenizer = load_tokenizer(spread.value)
-                writer = PlaneWriter(open_output(f"{folder}/{name}"), doc_type, bits, block, level)
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                writer.add(doc_id, ids_of_text(tokenizer, text, end_id))
+        rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        doc_ids: deque = deque()
+
+        def texts() -> Iterator[str | None]:
+            for doc_id, text in rows:
+                doc_ids.append(doc_id)
+                yield text
+
+        if "coder" not in spread.value:  # one for all tasks of a worker
+            spread.value["coder"] = Coder(spread.value["vocabulary"])
+        gc.disable()  # nothing here makes cycles, and the collector would walk the dictionaries again and again
+        try:
+            for found in spread.value["coder"].ids_of_texts(texts()):
+                if writer is None:
+                    writer = PlaneWriter(open_output(f"{folder}/{name}"), doc_type, bits, block, level)
+                writer.add(doc_ids.popleft(), found, end)
+        finally:
+            gc.enable()
         if writer is not None:
             writer.close()
             said = [[part], [name], [file_size(f"{folder}/{name}")], [writer.total], [len(writer.docs)]]
@@ -321,25 +465,33 @@ def read_token_files(spark: SparkSession, path: str, id_type: str = "bigint") ->
     limit = 1 << 23  # bytes of ids of one batch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got, size = [], 0
+        columns: list[list] = [[], [], [], []]
+        doc_ids, starts, sizes, packed = columns
+        size = 0
+
+        def full() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
+            for c in columns:
+                c.clear()
+            return batch
+
         for batch in batches:
             for name, start in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 with open_input(f"{folder}/{name}") as f:
-                    for doc_id, at, ids in PlaneReader(f).documents():
-                        got.append((doc_id, start + at, len(ids), ids.tobytes()))
-                        size += 4 * len(ids)
-                        if size > limit or len(got) >= 1000:
-                            yield _rows(got, out)
-                            got, size = [], 0
-        yield _rows(got, out)
+                    for doc_id, at, n, ids in PlaneReader(f).documents():
+                        doc_ids.append(doc_id)
+                        starts.append(start + at)
+                        sizes.append(n)
+                        packed.append(ids)
+                        size += len(ids)
+                        if size > limit or len(packed) >= 1000:
+                            yield full()
+                            size = 0
+        yield full()
 
     return files.mapInArrow(run, ddl)
 
 
-def _rows(got: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], f.type) for i, f in enumerate(schema)], schema=schema)
-
-
 def token_files_report(docs: DataFrame, vocabulary: str, path: str) -> DataFrame:
     """Write the files, read them back, and digest each document's ids."""
     write_token_files(docs, vocabulary, path)

@@ -221,15 +221,18 @@ ODD = [None, "", " ", "plain words here", "  two  spaces \n\n\n and lines\t\ttab
        "<|endoftext|> is text", "don't we'll I'M 12 345 a1b2", "x" * 5000, "word " * 3000, "\x00\x01﻿", "1 2 3 " * 50]
 
 
-@pytest.mark.parametrize("size", [1, 3, 64])
-def test_parts_of_a_text_encode_alike(encode, vocabulary, size):
-    tokenizer = T.load_tokenizer(vocabulary)
+@pytest.mark.parametrize(("size", "known"), [(1, 3), (3, 10**6), (64, 200), (T.PART, T.KNOWN)])
+def test_parts_of_a_text_encode_alike(encode, vocabulary, monkeypatch, size, known):
+    monkeypatch.setattr(T, "PART", size)
     rng = random.Random(size)
-    for text in [*ODD, *("".join(rng.choices("ab1' \n\t .,é", k=200)) for _ in range(200))]:
+    texts = [*ODD, *("".join(rng.choices("ab1' \n\t .,é\x1c\x85\xa0\u3000\u200b", weights=[9] * 5 + [2] * 11, k=200)) for _ in range(300))]
+    texts += [" ".join(rng.choices(["word", "don't", "\nline", "x1.", "é"], k=60)) for _ in range(20)]
+    for text in texts:
         if text:
-            parts = list(T.text_parts(text, size))
-            assert "".join(parts) == text
-            assert [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids] + [0] == encode(text)
+            assert "".join(T.text_parts(text, size)) == text
+            assert "\0" in text or T.marked(text, T.is_odd(text)).replace("\0", "") == text
+    got = list(T.Coder(vocabulary, known).ids_of_texts(texts))
+    assert [x.tolist() for x in got] == [encode(t)[:-1] for t in texts]
 
 
 def expected(rows, encode):
@@ -303,3 +306,13 @@ def test_damaged_files_are_refused(spark, vocabulary, tmp_path):
         reader.sums[0] ^= 1
         with pytest.raises(ValueError, match="damaged"):
             reader.block(0)
+
+
+def test_a_vocabulary_without_special_tokens(encode, vocabulary):
+    import json
+
+    bare = json.loads(vocabulary) | {"added_tokens": []}
+    coder = T.Coder(json.dumps(bare))
+    assert coder.joint is None
+    texts = [t for t in ODD if t and "<|" not in t]
+    assert [x.tolist() for x in coder.ids_of_texts(texts)] == [encode(t)[:-1] for t in texts]
