@@ -72,11 +72,10 @@ def test_workbook_format(spark, scratch):
     save(scratch, "a.xlsx", xlsx_bytes(["dep", "n", "ok"], [["09", 1.5, True], ["31", None, False]]))
     save(scratch, "B.XLSX", xlsx_bytes(["n", "dep"], [[3.0, "34"]]))
     save(scratch, "other.xlsx.txt", b"no workbook")
-    read = spark.read.format("workbook")
-    df = read.schema("dep string, n double").load(scratch)
+    df = spark.read.format("workbook").schema("dep string, n double").load(scratch)
     assert df.rdd.getNumPartitions() == 2
     assert sorted(map(tuple, df.collect())) == [("09", 1.5), ("31", None), ("34", 3.0)]
-    assert read.load(scratch).columns == ["n", "dep"]  # those of the first workbook
+    assert spark.read.format("workbook").load(scratch).columns == ["n", "dep"]  # those of the first workbook
     save(f"{scratch}/two", "t.xlsx", xlsx_bytes(["a"], [["x"]], sheet="Other"))
     assert spark.read.format("workbook").option("sheet", "Other").load(f"{scratch}/two").collect() == [("x",)]
     write(f"{scratch}/none", "readme.txt", "nothing")
