@@ -36,8 +36,8 @@ from propyield.session import scratch_path
 
 #: Hash buckets of byte trigrams: the model holds this many counts per language.
 BUCKETS = 1 << 15
-#: Languages of the model, at most: the most frequent labels (a bound for the broadcast).
-MAX_LANGUAGES = 256
+#: Languages of the model, at most (a bound for the broadcast); more labels are an error.
+MAX_LANGUAGES = 512
 #: Trigrams of a text count as this many independent ones at most.
 TEMPER = 60.0
 #: Pseudo-counts that pull a host to its site, and a site to all pages.
@@ -125,17 +125,20 @@ def language_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "la
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages and log P(bucket | language), at most 256 x 32768 numbers."""
-    counts = language_counts(docs)
-    top = (counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang")
-           .limit(MAX_LANGUAGES).collect())
-    langs = sorted(r["lang"] for r in top)
-    table = np.full((len(langs), BUCKETS), 0.5)
+    """The languages and log P(bucket | language): 32768 numbers for each language."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "language-counts")
+    language_counts(docs).write.parquet(path)
+    counts = spark.read.parquet(path)
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled; clean the labels or raise MAX_LANGUAGES")
+    table = np.full((len(langs), BUCKETS), 0.5, dtype=np.float32)
     if langs:
-        got = counts.where(F.col("lang").isin(langs)).toArrow()
+        got = counts.toArrow()
         row = {x: i for i, x in enumerate(langs)}
         table[[row[x] for x in got["lang"].to_pylist()], got["bucket"].to_numpy()] += got["n"].to_numpy()
-    return langs, np.log(table / table.sum(axis=1, keepdims=True))
+    return langs, np.log(table / table.sum(axis=1, dtype=np.float64, keepdims=True)).astype(np.float32)
 
 
 def host_of(url: Column) -> Column:
@@ -145,7 +148,7 @@ def host_of(url: Column) -> Column:
 
 def page_evidence(pages: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
     """page_id, host, site, suffix, declared, ll (log-likelihood by language), vote."""
-    spread = pages.sparkSession.sparkContext.broadcast(table.astype(np.float32))
+    spread = pages.sparkSession.sparkContext.broadcast(table)
 
     def fn(ids, hosts, htmls):
         model = spread.value
