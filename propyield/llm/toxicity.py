@@ -13,8 +13,9 @@ words that nearly only toxic rows use are counted: above the median number the g
 is 2 (severe), else 1. (A share of the words would contradict the model: long texts
 have more features and a smaller share.)
 
-The fit uses at most ``SAMPLE_ROWS`` labelled rows (a documented bound, chosen by the
-hash of the id); scoring reads every row and its whole text.
+The fit uses at most ``SAMPLE_ROWS`` labelled rows of different texts (a documented bound,
+chosen by the hash of the id, then of the text); every feature that passes the test on
+them is in the model. Scoring reads every row and its whole text.
 
 Defined cases: a null or empty text has no features and gets the model's base
 severity; rows without a label are scored all the same; without labelled rows of
@@ -36,8 +37,7 @@ from propyield.llm.common import map_batches, words_of
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE_ROWS = 16384
-#: Features of the model, at most, and the chi-square a feature must reach.
-MAX_FEATURES = 800
+#: The chi-square that a feature of the model must reach.
 MIN_CHI2 = 25.0
 PREFIXES = (4, 5, 6)
 _STRIP = b".,;:!?\"'()[]{}<>*#$%&|-_"
@@ -104,7 +104,27 @@ def _minimise(f, x: np.ndarray, steps: int, memory: int = 10) -> np.ndarray:
     return x
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = 3, l2: float = 1e-5,
+class SparseRows:
+    """A matrix of zeros and ones, as the columns of each row's ones."""
+
+    dtype = np.dtype(np.float64)
+
+    def __init__(self, ones: list[list[int]], width: int):
+        self.shape = (len(ones), width)
+        self.row = np.repeat(np.arange(len(ones)), [len(x) for x in ones])
+        self.col = np.array([c for x in ones for c in x], dtype=np.int64)
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=w[self.col], minlength=self.shape[0])
+
+    @property
+    def T(self) -> "SparseRows":
+        turned = SparseRows([], 0)
+        turned.shape, turned.row, turned.col = self.shape[::-1], self.col, self.row
+        return turned
+
+
+def fit_ordinal(x: np.ndarray | SparseRows, grade: np.ndarray, grades: int = 3, l2: float = 1e-5,
                 steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds that maximise the ordinal likelihood.
 
@@ -143,9 +163,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     # at most `rows` pairs of numbers: a proven bound for the broadcast
-    return (docs.select(F.col("doc_id").alias("__id"), "text")
-            .join(F.broadcast(one), F.col("__id") == F.col("doc_id"))
-            .groupBy("text").agg(F.max("toxic").alias("toxic")))
+    named = (docs.select(F.col("doc_id").alias("__id"), "text")
+             .join(F.broadcast(one), F.col("__id") == F.col("doc_id"))
+             .select("__id", F.xxhash64("text").alias("__hash"), "text", "toxic"))
+    # an id may stand on very many rows: of (id, hash) pairs too there are at most `rows`
+    chosen = (named.select("__id", "__hash").distinct()
+              .orderBy(F.xxhash64("__id", "__hash"), "__id", "__hash").limit(rows))
+    return named.join(F.broadcast(chosen), ["__id", "__hash"]).groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> OrdinalModel:
@@ -172,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> OrdinalM
     det = (a * d - b * c).cast("double")
     chi = n * det * det / (F.greatest((a + b).cast("double") * (c + d), F.lit(1.0)) * float(bad) * float(n - bad))
     top = (counts.withColumn("chi2", chi).where((F.col("chi2") >= MIN_CHI2) & (a + b >= 4))
-           .orderBy(F.desc("chi2"), "feature").limit(MAX_FEATURES).collect())
+           .orderBy(F.desc("chi2"), "feature").collect())  # the sample bounds them
     if not top:
         return none
     features = tuple(bytes(r["feature"]) for r in top)
@@ -192,13 +216,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> OrdinalM
         return {"toxic": toxic, "active": active, "cues": cue_words}
 
     got = map_batches(sample, encode, "toxic int, active array<int>, cues int").toArrow()
-    toxic = np.asarray(got["toxic"].to_numpy()) > 0
-    cue_count = np.asarray(got["cues"].to_numpy())
-    x = np.zeros((len(toxic), len(features)), dtype=np.float32)
-    for i, cols in enumerate(got["active"].to_pylist()):
-        x[i, cols] = 1
-    order = np.lexsort((*x.T[:8], toxic, cue_count))  # reruns agree whatever the order of rows
-    x, toxic, cue_count = x[order], toxic[order], cue_count[order]
+    # reruns agree whatever the order of rows
+    found = sorted(zip(got["cues"].to_pylist(), got["toxic"].to_pylist(), got["active"].to_pylist(), strict=True))
+    cue_count, toxic = np.array([r[0] for r in found]), np.array([r[1] for r in found]) > 0
+    x = SparseRows([r[2] for r in found], len(features))
     middle = np.median(cue_count[toxic])
     grade = np.where(toxic, np.where(cue_count > middle, 2, 1), 0)
     w, theta = fit_ordinal(x, grade)
