@@ -1,6 +1,9 @@
 """Language model, language identification, toxicity and neighbours, with edge cases."""
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -122,13 +125,43 @@ def test_blocks_do_not_change_what_is_found(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.standard_normal(8).tolist(), 0) for i in range(400)]
     is_query = lambda c: c % 20 == 0
-    got = ann.nearest(vectors(spark, rows), is_query, index_bytes=8 * 8 * 90, query_block=7).collect()
+    got = ann.nearest(vectors(spark, rows), is_query, index_bytes=8 * 8 * 90).collect()
     m = np.array([r[1] for r in rows], dtype=np.float32).astype(float)
     found = sum(len({r.vec_id for r in got if r.query_id == q} & set([j for j in np.argsort(-(m @ m[q])) if j != q][:20]))
                 for q in range(0, 400, 20))
     assert len(got) == 400 and found >= 0.9 * 400
 
 
+def test_repeated_query_rows_and_hot_ids(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.standard_normal(6).tolist(), 0) for i in range(200)]
+    once = sorted(tuple(r) for r in ann.neighbours_report(vectors(spark, rows)).where("query_id = 20").collect())
+    assert len(once) == 20
+    again = ann.neighbours_report(vectors(spark, [*rows, rows[20], rows[20]])).where("query_id = 20").collect()
+    assert sorted(map(tuple, again)) == once  # searched once; none of its own id
+    # another vector under a query's id is searched for itself, beside the first
+    other = ann.neighbours_report(vectors(spark, [*rows, (20, [3.0] * 6, 0)])).where("query_id = 20").collect()
+    assert len(other) == 40 and Counter(r["rank"] for r in other) == dict.fromkeys(range(1, 21), 2)
+    assert len(set(once) & set(map(tuple, other))) >= 10  # windows depend on the largest norm of the table
+    # a placeholder id on a third of the rows, and one vector on many: no block takes them all
+    hot = rows + [(-1, rng.standard_normal(6).tolist(), 0) for _ in range(150)] + [(-2, [0.1] * 6, 0)] * 150
+    got = ann.nearest(vectors(spark, hot), lambda c: c % 20 == 0, index_bytes=6 * 8 * 50).collect()
+    ids, m = np.array([r[0] for r in hot]), np.array([r[1] for r in hot], dtype=np.float32).astype(float)
+    by = {}
+    for r in got:
+        by.setdefault(r.query_id, []).append(r.score)
+    assert set(by) == set(range(0, 200, 20))
+    for q, scores in by.items():
+        want = sorted((m[ids != q] @ m[ids == q][0]).tolist(), reverse=True)[:20]
+        assert len(scores) == 20 and sum(np.isclose(sorted(scores, reverse=True), want)) >= 15
+
+
+def test_every_length_of_vectors_is_searched(spark):
+    rows = [(20 * i, [float(i + 1), 1.0], 0) for i in range(3)] + [(20 * i, [1.0, 2.0, float(i)], 0) for i in range(5, 9)] + [(200, [1.0], 0)]
+    got = Counter(r.query_id for r in ann.neighbours_report(vectors(spark, rows)).collect())
+    assert got == {0: 2, 20: 2, 40: 2, 100: 3, 120: 3, 140: 3, 160: 3}
+
+
 def labelled(n, seed=0):
     rng = random.Random(seed)
     docs, labels = [], []
@@ -176,6 +209,60 @@ def test_toxicity_edge_rows(spark):
     assert toxicity.without_toxic(frame, nothing).count() == len(rows)
 
 
+def test_toxicity_against_brute_force(spark):
+    docs, labels = labelled(300)
+    frame = H.documents(spark, docs)
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+
+    def features(text):
+        out = set()
+        for w in {x.strip(".,;:!?\"'()[]{}<>*#$%&|-_") for x in H.words(text)} - {""}:
+            out |= {"=" + w} | {"^" + w[:n] for n in (4, 5, 6) if len(w) >= n}
+        return out
+
+    toxic = {i: y for i, _, y in labels}
+    by_text = {}
+    for i, t in docs:
+        by_text[t] = max(by_text.get(t, 0), toxic[i])
+    n, bad = len(by_text), sum(by_text.values())
+    seen = Counter((f, y) for t, y in by_text.items() for f in features(t))
+    want = set()
+    for f in {f for f, _ in seen}:
+        a, b = seen[f, 1], seen[f, 0]
+        c, d = bad - a, n - bad - b
+        if a + b >= 4 and n * (a * d - b * c) ** 2 >= toxicity.MIN_CHI2 * (a + b) * max(c + d, 0) * bad * (n - bad) and c + d:
+            want.add(f)
+    assert {f.decode() for f in model.features} == want and len(want) > 8
+    weight = {f.decode(): w for f, w in zip(model.features, model.weights, strict=True)}
+    for r in toxicity.score_toxicity(frame, model).collect():
+        z = sum(weight.get(f, 0.0) for f in features(dict(docs)[r.doc_id]))
+        p = [1 / (1 + math.exp(min(35, max(-35, t - z)))) for t in model.thetas]
+        assert r.p_toxic == pytest.approx(p[0], abs=1e-9) and r.p_severe == pytest.approx(p[1], abs=1e-9)
+        assert r.grade == sum(x >= 0.5 for x in p) and r.toxic == (p[0] >= 0.5)
+
+
+def test_the_sample_is_bounded_by_rows_not_ids(spark):
+    rows = [(7, f"text number {i}") for i in range(4000)] + [(i, "other") for i in range(100, 200)]
+    labels = spark.createDataFrame([(7, 1, 1)] + [(i, 1, 0) for i in range(100, 200)], "doc_id long, quality int, toxic int")
+    docs = H.documents(spark, rows)
+    assert toxicity.labelled_sample(docs, labels, 2).count() <= 2
+    assert toxicity.labelled_sample(docs, labels, 50).count() <= 50
+    assert toxicity.labelled_sample(docs, labels, 10_000).count() == 4001
+    first, second = (sorted(map(tuple, toxicity.labelled_sample(d, labels, 300).collect())) for d in (docs, docs.repartition(5)))
+    assert first == second
+
+
+def test_sparse_rows_multiply_as_dense_ones():
+    rng = np.random.default_rng(3)
+    x = (rng.random((40, 9)) < 0.3).astype(float)
+    s = toxicity.SparseRows([np.flatnonzero(r).tolist() for r in x], 9)
+    w, z = rng.normal(size=9), rng.normal(size=40)
+    assert np.allclose(s @ w, x @ w) and np.allclose(s.T @ z, x.T @ z) and s.T.shape == (9, 40)
+    grade = rng.integers(0, 3, 40)
+    for a, b in zip(toxicity.fit_ordinal(x, grade), toxicity.fit_ordinal(s, grade), strict=True):
+        assert np.allclose(a, b, atol=1e-4)
+
+
 def test_ordinal_gradient_is_that_of_the_likelihood():
     rng = np.random.default_rng(1)
     x = (rng.random((300, 6)) < 0.4).astype(np.float64)
@@ -242,6 +329,71 @@ def test_language_of_pages(spark):
     assert nothing.count() == len(rows) and nothing.where("lang is not null").isEmpty()
 
 
+def fused(rows, docs):
+    """page_id -> probability of each language, by comparing every page with all others."""
+    langs = sorted({l for _, t, l in docs if t is not None and l is not None})
+    grams = {l: Counter() for l in langs}
+    for _, t, l in docs:
+        if t is not None and l is not None:
+            grams[l].update(langid.trigrams(t.encode()).tolist())
+    total = {l: sum(c.values()) + 0.5 * langid.BUCKETS for l, c in grams.items()}
+
+    def softmax(ll):
+        e = [math.exp(x - max(ll)) for x in ll]
+        return [x / sum(e) for x in e]
+
+    pages = []
+    for page_id, url, html in rows:
+        m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+        host = m[1].lower() if m and re.fullmatch("[A-Za-z0-9._-]+", m[1]) else ""
+        t = langid.trigrams(langid.visible_text(html).encode()).tolist()
+        ll = [sum(math.log((grams[l][b] + 0.5) / total[l]) for b in t) * min(1.0, langid.TEMPER / max(len(t), 1)) for l in langs]
+        m = re.search(r"<html lang=\"([a-z]{2})\"", html or "")
+        labels = host.split(".")
+        pages.append({"id": page_id, "host": host, "site": ".".join(labels[-2:]), "suffix": labels[-1],
+                      "declared": m[1] if m else "", "ll": ll, "vote": softmax(ll)})
+    every = [sum(p["vote"][i] for p in pages) for i in range(len(langs))]
+    out = {}
+    for p in pages:
+        others = lambda key: [q["vote"] for q in pages if q is not p and q[key] == p[key]]
+        prior = [(x + langid.TABLE_PULL) / (sum(every) + len(langs) * langid.TABLE_PULL) for x in every]
+        for key, pull in (("site", langid.SITE_PULL), ("host", langid.HOST_PULL)):
+            seen = others(key)
+            prior = [(sum(v[i] for v in seen) + pull * x) / (len(seen) + pull) for i, x in enumerate(prior)]
+        score = [x + math.log(prior[i]) + sum(math.log((sum(v[i] for v in others(key)) + 0.5) / (every[i] + 1)) for key in ("suffix", "declared"))
+                 for i, x in enumerate(p["ll"])]
+        out[p["id"]] = dict(zip(langs, softmax(score), strict=True))
+    return out
+
+
+def test_language_against_brute_force(spark):
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choices(w, k=30)), l) for i, (w, l) in enumerate([(DOG, "en"), (CHAT, "fr"), (DOG[:4] + CHAT[:4], "de")] * 4)]
+    rows = [(i, f"http://{rng.choice(['a', 'b', 'c'])}.{rng.choice(['x', 'y'])}.{rng.choice(['fr', 'uk'])}/{i}",
+             f'<html lang="{rng.choice(["fr", "en", ""])}"><p>{" ".join(rng.choices(DOG + CHAT, k=rng.choice([0, 1, 3, 12])))}</p>') for i in range(60)]
+    rows += [(100, None, None), (101, "nothing", ""), (102, "http://A.X.FR/", None)]
+    want = fused(rows, docs)
+    got = langid.identify(spark.createDataFrame(rows, "page_id long, url string, html string"),
+                          spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        best = max(want[r.page_id].values())
+        assert want[r.page_id][r.lang] >= best - 1e-4 and abs(r.probability - best) < 1e-3
+
+
+def test_three_hundred_languages(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(6)] for _ in range(300)]
+    docs = spark.createDataFrame([(i, " ".join(w * 3), f"l{i:03d}") for i, w in enumerate(words)], "doc_id long, text string, lang string")
+    langs, table = langid.train(docs)
+    assert len(langs) == 300 and table.shape == (300, langid.BUCKETS)
+    found = langid.trigrams(" ".join(words[299]).encode())
+    assert langs[int(table[:, found].sum(axis=1).argmax())] == "l299"
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 299)
+    with pytest.raises(ValueError, match="more than 299 languages"):
+        langid.train(docs)
+
+
 @pytest.mark.parametrize("name", ["op2_hmm", "op6_language", "op10_toxicity"])
 def test_empty_tables(spark, scratch, name):
     H.documents(spark, []).write.parquet(f"{scratch}/documents.parquet")

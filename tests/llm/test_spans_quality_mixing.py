@@ -126,35 +126,90 @@ def test_rule_order_changes_no_verdict(spark):
     every = quality.rules()
     a = {(r.doc_id, r.kept) for r in quality.quality_cascade(docs, rule_list=every).collect()}
     b = {(r.doc_id, r.kept) for r in quality.quality_cascade(docs, rule_list=every[::-1]).collect()}
-    assert a == b
-    ordered = quality.order_rules(quality.with_features(docs), every)
+    assert a == b == {(r.doc_id, r.kept) for r in quality.quality_report(docs).collect()}
+    ordered = quality.order_rules(docs, every)
     assert sorted(r.name for r in ordered) == sorted(r.name for r in every)
 
 
-def test_mixing_targets_and_taken(spark):
-    rng = random.Random(9)
-    rows = [(i, "w " * rng.randint(0, 30), rng.choice(["b", "b", "b", "b", "a", "c", None, "é", "d"])) for i in range(400)]
-    rows += [(1000, None, "a"), (1001, "x y", "tiny"), (1002, "x y", "tiny"), (1002, "x y", "tiny")]
+def test_the_features_of_the_cascade_are_those_of_the_report(spark):
+    rng = random.Random(7)
+    rows = EDGE + [(200 + i, " ".join(rng.choices(["ab", "cd\n", "EF", "#", "gh"], k=rng.randint(0, 90)))) for i in range(40)]
     docs = H.documents(spark, rows)
-    got = mixing.mix_report(docs).collect()
-    assert len(got) == len(rows)
-    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix_report(docs.repartition(7)).collect()))
-    sizes, text = {}, {}
-    for i, t, s in rows:
-        sizes[s] = sizes.get(s, 0) + len((t or "").split())
-        text[i] = (t, s)
-    target = H.mix_targets(sizes)
-    assert abs(sum(target.values()) - sum(sizes.values())) < 1e-6
-    taken = dict.fromkeys(sizes, 0)
-    for r in got:
-        t, s = text[r.doc_id]
-        assert r.size == len((t or "").split()) and r.source_size == sizes[s]
-        assert r.target == pytest.approx(target[s], rel=1e-12)
-        assert 0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size
-        assert (r.position is None) == (r.copies == 0)
-        taken[s] += r.taken
-    for s in sizes:
-        assert abs(taken[s] - target[s]) <= 30, s
+    text, words = quality._text_and_words("text")
+    f = quality.Features(text, words)
+    lazy = docs.select("doc_id", *[getattr(f, n).cast("long").alias(n) for n in quality.FEATURES])
+    eager = quality.with_features(docs).select(lazy.columns)
+    assert sorted(map(str, lazy.collect())) == sorted(map(str, eager.collect()))
+
+
+def test_a_rejected_row_never_pays_for_the_windows(spark, monkeypatch):
+    short = H.documents(spark, [(i, "a few words") for i in range(20)] + [(99, None)])
+    long = H.documents(spark, [(1, "word " * 50)])
+    every = sorted(quality.rules(), key=lambda r: r.name != "too_short")
+    monkeypatch.setattr(quality, "order_rules", lambda *a: every)
+    monkeypatch.setattr(quality, "_windows", lambda words: F.array(F.raise_error(F.concat(F.lit("windows of "), words[0])).cast("long")))
+    assert {r.rejected_by for r in quality.quality_cascade(short).collect()} == {"too_short"}
+    with pytest.raises(Exception, match="windows of"):
+        quality.quality_cascade(long).collect()
+
+
+def test_dear_rules_come_late_and_the_sample_is_small(spark):
+    docs = H.documents(spark, [(i, "a few words") for i in range(50)] + [(100 + i, " ".join(f"w{j}x" for j in range(60))) for i in range(50)])
+    ordered = [r.name for r in quality.order_rules(docs, quality.rules())]
+    assert ordered[0] == "too_short" and ordered.index("repeated_words") > ordered.index("symbols")
+    assert quality.order_rules(docs.limit(0), quality.rules()) is not None
+
+
+def test_columns_called_like_features(spark):
+    docs = H.documents(spark, EDGE).withColumns({c: F.lit("mine") for c in (*quality.FEATURES, "rejected_by", "kept", "words")})
+    out = quality.quality_cascade(docs)
+    assert sorted(out.columns) == sorted(docs.columns)
+    got = out.collect()
+    assert all(r.n_words == "mine" and r.words == "mine" and isinstance(r.kept, bool) for r in got)
+    assert {(r.doc_id, r.kept) for r in got} == {(r.doc_id, r.kept) for r in quality.quality_report(docs).collect()}
+
+
+def time_due(share, weight):
+    """When a source's schedule has handed out ``share`` of its target: the density summed up."""
+    slope, low, high = (weight - 2) * 0.5, 0.0, 1.0
+    density = lambda t: 1 + slope * (2 * t - 1)
+    for _ in range(60):
+        t = (low + high) / 2
+        given = t * (density(0) + density(t)) / 2  # the area under a straight line
+        low, high = (t, high) if given < share else (low, t)
+    return (low + high) / 2
+
+
+def test_mixing_positions_against_brute_force(spark):
+    rng = random.Random(12)
+    rows = [(i, "w " * rng.randint(0, 30), rng.choice(["b", "b", "b", "a", "c", None])) for i in range(200)] + [(900, "x y", "c")] * 3
+    docs = H.documents(spark, rows)
+    got = mixing.mix(docs, buckets=4).collect()
+    for source in {r.source for r in got}:
+        # the order of an epoch: by hash bucket, then by hash
+        mine = sorted((r for r in got if r.source == source), key=lambda r: ((r.key % 2**64 >> 20) % 4, r.key, r.key2))
+        start, whole = 0, sum(r.size for r in mine)
+        for r in mine:
+            same = [x for x in mine if (x.key, x.key2) == (r.key, r.key2)]
+            assert r.start in [start + k * r.size for k in range(-len(same), len(same) + 1)] and (len(same) > 1 or r.start == start)
+            middle = r.start + r.size / 2
+            copies = sum(1 for epoch in range(3) if r.size and middle + epoch * whole <= r.target)
+            assert abs(r.copies - copies) <= (1 if any(abs(middle + e * whole - r.target) < 1 for e in range(3)) else 0)
+            if r.copies:
+                assert r.position == pytest.approx(time_due(min(1.0, middle / r.target), r.weight), abs=1e-9)
+            start += r.size
+        assert sorted(r.start for r in mine if r.size) == sorted({r.start for r in mine if r.size})
+    order = [r.position for r in mixing.mix_report(docs).collect() if r.position is not None]
+    assert order == sorted(order) and 0 < order[0] and order[-1] <= 1
+
+
+def test_mixing_scans_the_texts_once(spark, scratch):
+    H.documents(spark, [(i, "w " * i, "a") for i in range(20)]).write.parquet(f"{scratch}/d")
+    docs = spark.read.parquet(f"{scratch}/d").withColumns({c: F.lit(1) for c in ("size", "bucket", "target", "start", "name", "weight")})
+    out = mixing.mix(docs)
+    assert out.count() == 20
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{scratch}/d" not in plan and "text" not in plan
 
 
 def test_mixed_documents_repeat_rows_in_order(spark):
