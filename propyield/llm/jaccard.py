@@ -205,6 +205,16 @@ def _may_link(pa, sa, pb, sb):
     return (pa <= sa - need + 1) & (pb <= sb - need + 1)
 
 
+def _sharing_enough(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole prefixes share enough shingles for a link."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    held = (prefixes.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+            .select("node", "size", F.concat("rare", "often").alias("prefix")))
+    side = lambda x: held.select(F.col("node").alias(x), F.col("size").alias(f"s{x}"), F.col("prefix").alias(f"p{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.where(_enough(F.size(F.array_intersect("pa", "pb")), F.col("sa"), F.col("sb"))).select("a", "b")
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"jaccard-{name}")
     df.write.parquet(path)
@@ -376,6 +386,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             first_common = _may_link(F.col("pa"), F.col("sa"), F.col("pb"), F.col("sb"))
             again = minor.join(other, "token").where(fits & met & first_common)
             again = again.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            again = _sharing_enough(_written(again.join(done, ["a", "b"], "left_anti"), "met"), prefixes)
         else:
             other = (open_lists.groupBy("token").agg(_chosen("node", salt * PIVOTS).alias("pivots"))
                      .select("token", F.explode(F.array_distinct("pivots")).alias("p"))
