@@ -69,9 +69,9 @@ _CHUNK = re.compile(rf"[ \n]?(?:[{_LATIN}]++(?=[ \n{_SIGN}]|\Z)|[{_SIGN}]++(?=[
 _WORD = re.compile(r"[ \n]?\S*+\Z")
 #: Two of those in a row, or white space of another kind.
 _ODD = ("  ", "\n\n", " \n", "\n ", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"))
-#: Words (in Arrow) and chunks (in Python) whose ids a worker keeps before it starts anew, and
-#: the longest of both.
-KNOWN, KNOWN_LENGTH = 1 << 20, 64
+#: Words whose ids a worker keeps (compactly, in Arrow) before it starts anew, how many times
+#: fewer chunks (in Python, to join new words from), and the longest of both.
+KNOWN, FEWER, KNOWN_LENGTH = 1 << 20, 4, 64
 
 
 # ------------------------------------------------------------------ planes
@@ -287,7 +287,7 @@ class Coder:
         cuts = [_CHUNK.findall(w) if not odd or _WORD.match(w) else [w] for w in words]
         wanted = set().union(*cuts)
         unknown = wanted.difference(self.known)
-        if len(self.known) + len(unknown) > self.limit:
+        if len(self.known) + len(unknown) > self.limit // FEWER:
             self.known.clear()
             unknown = wanted
         if unknown:
