@@ -57,6 +57,9 @@ PIVOTS, ROUNDS, COSTLY = 5, 2, 30
 #: Bits of the filter that spares most documents without candidates the last pass.
 FILTER_BITS = 25
 
+#: Word hashes that a worker remembers before it starts anew.
+REMEMBERED = 1 << 18
+
 _MULTIPLY, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -66,7 +69,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
