@@ -95,6 +95,8 @@ def first_lines(spark: SparkSession, folder: str, suffix: str, names: Sequence[s
     lines = (folder_reader(own, folder, suffix).schema("value string").text(folder).where(in_folder(spark, folder))
              .select("_metadata.file_name", "_metadata.file_block_start", "_metadata.file_block_length",
                      F.col("value").cast("binary").alias("line")))
+    # the rest of a file that does not fill a split is passed over before Python
+    lines = lines.where((F.col("file_block_start") == 0) | (F.col("file_block_length") >= split))
     if names is not None:
         lines = lines.where(F.col("file_name").isin(*names))
     schema = pa.schema([("file_name", pa.string()), ("line", pa.binary())])
