@@ -195,3 +195,14 @@ def test_materialize_for_rebuilds_for_another_key(spark, scratch):
     assert materialize_for(spark, lambda: spark.range(9), path, "a").count() == 3
     assert materialize_for(spark, lambda: spark.range(9), path, "b").count() == 9
     assert materialize_for(spark, lambda: spark.range(4), path, "a").count() == 4
+
+
+def test_headers_are_found_without_python_workers(spark, scratch):
+    from propyield.sources.headers import first_lines
+    from tests.plan_text import explain_text
+
+    for name, text in (("a.csv", "x;y\n1;2\n"), ("b.csv", "\n \t\r\ny;x\n" + "1;2\n" * 300_000), ("c.csv", "\n\n"), ("d.CSV", "x;y")):
+        fs.write_text(spark, f"{scratch}/{name}", text)
+    found = first_lines(spark, scratch, ".csv")
+    assert {r["file_name"]: bytes(r["line"]) for r in found.collect()} == {"a.csv": b"x;y", "b.csv": b"y;x", "d.CSV": b"x;y"}
+    assert "MapInArrow" not in explain_text(found, "simple")
