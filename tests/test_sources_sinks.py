@@ -206,3 +206,26 @@ def test_headers_are_found_without_python_workers(spark, scratch):
     found = first_lines(spark, scratch, ".csv")
     assert {r["file_name"]: bytes(r["line"]) for r in found.collect()} == {"a.csv": b"x;y", "b.csv": b"y;x", "d.CSV": b"x;y"}
     assert "MapInArrow" not in explain_text(found, "simple")
+
+
+def test_line_items_meet_orders_that_have_their_customer(spark, scratch):
+    import datetime as dt
+
+    from propyield.plans.analogs import build_sale
+    from tests.plan_text import explain_text
+
+    day = dt.datetime(2000, 1, 2)
+    for name, rows, schema in (
+            ("customer", [(1, "C1", 2, "S")], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+            ("orders", [(7, 1, "F", day, "1-URGENT"), (8, None, "F", day, "5-LOW")],
+             "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string"),
+            ("lineitem", [(7, 9.0, 12.5, 0.0, 0.0, "N", "O"), (7, 9.0, 3.0, 0.1, 0.08, "R", "O"), (8, 1.0, 1.0, 0.0, 0.0, "N", "O")],
+             "l_orderkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+             "l_returnflag string, l_linestatus string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{scratch}/{name}.parquet")
+    sales = build_sale(spark, scratch)
+    assert sorted((r.postal, r.commune, r.surface_txt, r.value_txt, r.date_txt) for r in sales.collect()) == [
+        ("00002", "C1", "", "NC", "2000-01-02"), ("00002", "C1", "9,00", "12,50", "02/01/2000")]
+    # the many line items take part in the last join alone
+    plan = explain_text(sales, "simple")
+    assert plan.index("l_orderkey") < plan.index("Join") + 80 and "c_custkey" not in plan[plan.index("Join"):].split("\n")[0]
