@@ -8,7 +8,7 @@ from propyield.operators.filters import (
 )
 from propyield.operators.joins import join_lookup
 from propyield.operators.rents import parse_rents, rent_by_city, rent_by_dept, rent_means
-from propyield.operators.sales import address_sales, clean_sales, join_geo, match_geo, parse_amounts, repair_postal
+from propyield.operators.sales import address_sales, clean_sales, join_geo, match_geo, parse_amounts, repair_postal, sum_lines
 from propyield.operators.text import preview_rows, repair_column
 from propyield.operators.yields import (
     gather_years,
@@ -29,6 +29,6 @@ __all__ = [
     "filter_region", "gather_years", "having_positive", "join_geo", "join_lookup", "match_geo",
     "parse_amounts", "parse_rents", "pivot_years", "preview_rows", "remap_column",
     "rent_by_city", "rent_by_dept", "rent_means", "repair_column", "repair_postal", "sales_totals",
-    "with_sale_year", "yield_by_city", "yield_by_city_long", "yield_by_dept",
+    "sum_lines", "with_sale_year", "yield_by_city", "yield_by_city_long", "yield_by_dept",
     "yield_by_dept_long", "yield_long", "years_of",
 ]

@@ -22,7 +22,7 @@ from pyspark.sql.types import DecimalType, StructType
 
 from propyield.operators.filters import having_positive
 from propyield.operators.rents import parse_rents
-from propyield.operators.sales import join_geo, parse_amounts
+from propyield.operators.sales import address_sales, join_geo, sum_lines
 from propyield.operators.yields import sales_totals
 from propyield.operators.filters import filter_kind, filter_labels, filter_present
 from propyield.schemas import ADDRESS_KEYS, RENT_RENAMES, SALE_KIND, SALE_RENAMES, RegionSpec
@@ -40,6 +40,8 @@ class Sums:
     sums: Mapping[str, Column]
 
     def partial(self, df: DataFrame) -> DataFrame:
+        if all(n in df.columns for n in self.sums):  # sums already, of the batch's keys
+            return self.merged(df)
         return df.groupBy(*self.keys).agg(*[F.sum(c).alias(n) for n, c in self.sums.items()])
 
     def merged(self, df: DataFrame) -> DataFrame:
@@ -124,9 +126,9 @@ def address_sales_kept(geo: DataFrame, region: RegionSpec, kind: str = SALE_KIND
     lookup = filter_labels(geo, region.labels)
 
     def prepare(rows: DataFrame) -> DataFrame:
-        return parse_amounts(join_geo(filter_present(filter_kind(rows, kind), "surface_txt"), lookup))
+        return address_sales(join_geo(sum_lines(filter_present(filter_kind(rows, kind), "surface_txt")), lookup))
 
-    sums = {"value_sum": F.col("value"), "surface_sum": F.col("surface")}
+    sums = {"value_sum": F.col("value_sum"), "surface_sum": F.col("surface_sum")}
     return Kept(Sums(tuple(ADDRESS_KEYS), sums), prepare, lambda t: having_positive(t, "surface_sum"))
 
 

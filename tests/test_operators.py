@@ -20,6 +20,7 @@ from propyield.operators import (
     rent_by_dept,
     repair_postal,
     sales_totals,
+    sum_lines,
     yield_by_city,
     yield_by_dept,
     yield_by_dept_long,
@@ -244,3 +245,20 @@ def test_city_names_are_repaired_before_the_pivot(spark):
     rents = spark.createDataFrame([("Orl\u00c3\u00a9ans", "31555", 2023, 2.0)], "city string, insee string, year int, avg_rent_m2 double")
     assert [r.city for r in yield_by_city(address, rents, repair=True).collect()] == ["Orl\u00e9ans"]
     assert [r.city for r in yield_by_city(address, rents).collect()] == ["Orl\u00c3\u00a9ans"]
+
+
+def test_lines_are_summed_before_the_lookup_repeats_them(spark):
+    cols = "street_no string, street string, postal string, commune string, date_txt string, value_txt string, surface_txt string"
+    a = ("1", "R", "1", "A", "01/01/2020")
+    sales = spark.createDataFrame([(*a, "1,10", "5"), (*a, "2,20", "NC"), (*a, None, None), (None, "R", "1", "A", None, "7", None),
+                                   ("2", "R", None, "A", None, "8", "8"), ("3", "R", "1", "B", None, "9", "9")], cols)
+    # two places of one name, one of them listed twice, and a key that is null
+    geo = spark.createDataFrame([("1", "A", "x", "d"), ("1", "A", "y", "d"), ("1", "A", "y", "d"), (None, "A", "z", "d")],
+                                "postal string, commune string, insee string, dep string")
+    lines, summed = address_sales(join_geo(sales, geo)), address_sales(join_geo(sum_lines(sales), geo))
+    assert summed.dtypes == lines.dtypes
+    assert sorted(map(repr, summed.collect())) == sorted(map(repr, lines.collect()))
+    assert {(r.insee, str(r.value_sum)) for r in summed.where("street_no = '1'").collect()} == {("x", "3.30"), ("y", "6.60")}
+    # the job's plan sums on both sides of the join
+    region_sales = clean_sales(sales.withColumn("kind", F.lit("Vente")), geo.withColumn("region_label", F.lit("a")), RegionSpec("1", ("a",)))
+    assert explain_text(region_sales, "simple").count("HashAggregate(") >= 4
