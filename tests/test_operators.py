@@ -262,3 +262,15 @@ def test_lines_are_summed_before_the_lookup_repeats_them(spark):
     # the job's plan sums on both sides of the join
     region_sales = clean_sales(sales.withColumn("kind", F.lit("Vente")), geo.withColumn("region_label", F.lit("a")), RegionSpec("1", ("a",)))
     assert explain_text(region_sales, "simple").count("HashAggregate(") >= 4
+
+
+def test_a_key_is_judged_once_for_all_its_sales(spark):
+    sales = spark.createDataFrame([(i, "1", n) for i, n in enumerate(["A", "a", "a", "x", None, "É", "b"])], "id int, postal string, commune string")
+    geo = spark.createDataFrame([("1", "A", "1", "d"), ("1", "E", "2", "d"), ("1", "B", "3", "d")],
+                                "postal string, commune string, insee string, dep string")
+    out = match_geo(sales, geo)
+    assert sorted((r.id, r.insee, r.match) for r in out.rows.collect()) == [
+        (0, "1", "exact"), (1, "1", "collated"), (2, "1", "collated"), (5, "2", "collated"), (6, "3", "collated")]
+    assert sorted((r.id, r.reason) for r in out.unmatched.collect()) == [(3, "no lookup row"), (4, "no lookup row")]
+    # the sales themselves meet one join, with their key's verdict
+    assert "LeftAnti" not in explain_text(out.unmatched, "simple")
