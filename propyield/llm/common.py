@@ -91,7 +91,7 @@ def span_digest(spans: DataFrame, base_kinds: tuple[str, ...]) -> DataFrame:
 FLUSH = 200_000
 
 
-def count_pieces(texts: DataFrame, pieces_of: Callable[[bytes | None], list[bytes]]) -> DataFrame:
+def count_pieces(texts: DataFrame, pieces_of: Callable[..., list[bytes] | list[str]]) -> DataFrame:
     """word (binary), n: how often each piece occurs in the one column of ``texts``.
 
     Pieces are summed within tasks first, in tables of bounded size.
@@ -101,7 +101,7 @@ def count_pieces(texts: DataFrame, pieces_of: Callable[[bytes | None], list[byte
 
     def counted(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], schema=schema)
+            [pa.array(list(counts)).cast(pa.binary()) if counts else pa.array([], pa.binary()), pa.array(list(counts.values()), pa.int64())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()

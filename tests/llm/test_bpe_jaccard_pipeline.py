@@ -192,3 +192,40 @@ def test_pipeline_stages_take_effect(spark, scratch):
         assert ids == TIK.encode_ordinary(final[r.doc_id]) and r.round_trip
         assert r.decoded_sha256 == hashlib.sha256(final[r.doc_id].encode()).hexdigest()
     assert sorted(r.doc_id for r in seen["byte_level_bpe"]) == sorted(r.doc_id for r in seen["mixing"])
+
+
+def test_each_merge_has_one_place_in_the_table():
+    pairs, table = bpe.last_pairs(RANKS), bpe.pair_table(RANKS)
+    low = max(RANKS.values()) + 1
+    got = {}
+    for left, at in enumerate(table["shift"]):
+        for right in range(low) if left % 997 == 0 else ():
+            if at + right < len(table["owner"]) and table["owner"][at + right] == left:
+                got[left, right] = table["rank"][at + right] + low
+    assert got == {p: r for p, r in pairs.items() if p[0] % 997 == 0} and got
+    for (left, right), rank in pairs.items():
+        at = table["shift"][left] + right
+        assert table["owner"][at] == left and table["rank"][at] == rank - low
+
+
+def test_bytes_without_a_rank_are_refused():
+    few = {b"a": 0, b"b": 1, b"ab": 2}
+    assert bpe.Starts(few)([b"ab", None]).to_pylist() == [[None, None, 0, -1, 1, None, None], []]
+    with pytest.raises(ValueError):
+        bpe.Starts(few)([b"ac"])
+
+
+def test_letters_are_found_without_a_search():
+    find = bpe.word_finder(P.PATTERN)
+    for chunk in (" abc", "abc", " ", "", "\nabc", " it's", "  ab", " ab1", " äb", "a b", " \n", "'s"):
+        assert find(chunk) == SPLIT.findall(chunk)
+    assert bpe.word_finder(r"[ab]| ?\p{L}+")("cab") == ["cab"] and bpe.word_finder(r"[ab]| ?\p{L}+")("ac") == ["a", "c"]
+
+
+def test_frequent_shingles_and_their_order(spark):
+    texts = ["a b c d e f g", "a b c d e f h", "x y z u v w", "q", None, ""] * 5
+    docs = H.documents(spark, list(enumerate(texts))).coalesce(1)
+    want = Counter(int(h) for t in texts for h in jaccard.shingle_set(t.encode() if t else None, jaccard._WordHashes()))
+    tokens, rank = jaccard.frequent_shingles(docs)
+    assert set(tokens.tolist()) == {t for t, n in want.items() if n >= jaccard.HOT_SEEN}
+    assert [want[t] for t in tokens[rank.argsort()].tolist()] == sorted(want.values())
