@@ -50,7 +50,7 @@ SHINGLE = 5
 LINK = 80
 #: Frequent shingles that are put last, at most; a task names those that it saw
 #: HOT_SEEN times within CHUNK shingles.
-HOT, HOT_SEEN, CHUNK = 1 << 19, 4, 8_000_000
+HOT, HOT_SEEN, CHUNK = 1 << 19, 4, 2_000_000
 #: Members of a long list that all others meet first, and rounds (the last is exact) as long
 #: as the last step would list more than COSTLY pairs for each row of the lists.
 PIVOTS, ROUNDS, COSTLY = 5, 2, 30
@@ -111,10 +111,14 @@ def frequent_shingles(docs: DataFrame, limit: int = HOT) -> tuple[np.ndarray, np
     schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 
     def seen(parts: list[np.ndarray]) -> pa.RecordBatch:
-        tokens, n = np.unique(np.concatenate(parts or [np.zeros(0, dtype=np.uint64)]), return_counts=True)
-        often = n >= HOT_SEEN
-        return pa.RecordBatch.from_arrays(
-            [pa.array(tokens[often].view(np.int64)), pa.array(n[often].astype(np.int64))], schema=schema)
+        tokens = np.concatenate(parts or [np.zeros(0, dtype=np.uint64)])
+        parts.clear()
+        tokens.sort()
+        # equal ones stand together: those as long as HOT_SEEN, and how far each goes
+        first = np.flatnonzero(tokens[HOT_SEEN - 1:] == tokens[:len(tokens) - HOT_SEEN + 1]) if len(tokens) >= HOT_SEEN else np.zeros(0, dtype=np.int64)
+        often = np.unique(tokens[first])
+        n = np.searchsorted(tokens, often, side="right") - np.searchsorted(tokens, often)
+        return pa.RecordBatch.from_arrays([pa.array(often.view(np.int64)), pa.array(n.astype(np.int64))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, parts, held = _WordHashes(), [], 0

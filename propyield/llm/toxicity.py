@@ -25,21 +25,25 @@ if any is; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from propyield.llm.common import map_batches, words_of
+from propyield.llm.common import map_batches, small_batches, words_of
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE_ROWS = 16384
 #: The chi-square that a feature of the model must reach.
 MIN_CHI2 = 25.0
 PREFIXES = (4, 5, 6)
+#: Features that a task counts before it hands them on.
+TALLY = 100_000
 _STRIP = b".,;:!?\"'()[]{}<>*#$%&|-_"
 
 
@@ -177,19 +181,29 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> OrdinalM
     none = OrdinalModel((), np.zeros(0), np.zeros(0))
     sample = labelled_sample(docs, labels, rows).select(F.col("text").cast("binary"), "toxic")
 
-    def tally(texts, toxic):
-        counts: dict[bytes, list[int]] = {}
-        for text, y in zip(texts, toxic, strict=True):
-            for f in text_features(text):
-                counts.setdefault(f, [0, 0])[y > 0] += 1
-        return {"feature": list(counts), "clean": [c[0] for c in counts.values()],
-                "bad": [c[1] for c in counts.values()]}
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[bytes, int] = {}  # clean texts, and from bit 32 the others
+        for batch in batches:
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                one = 1 << 32 if y > 0 else 1
+                for f in text_features(text):
+                    counts[f] = counts.get(f, 0) + one
+                if len(counts) > TALLY:
+                    yield tallied(counts)
+                    counts = {}
+        yield tallied(counts)
+
+    def tallied(counts: dict[bytes, int]) -> pa.RecordBatch:
+        n = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(n & 0xFFFFFFFF), pa.array(n >> 32)],
+                                          names=["feature", "clean", "bad"])
 
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("toxic") > 0).cast("long")).alias("bad")).first()
     n, bad = size["n"], size["bad"] or 0
     if not 0 < bad < n:
         return none
-    counts = (map_batches(sample, tally, "feature binary, clean long, bad long")
+    small_batches(docs.sparkSession)
+    counts = (sample.mapInArrow(tally, "feature binary, clean long, bad long")
               .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad")))
     a, b = F.col("bad"), F.col("clean")
     c, d = F.lit(bad) - a, F.lit(n - bad) - b
